@@ -6,6 +6,8 @@ Tokens never cross a line end, so measuring a body equals the sum over its lines
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,15 @@ WORD = r"(?<![\p{L}\p{N}_])[a-z](?:[a-z']*[a-z])?(?![\p{L}\p{N}_])"
 SENTENCE_END = rf"(?U)\n|[.!?]+(?:{WS}+|\z)"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it.
+
+    Naming it as a column would not do: a filter pushed below the projection
+    puts the whole expression in place of the name, inside every lambda.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column | str) -> Column:
     """``text`` without white space at either end."""
     return F.regexp_replace(text, rf"(?U)^{WS}+|{WS}+\z", "")

@@ -6,11 +6,11 @@ may be one row or many (shards, lines): counts of its rows add up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosestat.constants import TOP_WORDS
-from prosestat.functions.text import is_content, letter_tokens
+from prosestat.functions.text import is_content, let, letter_tokens
 
 
 def explode_words(bodies: DataFrame) -> DataFrame:
@@ -53,26 +53,32 @@ def top_words_by_book(counts: DataFrame, k: int = TOP_WORDS) -> DataFrame:
 def word_profiles(bodies: DataFrame, *keep: str, k: int = TOP_WORDS) -> DataFrame:
     """Per row of ``bodies``: total, unique count and top words, without a shuffle.
 
-    For tables with one row per book. The row's words are sorted and each run of
-    equal words becomes one ``(word, count)``. ``keep`` columns are passed on.
-    Totals and top words are null when a book has no words.
+    For tables with one row per book. ``keep`` columns are passed on. Totals and
+    top words are null when a book has no words.
     """
-    kept = ["book_id", *keep]
     tokens = F.filter(letter_tokens("text"), is_content)
-    ordered = bodies.select(*kept, F.sort_array(tokens).alias("_words"))
-    starts = ordered.select(*kept, "_words", F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size("_words") - 1, F.lit(0))),
-        lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1))).alias("_starts"))
-    # Falling count then rising word is the rising order of (-count, word).
-    runs = starts.select(*kept, F.size("_words").alias("_total"), F.transform(
-        "_starts", lambda start, i: F.struct(
-            (start - F.coalesce(F.get("_starts", i + 1), F.size("_words"))).alias("minus"),
-            F.get("_words", start).alias("word"))).alias("_runs"))
-    top = F.transform(F.slice(F.sort_array("_runs"), 1, k), lambda r: F.struct(
-        r["word"].alias("word"), (-r["minus"]).cast("bigint").alias("count")))
-    some = F.col("_total") > 0
-    return runs.select(
-        *kept,
-        F.when(some, F.col("_total").cast("bigint")).alias("total_word_count"),
-        F.when(some, F.size("_runs").cast("bigint")).alias("unique_word_count"),
-        F.when(some, top).alias("top_words"))
+    profile = let(F.sort_array(tokens), lambda words: _profile(words, k))
+    return bodies.select("book_id", *keep, profile.alias("_p")).select(
+        "book_id", *keep, "_p.total_word_count", "_p.unique_word_count", "_p.top_words")
+
+
+def _profile(words: Column, k: int) -> Column:
+    """Counts of a sorted word array: each run of equal words is one word."""
+    starts = F.filter(
+        F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+
+    def ranked(first: Column) -> Column:
+        # Falling count then rising word is the rising order of (-count, word).
+        runs = F.transform(first, lambda start, i: F.struct(
+            (start - F.coalesce(F.get(first, i + 1), F.size(words))).alias("minus"),
+            F.get(words, start).alias("word")))
+        top = F.transform(F.slice(F.sort_array(runs), 1, k), lambda r: F.struct(
+            r["word"].alias("word"), (-r["minus"]).cast("bigint").alias("count")))
+        some = F.size(words) > 0
+        return F.struct(
+            F.when(some, F.size(words).cast("bigint")).alias("total_word_count"),
+            F.when(some, F.size(first).cast("bigint")).alias("unique_word_count"),
+            F.when(some, top).alias("top_words"))
+
+    return let(starts, ranked)

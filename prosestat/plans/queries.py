@@ -93,8 +93,8 @@ def top20_corpus(spark, sf_dir):
 def top20_by_doc(spark, sf_dir):
     """In-row ranking: no shuffle of words."""
     ranked = wordfreq.word_profiles(books_of(spark, sf_dir)).select(
-        F.col("book_id").alias("doc_id"), F.posexplode("top_words").alias("pos", "w"))
-    return ranked.select("doc_id", (F.col("pos") + 1).alias("rank"), F.col("w.word").alias("word"),
+        F.col("book_id").alias("doc_id"), F.posexplode_outer("top_words").alias("pos", "w"))
+    return ranked.where("w is not null").select("doc_id", (F.col("pos") + 1).alias("rank"), F.col("w.word").alias("word"),
                          F.col("w.count").alias("n"))
 
 
@@ -197,7 +197,8 @@ def readability(spark, sf_dir):
 def unique_words(spark, sf_dir):
     """The distinct content words of each document."""
     partials = syntactic.syntactic_partials(books_of(spark, sf_dir))
-    return partials.select(F.col("book_id").alias("doc_id"), F.explode("vocabulary").alias("word"))
+    exploded = partials.select(F.col("book_id").alias("doc_id"), F.explode_outer("vocabulary").alias("word"))
+    return exploded.where("word is not null")
 
 
 def syntactic_by_source(spark, sf_dir):

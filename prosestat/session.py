@@ -38,5 +38,5 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(2 * cores, *keys) if size < cores * split else df
