@@ -357,7 +357,7 @@ SELECT CAST(doc_id AS VARCHAR), 'metadata', metric, value FROM (
   SELECT * FROM facts UNION ALL SELECT book_id, component, metric, '1' || value FROM facts
   UNION ALL SELECT book_id, component, metric, value || 'x' FROM facts)
 SELECT book_id, component, metric, max(value) AS value FROM every
-WHERE component = 'metadata' OR value NOT LIKE '%x' GROUP BY book_id, component, metric""",
+WHERE component = 'metadata' OR regexp_full_match(value, '-?[0-9]+(\\.[0-9]+)?') GROUP BY book_id, component, metric""",
     "normalized_records": _FLAT,
     "direct_records": _FLAT,
     "record_payloads": f"""WITH {LINES}

@@ -298,10 +298,8 @@ def facts_from_lines(spark, sf_dir):
 
 def _repeated_facts(spark, sf_dir) -> DataFrame:
     """Every fact, again with another value, and again with one that is not a number."""
-    facts = _facts(spark, sf_dir)
-    again = facts.withColumn("value", F.concat(F.lit("1"), "value"))
-    broken = facts.withColumn("value", F.concat("value", F.lit("x")))
-    return facts.unionByName(again).unionByName(broken)
+    values = F.array(F.col("value"), F.concat(F.lit("1"), "value"), F.concat("value", F.lit("x")))
+    return _facts(spark, sf_dir).select("book_id", "component", "metric", F.explode(values).alias("value"))
 
 
 def facts_dedup(spark, sf_dir):
@@ -417,27 +415,24 @@ def cohort_summary(spark, sf_dir):
 
 
 def _flat_summary(one: DataFrame) -> DataFrame:
-    section = lambda name, column: one.select(
-        F.lit(name).alias("section"), F.explode(column).alias("name", "value")).select(
-        "section", "name", F.round(F.col("value").cast("double"), 3).alias("value"))
+    def section(name: str, column: str | Column) -> Column:
+        return F.transform(F.map_entries(column), lambda e: F.struct(
+            F.lit(name).alias("section"), e["key"].alias("name"),
+            F.round(e["value"].cast("double"), 3).alias("value")))
+
     cohort = lambda c, field: F.col("by_cohort")[c][field]
-    heads = one.select(F.lit("head").alias("section"), F.explode(F.create_map(
-        *[x for name, col in (
-            ("input_lines", F.col("input_lines")), ("books_aggregated", F.col("books_aggregated")),
-            ("dropped_lines", F.col("dropped_lines")),
-            ("bestseller_books", cohort("bestseller", "n_books")),
-            ("standard_books", cohort("standard", "n_books"))) for x in (F.lit(name), col)]))
-        .alias("name", "value")).select("section", "name", F.col("value").cast("double").alias("value"))
-    parts = [section("dropped", F.col("dropped_by_reason")),
-             section("delta", F.col("comparison.mean_deltas_bestseller_minus_standard")),
+    heads = {"input_lines": F.col("input_lines"), "books_aggregated": F.col("books_aggregated"),
+             "dropped_lines": F.col("dropped_lines"),
+             "bestseller_books": cohort("bestseller", "n_books"),
+             "standard_books": cohort("standard", "n_books")}
+    parts = [section("head", F.create_map(*[x for k, v in heads.items() for x in (F.lit(k), v)])),
+             section("dropped", "dropped_by_reason"),
+             section("delta", "comparison.mean_deltas_bestseller_minus_standard"),
              section("syntactic_delta", F.transform_values(
                  "comparison.syntactic_mean_deltas", lambda _, v: v["delta"]))]
-    for c in ("bestseller", "standard"):
-        for field in ("means", "syntactic_means", "sums"):
-            parts.append(section(f"{c}_{field}", cohort(c, field)))
-    for part in parts:
-        heads = heads.unionByName(part)
-    return heads
+    parts += [section(f"{c}_{field}", cohort(c, field)) for c in ("bestseller", "standard")
+              for field in ("means", "syntactic_means", "sums")]
+    return one.select(F.inline_outer(F.concat(*parts)))
 
 
 # ---------------------------------------------------------------- validation
