@@ -33,8 +33,8 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
 
 def fixed4(value: Column | str) -> Column:
-    """Text with four decimals."""
-    return F.format_string("%.4f", F.round(value, 4))
+    """Text with four decimals, null for null."""
+    return F.when(F.isnotnull(value), F.format_string("%.4f", F.round(value, 4)))
 
 
 def display(value: Column | str) -> Column:
