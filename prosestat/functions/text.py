@@ -61,16 +61,39 @@ def words(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def vocabulary(tokens: Column | str) -> Column:
-    """Distinct content words of a word array."""
-    return F.array_distinct(F.filter(
-        tokens, lambda w: (F.length(w) > 1) & ~w.isin(VOCABULARY_STOPWORDS)))
+def vocabulary(runs: Column | str) -> Column:
+    """The content words among word runs."""
+    kept = F.filter(runs, lambda r: (F.length(r["word"]) > 1) & ~r["word"].isin(VOCABULARY_STOPWORDS))
+    return F.transform(kept, lambda r: r["word"])
+
+
+def word_runs(tokens: Column) -> Column:
+    """``array<struct<word, n>>``: each distinct token in word order with its count.
+
+    Counts within one row, so nothing is shuffled: equal tokens are neighbours in
+    the sorted array, and a run starts where a token differs from the one before.
+    """
+    def runs_of(ordered: Column) -> Column:
+        size = F.size(ordered)
+        starts = F.filter(F.slice(F.sequence(F.lit(0), size), F.lit(1), size),
+                          lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return let(starts, lambda first: F.transform(first, lambda start, i: F.struct(
+            F.get(ordered, start).alias("word"),
+            (F.coalesce(F.get(first, i + 1), size) - start).cast("bigint").alias("n"))))
+
+    return let(F.sort_array(tokens), runs_of)
+
+
+def total(runs: Column | str, value: Callable[[Column], Column]) -> Column:
+    """Sum of ``value`` over runs."""
+    return F.aggregate(runs, F.lit(0).cast("bigint"), lambda sum_, r: sum_ + value(r))
 
 
 def syllables(word: Column | str) -> Column:
     """Estimated syllables of a lower-case word: vowel groups, a final silent e aside."""
     word = F.col(word) if isinstance(word, str) else word
-    spoken = F.when(F.length(word) > 2, F.regexp_replace(word, "e$", "")).otherwise(word)
+    silent = (F.length(word) > 2) & F.endswith(word, F.lit("e"))
+    spoken = F.when(silent, F.left(word, F.length(word) - 1)).otherwise(word)
     groups = F.regexp_count(spoken, F.lit("[aeiouy]+"))
     return F.when(word == "", 0).otherwise(F.greatest(F.lit(1), groups))
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosestat.constants import SENTIMENT_METRICS
 from prosestat.functions.numbers import ratio
-from prosestat.functions.text import is_content, letter_tokens
+from prosestat.functions.text import is_content, let, letter_tokens, total
 from prosestat.operators.wordfreq import word_counts_by_book
 
 # A lexicon of this many terms takes a few MB; a larger one is not broadcast.
 BROADCAST_TERMS = 100_000
+# Up to these sizes a lexicon is put into the expression itself.
+INLINE_TERMS, INLINE_SCORES = 10_000, 32
 
 
 def sentiment_by_book(bodies: DataFrame, lexicon: DataFrame,
@@ -57,6 +61,37 @@ def _scored_counts(bodies: DataFrame, lexicon: DataFrame) -> DataFrame:
     return scored.unionByName(unscored)
 
 
+def inline_scorer(lexicon: DataFrame) -> Callable[[Column], Column] | None:
+    """The lexicon as an expression from word to score (null without one), if small enough.
+
+    Terms are grouped by score, one hashed set each. At most one row more than
+    the limit is fetched; for a larger lexicon there is no scorer, use the join.
+    """
+    rows = lexicon.select("term", "score").limit(INLINE_TERMS + 1).collect()
+    terms: dict[int, list[str]] = {}
+    for row in rows:
+        terms.setdefault(row.score, []).append(row.term)
+    if len(rows) > INLINE_TERMS or len(terms) > INLINE_SCORES:
+        return None
+    return lambda word: F.coalesce(
+        F.lit(None).cast("int"), *[F.when(word.isin(ts), score) for score, ts in terms.items()])
+
+
+def score_runs(runs: Column, scorer: Callable[[Column], Column]) -> Column:
+    """Struct of the four metrics of one row's word runs; no join and no shuffle."""
+    scored = F.transform(runs, lambda r: F.struct(r["n"], scorer(r["word"]).alias("score")))
+
+    def metrics(entries: Column) -> Column:
+        some = lambda test: total(entries, lambda r: F.when(test(r["score"]), r["n"]).otherwise(0))
+        found = some(lambda score: score.isNotNull())
+        value = total(entries, lambda r: r["n"] * F.coalesce(r["score"], F.lit(0)))
+        counts = (some(lambda score: score > 0), some(lambda score: score < 0), found)
+        return F.struct(ratio(value, found).alias(SENTIMENT_METRICS[0]), *[
+            n.cast("double").alias(name) for name, n in zip(SENTIMENT_METRICS[1:], counts)])
+
+    return let(scored, metrics)
+
+
 def sentiment_long(sentiment: DataFrame) -> DataFrame:
     """``(book_id, metric, value)``, unrounded."""
     return sentiment.unpivot("book_id", list(SENTIMENT_METRICS), "metric", "value")

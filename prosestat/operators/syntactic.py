@@ -10,25 +10,26 @@ from pyspark.sql import functions as F
 
 from prosestat.constants import SYNTACTIC_COUNTERS, SYNTACTIC_METRICS
 from prosestat.functions.numbers import ratio
-from prosestat.functions.text import is_complex, sentence_count, syllables, vocabulary, words
+from prosestat.functions.text import (
+    is_complex, let, sentence_count, syllables, total, vocabulary, word_runs, words,
+)
 
 _ROUNDED = SYNTACTIC_METRICS[3:]
 
 
 def syntactic_partials(bodies: DataFrame, *keep: str) -> DataFrame:
     """Counters and ``vocabulary`` (distinct content words) of each input row, without a shuffle."""
-    kept = ["book_id", *keep]
-    read = bodies.select(*kept, words("text").alias("_words"),
-                         sentence_count("text").alias("sentence_count"))
-    spoken = read.select("*", F.transform("_words", syllables).alias("_syllables"))
-    return spoken.select(
-        *kept, "sentence_count",
-        F.size("_words").cast("bigint").alias("word_count"),
-        F.length(F.array_join("_words", "")).cast("bigint").alias("char_count"),
-        F.aggregate("_syllables", F.lit(0).cast("bigint"), lambda total, n: total + n)
-        .alias("syllable_count"),
-        F.size(F.filter("_syllables", is_complex)).cast("bigint").alias("complex_word_count"),
-        vocabulary("_words").alias("vocabulary"))
+    spoken = let(word_runs(words("text")), lambda runs: F.transform(
+        runs, lambda r: F.struct(r["word"], r["n"], syllables(r["word"]).alias("syllables"))))
+    measured = let(spoken, lambda runs: F.struct(
+        total(runs, lambda r: r["n"]).alias("word_count"),
+        total(runs, lambda r: r["n"] * F.length(r["word"])).alias("char_count"),
+        total(runs, lambda r: r["n"] * r["syllables"]).alias("syllable_count"),
+        total(runs, lambda r: F.when(is_complex(r["syllables"]), r["n"]).otherwise(0))
+        .alias("complex_word_count"),
+        vocabulary(runs).alias("vocabulary")))
+    return bodies.select("book_id", *keep, sentence_count("text").alias("sentence_count"),
+                         measured.alias("_m")).select("book_id", *keep, "sentence_count", "_m.*")
 
 
 def syntactic_counts(bodies: DataFrame, *keep: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosestat.constants import TOP_WORDS
-from prosestat.functions.text import is_content, let, letter_tokens
+from prosestat.functions.text import is_content, let, letter_tokens, total, word_runs
 
 
 def explode_words(bodies: DataFrame) -> DataFrame:
@@ -50,35 +50,30 @@ def top_words_by_book(counts: DataFrame, k: int = TOP_WORDS) -> DataFrame:
     return ranked.select("book_id", "rank", "word", "n")
 
 
+def content_runs(text: Column | str) -> Column:
+    """``array<struct<word, n>>`` of a text's content words."""
+    return word_runs(F.filter(letter_tokens(text), is_content))
+
+
 def word_profiles(bodies: DataFrame, *keep: str, k: int = TOP_WORDS) -> DataFrame:
     """Per row of ``bodies``: total, unique count and top words, without a shuffle.
 
     For tables with one row per book. ``keep`` columns are passed on. Totals and
     top words are null when a book has no words.
     """
-    tokens = F.filter(letter_tokens("text"), is_content)
-    profile = let(F.sort_array(tokens), lambda words: _profile(words, k))
+    profile = let(content_runs("text"), lambda runs: profile_of(runs, k))
     return bodies.select("book_id", *keep, profile.alias("_p")).select(
         "book_id", *keep, "_p.total_word_count", "_p.unique_word_count", "_p.top_words")
 
 
-def _profile(words: Column, k: int) -> Column:
-    """Counts of a sorted word array: each run of equal words is one word."""
-    starts = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
-
-    def ranked(first: Column) -> Column:
-        # Falling count then rising word is the rising order of (-count, word).
-        runs = F.transform(first, lambda start, i: F.struct(
-            (start - F.coalesce(F.get(first, i + 1), F.size(words))).alias("minus"),
-            F.get(words, start).alias("word")))
-        top = F.transform(F.slice(F.sort_array(runs), 1, k), lambda r: F.struct(
-            r["word"].alias("word"), (-r["minus"]).cast("bigint").alias("count")))
-        some = F.size(words) > 0
-        return F.struct(
-            F.when(some, F.size(words).cast("bigint")).alias("total_word_count"),
-            F.when(some, F.size(first).cast("bigint")).alias("unique_word_count"),
-            F.when(some, top).alias("top_words"))
-
-    return let(starts, ranked)
+def profile_of(runs: Column, k: int = TOP_WORDS) -> Column:
+    """Struct of totals and top words of one row's word runs."""
+    # Falling count then rising word is the rising order of (-count, word).
+    order = F.sort_array(F.transform(runs, lambda r: F.struct((-r["n"]).alias("minus"), r["word"])))
+    top = F.transform(F.slice(order, 1, k), lambda r: F.struct(
+        r["word"].alias("word"), (-r["minus"]).alias("count")))
+    some = F.size(runs) > 0
+    return F.struct(
+        F.when(some, total(runs, lambda r: r["n"])).alias("total_word_count"),
+        F.when(some, F.size(runs).cast("bigint")).alias("unique_word_count"),
+        F.when(some, top).alias("top_words"))

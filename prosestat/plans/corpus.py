@@ -12,13 +12,15 @@ from prosestat.constants import (
 )
 from prosestat.functions.body import body_text
 from prosestat.functions.paths import file_name
-from prosestat.functions.text import strip
+from prosestat.functions.text import let, strip
 from prosestat.operators import cohorts
 from prosestat.operators.body import cut_body
 from prosestat.operators.report import comparison_report
-from prosestat.operators.sentiment import sentiment_by_book, sentiment_long
+from prosestat.operators.sentiment import (
+    INLINE_TERMS, inline_scorer, score_runs, sentiment_by_book, sentiment_long,
+)
 from prosestat.operators.syntactic import readability, rounded, syntactic_counts, syntactic_long
-from prosestat.operators.wordfreq import word_counts_by_book, word_profiles
+from prosestat.operators.wordfreq import content_runs, profile_of, word_counts_by_book
 from prosestat.sources import sinks
 from prosestat.sources.books import scan_books
 from prosestat.sources.lexicon import scan_lexicon
@@ -35,22 +37,38 @@ class CorpusRun(NamedTuple):
     report: DataFrame
 
 
-def book_features(books: DataFrame, mode: str | None = None) -> DataFrame:
-    """Word totals, top words and the nine syntactic metrics of each row of ``books``.
-
-    One pass over the texts without a shuffle: a text is reduced to about a
-    kilobyte where it is read. Bodies are cut strictly for words and leniently
-    for the syntactic metrics unless one ``mode`` is given for both.
+def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None,
+                  lexicon_terms: int | None = None) -> DataFrame:
+    """``(book_id, total_word_count, unique_word_count, top_words, sentiment, syntactic)``.
+
+    For ``(book_id, text)`` with one row per book. A small lexicon becomes part
+    of the expression and everything is one pass over the texts without a
+    shuffle: a text is reduced to about a kilobyte where it is read. A larger
+    lexicon is joined, which reads the texts again and shuffles the short
+    results. ``lexicon_terms`` is a known bound on the lexicon's size. Bodies are
+    cut strictly for words and leniently for the syntactic metrics unless one
+    ``mode`` is given for both.
     """
-    cut = books.select("book_id", body_text("text", mode or "strict").alias("_strict"),
-                       body_text("text", mode or "lenient").alias("_lenient"))
-    words = word_profiles(cut.withColumnRenamed("_strict", "text"), "_lenient")
-    # Both measures have a unique_word_count, so the first is held in a struct.
-    profiled = words.select("book_id", F.col("_lenient").alias("text"), F.struct(
-        "total_word_count", "unique_word_count", "top_words").alias("_profile"))
-    counts = syntactic_counts(profiled, "_profile")
-    return rounded(readability(counts, "_profile")).select(
-        "book_id", "_profile.*", F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
+    small = lexicon_terms is None or lexicon_terms <= INLINE_TERMS
+    scorer = inline_scorer(lexicon) if small else None
+    strict, lenient = body_text("text", mode or "strict"), body_text("text", mode or "lenient")
+
+    def of_words(runs: Column) -> Column:
+        fields = [profile_of(runs).alias("profile")]
+        return F.struct(*fields, *([score_runs(runs, scorer).alias("sentiment")] if scorer else []))
+
+    cut = books.select("book_id", let(content_runs(strict), of_words).alias("_w"), lenient.alias("text"))
+    metrics = rounded(readability(syntactic_counts(cut, "_w"), "_w")).select(
+        "book_id", "_w.*", F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
+    if not scorer:
+        scores = sentiment_by_book(cut_body(books.select("book_id", "text"), mode or "strict"),
+                                   lexicon, lexicon_terms)
+        metrics = metrics.join(scores.select(
+            "book_id", F.struct(*SENTIMENT_METRICS).alias("sentiment")), "book_id")
+    return metrics.select(
+        "book_id", "profile.*",
+        F.struct(F.round("sentiment.polarity_score", 4).alias("polarity_score"),
+                 *[f"sentiment.{m}" for m in SENTIMENT_METRICS[1:]]).alias("sentiment"), "syntactic")
 
 
 def _map_of(struct: str, names: tuple[str, ...]) -> Column:
@@ -59,16 +77,6 @@ def _map_of(struct: str, names: tuple[str, ...]) -> Column:
         F.create_map().cast("map<string,double>"))
 
 
-def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None,
-                  lexicon_terms: int | None = None) -> DataFrame:
-    """``book_features`` of ``(book_id, text)`` rows plus a ``sentiment`` struct, a row per book."""
-    sentiment = sentiment_by_book(cut_body(books.select("book_id", "text"), mode or "strict"),
-                                  lexicon, lexicon_terms)
-    scores = sentiment.select("book_id", F.struct(
-        F.round("polarity_score", 4).alias("polarity_score"), *SENTIMENT_METRICS[1:]).alias("sentiment"))
-    return book_features(books, mode).join(scores, "book_id")
-
-
 def assemble_records(measured: DataFrame, metadata: DataFrame) -> DataFrame:
     """One record per book that was measured or listed; what a book lacks is empty.
 

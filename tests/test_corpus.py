@@ -2,11 +2,14 @@ import json
 
 from prosestat.operators import normalize
 from prosestat.operators.body import cut_body
-from prosestat.operators.sentiment import sentiment_by_book, sentiment_long
+from prosestat.operators.sentiment import (
+    BROADCAST_TERMS, INLINE_TERMS, sentiment_by_book, sentiment_long,
+)
 from prosestat.operators.syntactic import readability, rounded, syntactic_counts, syntactic_long
 from prosestat.operators.wordfreq import word_counts_by_book
-from prosestat.plans.corpus import run_corpus
+from prosestat.plans.corpus import measure_books, run_corpus
 from prosestat.sources import components, sinks
+from prosestat.sources.books import scan_books
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata
 
@@ -69,6 +72,16 @@ def test_records_equal_those_of_the_facts(spark, tmp_path):
     assert plain(normalize.build_records(facts).collect()) == plain(run.records.collect())
 
 
+def test_large_lexicon_gives_the_same(spark, tmp_path):
+    books_dir, _, lex_path = shelf(tmp_path)
+    books = scan_books(spark, books_dir).select("book_id", "text")
+    lexicon = scan_lexicon(spark, lex_path)
+    inline = measure_books(books, lexicon)
+    assert "Exchange" not in inline._jdf.queryExecution().executedPlan().toString()
+    for bound in (INLINE_TERMS + 1, BROADCAST_TERMS + 1):
+        assert plain(measure_books(books, lexicon, lexicon_terms=bound).collect()) == plain(inline.collect())
+
+
 def test_limit_takes_the_first_listed(spark, tmp_path):
     run = run_corpus(spark, *shelf(tmp_path), limit=2)
     assert {r.book_id for r in run.records.collect()} == {"1", "2"}

@@ -88,7 +88,12 @@ def test_strip_and_blank(evaluate):
 
 
 def test_vocabulary(evaluate):
-    assert evaluate(["The fox and a fox, up I x"], lambda c: text.vocabulary(text.words(c))) == [["fox"]]
+    assert evaluate(["The fox and a fox, up I x"], lambda c: text.vocabulary(text.word_runs(text.words(c)))) == [["fox"]]
+
+
+def test_word_runs(evaluate):
+    got = evaluate(["b a b c b", ""], lambda c: text.word_runs(text.words(c)))
+    assert [[tuple(r) for r in runs] for runs in got] == [[("a", 1), ("b", 3), ("c", 1)], []]
 
 
 def test_numbers(evaluate):
