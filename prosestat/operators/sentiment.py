@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +62,14 @@ def _scored_counts(bodies: DataFrame, lexicon: DataFrame) -> DataFrame:
     return scored.unionByName(unscored)
 
 
-def inline_scorer(lexicon: DataFrame) -> Callable[[Column], Column] | None:
-    """The lexicon as an expression from word to score (null without one), if small enough.
+class InlineScorer(NamedTuple):
+    """A lexicon as expressions of a word column."""
+    knows: Callable[[Column], Column]
+    score: Callable[[Column], Column]
+
+
+def inline_scorer(lexicon: DataFrame) -> InlineScorer | None:
+    """The lexicon as expressions, if it is small enough.
 
     Terms are grouped by score, one hashed set each. At most one row more than
     the limit is fetched; for a larger lexicon there is no scorer, use the join.
@@ -73,18 +80,23 @@ def inline_scorer(lexicon: DataFrame) -> Callable[[Column], Column] | None:
         terms.setdefault(row.score, []).append(row.term)
     if len(rows) > INLINE_TERMS or len(terms) > INLINE_SCORES:
         return None
-    return lambda word: F.coalesce(
-        F.lit(None).cast("int"), *[F.when(word.isin(ts), score) for score, ts in terms.items()])
+    known = [row.term for row in rows]
+    return InlineScorer(
+        lambda word: word.isin(known),
+        lambda word: F.coalesce(F.lit(None).cast("int"), *[
+            F.when(word.isin(ts), score) for score, ts in terms.items()]))
 
 
-def score_runs(runs: Column, scorer: Callable[[Column], Column]) -> Column:
+def score_runs(runs: Column, scorer: InlineScorer) -> Column:
     """Struct of the four metrics of one row's word runs; no join and no shuffle."""
-    scored = F.transform(runs, lambda r: F.struct(r["n"], scorer(r["word"]).alias("score")))
+    # Most words are in no lexicon: one lookup sets them aside, the rest are scored.
+    scored = F.transform(F.filter(runs, lambda r: scorer.knows(r["word"])), lambda r: F.struct(
+        r["n"], scorer.score(r["word"]).alias("score")))
 
     def metrics(entries: Column) -> Column:
         some = lambda test: total(entries, lambda r: F.when(test(r["score"]), r["n"]).otherwise(0))
-        found = some(lambda score: score.isNotNull())
-        value = total(entries, lambda r: r["n"] * F.coalesce(r["score"], F.lit(0)))
+        found = total(entries, lambda r: r["n"])
+        value = total(entries, lambda r: r["n"] * r["score"])
         counts = (some(lambda score: score > 0), some(lambda score: score < 0), found)
         return F.struct(ratio(value, found).alias(SENTIMENT_METRICS[0]), *[
             n.cast("double").alias(name) for name, n in zip(SENTIMENT_METRICS[1:], counts)])

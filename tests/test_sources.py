@@ -1,5 +1,3 @@
-import pytest
-
 from prosestat.sources import components, sinks
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata, scan_metadata_lines
@@ -31,7 +29,7 @@ def test_metadata_by_name_and_limit(spark, tmp_path):
     assert scan_metadata(spark, str(tmp_path / "n.csv")).first().filename == "7.txt"
 
 
-@pytest.mark.parametrize("component,line,expected", [
+LINES = [
     ("wordfreq", "love\t123", ("love", "123")), ("wordfreq", "the\tnot_a_number", None),
     ("wordfreq", "badline", None), ("wordfreq", "the\t5.0", None), ("wordfreq", "  ", None),
     ("wordfreq", " love \t 7 ", ("love", "7")),
@@ -39,11 +37,14 @@ def test_metadata_by_name_and_limit(spark, tmp_path):
     ("syntactic", "1342\tavg_sentence_length\t18.4", ("avg_sentence_length", "18.4")),
     ("syntactic", "avg_sentence_length\t18.4", ("avg_sentence_length", "18.4")),
     ("syntactic", "avg_sentence_length\tbad", None), ("syntactic", "a\tb\tc\t1", None),
-    ("unknown", "love\t1", None)])
-def test_component_lines(spark, component, line, expected):
-    df = spark.createDataFrame([("9", component, line)], "book_id string, component string, line string")
-    got = [(r.metric, r.value) for r in components.facts_from_lines(df).collect()]
-    assert got == ([expected] if expected else [])
+    ("unknown", "love\t1", None)]
+
+
+def test_component_lines(spark):
+    df = spark.createDataFrame([(str(i), component, line) for i, (component, line, _) in enumerate(LINES)],
+                               "book_id string, component string, line string")
+    got = {int(r.book_id): (r.metric, r.value) for r in components.facts_from_lines(df).collect()}
+    assert [got.get(i) for i in range(len(LINES))] == [expected for _, _, expected in LINES]
 
 
 def test_metadata_lines_become_facts(spark):
