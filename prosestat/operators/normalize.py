@@ -38,7 +38,8 @@ def build_records(facts: DataFrame) -> DataFrame:
     Words are counted and ranked before anything is gathered, so a book is only
     ever held as its top words and its few metrics.
     """
-    unique = deduplicate(facts)
+    # Stated here, as the left join below would add it to one side only.
+    unique = deduplicate(facts.where(F.col("book_id").isNotNull()))
     is_word = F.col("component") == "wordfreq"
     words = unique.where(is_word).select("book_id", F.col("metric").alias("word"),
                                          as_int("value").alias("n"))
@@ -46,7 +47,9 @@ def build_records(facts: DataFrame) -> DataFrame:
         F.sum("n").alias("total_word_count"), F.count("n").alias("unique_word_count")).select(
         "book_id", "total_word_count",
         F.nullif("unique_word_count", F.lit(0)).alias("unique_word_count"))
-    ranked = top_words_by_book(words.where(F.col("n").isNotNull()))
+    # Words without a usable count rank last and are left out afterwards, so that
+    # totals and ranking read the same shuffled facts.
+    ranked = top_words_by_book(words).where(F.col("n").isNotNull())
     top = ranked.groupBy("book_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", "word", F.col("n").alias("count"))))
         .alias("ranked")).select("book_id", F.transform("ranked", lambda r: F.struct(
