@@ -6,7 +6,7 @@ from prosestat.constants import (
     ABBREVIATIONS, COMPONENT_KEYWORDS, FREQUENCY_STOPWORDS, REPORT_FIRST, SENTIMENT_METRICS,
     SYNTACTIC_METRICS, VOCABULARY_STOPWORDS,
 )
-from prosestat.plans.queries import END, OTHER_START, START
+from prosestat.plans.queries import START
 
 
 def _list(values) -> str:
@@ -241,10 +241,6 @@ parsed AS (
                  ELSE 'wordfreq' END AS component, layout, word, n FROM shaped)"""
 
 
-def _json_case(column: str) -> str:
-    return f"CASE doc_id % 12 {column} END"
-
-
 # What each of the twelve record lines of the derived input is worth.
 LINES = """bad AS (
   SELECT d.doc_id, d.n_chars, d.source, l.quality,

@@ -509,11 +509,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def written_word_counts(spark, sf_dir):
-    """Counts per document as TSV lines, one directory per source, read back as facts."""
-    rows = wordfreq_by_doc(spark, sf_dir).withColumnRenamed("doc_id", "book_id")
+    """Counts as ``key TAB n`` lines, the key naming document and word, read back as facts."""
     path = shared_path(spark, "wordfreq")
-    tagged = rows.select(F.col("book_id").cast("string").alias("key"), "word", "n")
-    sinks.write_word_counts(tagged.select(F.concat_ws(":", "key", "word").alias("word"), "n"), path, "tsv")
+    counts = wordfreq_by_doc(spark, sf_dir)
+    sinks.write_word_counts(counts.select(F.concat_ws(
+        ":", F.col("doc_id").cast("string"), "word").alias("word"), "n"), path, "tsv")
     facts = components.facts_from_lines(components.scan_lines(spark, path, "corpus"))
     return facts.select("component", "metric", F.col("value").cast("bigint").alias("n"))
 
