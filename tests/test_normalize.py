@@ -71,3 +71,12 @@ def test_record_lines_round_trip(spark, tmp_path):
     direct = cohorts.payloads_from_records(records).orderBy("book_id").collect()
     for a, b in zip(by_json, direct):
         assert a.asDict() == b.asDict()
+
+
+def test_totals_and_ranking_share_one_shuffle(spark, tmp_path):
+    facts = spark.createDataFrame([("1", "wordfreq", "a", "3"), ("1", "sentiment", "p", "0.3")],
+                                  "book_id string, component string, metric string, value string")
+    facts.write.parquet(str(tmp_path / "facts"))
+    records = normalize.build_records(spark.read.parquet(str(tmp_path / "facts")))
+    records.collect()
+    assert "ReusedExchange" in records._jdf.queryExecution().executedPlan().toString()
