@@ -18,7 +18,7 @@ kept; columns beyond the named ones are left out of ``assess``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosestat.llm.shared import let, whole, written
@@ -113,9 +113,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum
         F.count(F.when(F.col("good") & ~F.col("held") & F.col("t.out"), 1)).alias("good_out"),
         F.count(F.when(~F.col("good") & ~F.col("held"), 1)).alias("bad_n"),
         F.count(F.when(~F.col("good") & ~F.col("held") & F.col("t.out"), 1)).alias("bad_out"))
-    # the tests at once are the rows of this small table
-    tests = counted.agg(F.count("*").alias("tests")).select("tests", F.lit(0).alias("one"))
-    admitted = (counted.withColumn("one", F.lit(0)).join(tests, "one")
+    # all tests at once: the rows of this small table, a ladder for each stratum
+    admitted = (counted.withColumn("tests", F.count("*").over(Window.partitionBy(F.lit(0))))
                 .where(binomial_tail(F.col("k"), F.col("n"), risk) <= F.lit(error) / F.col("tests")))
     gain = F.col("bad_out") * F.col("good_n") - F.col("good_out") * F.col("bad_n")
     best = admitted.withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule").agg(

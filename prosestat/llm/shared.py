@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,20 +33,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship(df: DataFrame) -> DataFrame:
-    """``df``, after its Spark context has been given this package for the Python workers.
+    """``df``; in local mode its Spark context is given this package for the Python workers.
 
-    Where workers already find the package on their path, theirs comes first;
-    adding the same folder again does nothing.
+    A cluster's workers have the package installed or by ``--py-files``, like any
+    other library; local workers know only the standard path.
     """
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     context = df.sparkSession.sparkContext
-    if os.path.isdir(package) and package not in _SHIPPED.setdefault(context.applicationId, set()):
-        _SHIPPED[context.applicationId].add(package)
+    if re.fullmatch(r"local(\[.*\])?", context.master) and context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
         context.addFile(package, recursive=True)
     return df
 
 
-_SHIPPED: dict[str, set[str]] = {}
+_SHIPPED: set[str] = set()
 
 
 def let(value: Column, body) -> Column:
