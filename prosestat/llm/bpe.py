@@ -30,8 +30,12 @@ from prosestat.llm.shared import ship
 # Fixed value: the public word pattern of the byte-level vocabulary.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of text tokenized at once, and pieces whose ids are remembered; both bound memory, not results.
-BLOCK_CHARS = 40_000_000
-KNOWN_PIECES = 600_000
+BLOCK_CHARS = 10_000_000
+KNOWN_PIECES = 300_000
+#: Ids decoded at once, in bytes.
+BLOCK_BYTES = 8_000_000
+#: Symbols indexed at once.
+SLICE = 1 << 19
 #: White space before a space or a line end.
 DOUBLE = re.compile(r"\s[ \n]")
 
@@ -93,7 +97,7 @@ class PairIndexBpe:
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of symbols, -1 where the pair doesn't merge."""
-        wanted = (left << 32) | right
+        wanted = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.pair_keys, wanted), len(self.pair_keys) - 1)
         return np.where((left >= 0) & (right >= 0) & (self.pair_keys[at] == wanted), self.pair_ranks[at], -1)
 
@@ -101,9 +105,9 @@ class PairIndexBpe:
         """The packed ids of each word, merged together over one pair occurrence index."""
         lengths = np.array([len(w) for w in words], np.int64)
         slots = np.arange(lengths.sum()) + np.repeat(np.arange(len(words)), lengths) + 1
-        symbols = np.full(lengths.sum() + len(words) + 1, -1, np.int64)  # -1: a gap, part of no pair
+        symbols = np.full(lengths.sum() + len(words) + 1, -1, np.int32)  # -1: a gap, part of no pair
         symbols[slots] = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        after, before = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+        after, before = np.arange(1, len(symbols) + 1, dtype=np.int32), np.arange(-1, len(symbols) - 1, dtype=np.int32)
         places: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
 
@@ -121,7 +125,9 @@ class PairIndexBpe:
                     heapq.heappush(active, rank)
                 places[rank].append(part)
 
-        index(self.ranks_of(symbols[:-1], symbols[1:]), np.arange(len(symbols) - 1))
+        for start in range(0, len(symbols) - 1, SLICE):
+            stop = min(start + SLICE, len(symbols) - 1)
+            index(self.ranks_of(symbols[start:stop], symbols[start + 1:stop + 1]), np.arange(start, stop, dtype=np.int32))
         while active:
             rank = heapq.heappop(active)
             left, right, made = self.merges[rank]
@@ -135,7 +141,7 @@ class PairIndexBpe:
                     if i != taken:
                         kept.append(i)
                         taken = j
-                at = np.array(kept, np.int64)
+                at = np.array(kept, np.int32)
             gone = after[at]
             rest = after[gone]
             symbols[at], symbols[gone] = made, -2
@@ -209,17 +215,15 @@ def load(path: str) -> PairIndexBpe:
     return PairIndexBpe(path)
 
 
-def blocks(values, most: int):
-    """Runs of ``values`` (texts or nulls) of about ``most`` characters."""
-    block, size = [], 0
-    for v in values:
-        block.append(v or "")
-        size += len(block[-1]) + 1
-        if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def blocks(batch: pa.RecordBatch, column: int, most: int):
+    """The batch in runs of about ``most`` characters or bytes of a column: (run, its values, null as None)."""
+    start, block, size = 0, [], 0
+    for i, v in enumerate(batch.column(column), 1):
+        block.append(v.as_py())
+        size += len(block[-1] or "") + 1
+        if size >= most or i == batch.num_rows:
+            yield batch.slice(start, i - start), block
+            start, block, size = i, [], 0
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -229,9 +233,10 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id
     def run(batches):
         bpe = load(tokenizer)
         for batch in batches:
-            ids = [x for block in blocks((v.as_py() for v in batch.column(1)), BLOCK_CHARS) for x in bpe.encode_block(block)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                                             names=[key, "n_tokens", "ids"])
+            for part, texts in blocks(batch, 1, BLOCK_CHARS):
+                ids = bpe.encode_block([t or "" for t in texts])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                                                 names=[key, "n_tokens", "ids"])
 
     return ship(rows).mapInArrow(run, T.StructType([df.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]))
 
@@ -243,7 +248,8 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", keep: tuple[str, ...
     def run(batches):
         bpe = load(tokenizer)
         for batch in batches:
-            texts = [bpe.decode(v.as_py() or b"") for v in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*keep, "decoded"])
+            for part, ids in blocks(batch, len(keep), BLOCK_BYTES):
+                texts = [bpe.decode(x or b"") for x in ids]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     return ship(rows).mapInArrow(run, T.StructType([*(df.schema[c] for c in keep), T.StructField("decoded", T.StringType())]))
