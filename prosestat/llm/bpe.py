@@ -30,10 +30,10 @@ from prosestat.llm.shared import ship
 # Fixed value: the public word pattern of the byte-level vocabulary.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of text tokenized at once, and pieces whose ids are remembered; both bound memory, not results.
-BLOCK_CHARS = 10_000_000
+BLOCK_CHARS = 4_000_000
 KNOWN_PIECES = 300_000
 #: Ids decoded at once, in bytes.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 #: Symbols indexed at once.
 SLICE = 1 << 19
 #: White space before a space or a line end.
@@ -67,15 +67,10 @@ class PairIndexBpe:
             raise ValueError("added tokens that take in their surroundings are not supported")
         vocab = dict(model["vocab"])
         letters = byte_letters()
-        back = {c: b for b, c in enumerate(letters)}
         self.byte_id = np.array([vocab[c] for c in letters], np.int64)
         self.special = {t["content"]: t["id"] for t in added}
         self.split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if added else None
         self.words = regex.compile(WORDS)
-        self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
-        for text, i in [*vocab.items(), *self.special.items()]:
-            known = all(c in back for c in text)
-            self.bytes_of[i] = bytes(back[c] for c in text) if known else text.encode()
         self.merges: list[tuple[int, int, int]] = []
         ranks: dict[tuple[int, int], int] = {}
         born: dict[int, int] = {}
@@ -206,15 +201,29 @@ class PairIndexBpe:
             out.append(b"".join(ids))
         return out
 
-    def decode(self, packed: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
-
 
 @lru_cache(maxsize=4)
 def load(path: str) -> PairIndexBpe:
     return PairIndexBpe(path)
 
 
+@lru_cache(maxsize=4)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id; decoding needs no more of the file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    back = {c: b for b, c in enumerate(byte_letters())}
+    ids = [*spec["model"]["vocab"].items(), *((t["content"], t["id"]) for t in spec.get("added_tokens") or [])]
+    out = [b""] * (1 + max(i for _, i in ids))
+    for text, i in ids:
+        out[i] = bytes(back[c] for c in text) if all(c in back for c in text) else text.encode()
+    return out
+
+
+def text_of(packed: bytes, table: list[bytes]) -> str:
+    return b"".join(map(table.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
+
+
 def blocks(batch: pa.RecordBatch, column: int, most: int):
     """The batch in runs of about ``most`` characters or bytes of a column: (run, its values, null as None)."""
     start, block, size = 0, [], 0
@@ -246,10 +255,10 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", keep: tuple[str, ...
     rows = df.select(*[df[c] for c in keep], df[ids].alias("ids_"))
 
     def run(batches):
-        bpe = load(tokenizer)
+        table = token_bytes(tokenizer)
         for batch in batches:
             for part, ids in blocks(batch, len(keep), BLOCK_BYTES):
-                texts = [bpe.decode(x or b"") for x in ids]
+                texts = [text_of(x or b"", table) for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     return ship(rows).mapInArrow(run, T.StructType([*(df.schema[c] for c in keep), T.StructField("decoded", T.StringType())]))
