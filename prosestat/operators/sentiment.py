@@ -2,40 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import NamedTuple
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prosestat.constants import SENTIMENT_METRICS
 from prosestat.functions.numbers import ratio
-from prosestat.functions.text import is_content, let, letter_tokens, total
-from prosestat.operators.wordfreq import word_counts_by_book
-
-# A lexicon of this many terms takes a few MB; a larger one is not broadcast.
-BROADCAST_TERMS = 100_000
-# Up to these sizes a lexicon is put into the expression itself.
-INLINE_TERMS, INLINE_SCORES = 10_000, 32
+from prosestat.operators.wordfreq import content_runs
 
 
-def sentiment_by_book(bodies: DataFrame, lexicon: DataFrame,
-                      lexicon_terms: int | None = None) -> DataFrame:
+def sentiment_by_book(bodies: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``(book_id, polarity_score, positive_count, negative_count, total_scored_words)``.
 
-    ``lexicon`` is ``(term, score)`` with one row per term. ``lexicon_terms`` is
-    a known bound on its size; without one it is counted, at most to the limit.
-    A small lexicon is broadcast and words are scored where the text is read, so
-    one row per book and task is shuffled. Beyond the limit, counts per book and
-    word are joined on the word instead. Every book gets a row.
+    ``lexicon`` is ``(term, score)``; a repeated term has its greatest score, a
+    null score is no score. Each text is reduced to its distinct words and their
+    counts where it is read; these are joined with the lexicon on the word. How
+    the join runs is left to the optimizer: a small lexicon is broadcast, a large
+    one shuffled with hot words split. Every book gets a row.
     """
-    terms = lexicon_terms
-    if terms is None:
-        terms = lexicon.limit(BROADCAST_TERMS + 1).count()
-    scored = (_scored_tokens(bodies, lexicon) if terms <= BROADCAST_TERMS
-              else _scored_counts(bodies, lexicon))
+    scores = lexicon.where("score is not null").groupBy("term").agg(F.max("score").alias("score"))
+    # A book without words keeps one row with a null word.
+    runs = bodies.select("book_id", F.explode_outer(content_runs(F.col("text"))).alias("run")).select(
+        "book_id", F.col("run.word").alias("term"), F.col("run.n").alias("n"))
     # score is null for a word that is not in the lexicon
-    sums = scored.groupBy("book_id").agg(
+    sums = runs.join(scores, "term", "left").groupBy("book_id").agg(
         F.coalesce(F.sum(F.col("score") * F.col("n")), F.lit(0)).alias("score_sum"),
         F.coalesce(F.sum(F.when(F.col("score") > 0, F.col("n"))), F.lit(0)).alias("positive_count"),
         F.coalesce(F.sum(F.when(F.col("score") < 0, F.col("n"))), F.lit(0)).alias("negative_count"),
@@ -46,64 +35,6 @@ def sentiment_by_book(bodies: DataFrame, lexicon: DataFrame,
         *[F.col(name).cast("double").alias(name) for name in SENTIMENT_METRICS[1:]])
 
 
-def _scored_tokens(bodies: DataFrame, lexicon: DataFrame) -> DataFrame:
-    # A book without words keeps one row with a null word.
-    tokens = F.filter(letter_tokens("text"), is_content)
-    words = bodies.select("book_id", F.explode_outer(tokens).alias("term"))
-    return words.join(F.broadcast(lexicon), "term", "left").select(
-        "book_id", "score", F.lit(1).alias("n"))
-
-
-def _scored_counts(bodies: DataFrame, lexicon: DataFrame) -> DataFrame:
-    counts = word_counts_by_book(bodies).withColumnRenamed("word", "term")
-    scored = counts.join(lexicon, "term").select("book_id", "score", "n")
-    unscored = bodies.select("book_id", F.lit(None).cast("int").alias("score"),
-                             F.lit(0).cast("bigint").alias("n"))
-    return scored.unionByName(unscored)
-
-
-class InlineScorer(NamedTuple):
-    """A lexicon as expressions of a word column."""
-    knows: Callable[[Column], Column]
-    score: Callable[[Column], Column]
-
-
-def inline_scorer(lexicon: DataFrame) -> InlineScorer | None:
-    """The lexicon as expressions, if it is small enough.
-
-    Terms are grouped by score, one hashed set each. At most one row more than
-    the limit is fetched; for a larger lexicon there is no scorer, use the join.
-    """
-    rows = lexicon.select("term", "score").limit(INLINE_TERMS + 1).collect()
-    terms: dict[int, list[str]] = {}
-    for row in rows:
-        terms.setdefault(row.score, []).append(row.term)
-    if len(rows) > INLINE_TERMS or len(terms) > INLINE_SCORES:
-        return None
-    known = [row.term for row in rows]
-    return InlineScorer(
-        lambda word: word.isin(known),
-        lambda word: F.coalesce(F.lit(None).cast("int"), *[
-            F.when(word.isin(ts), score) for score, ts in terms.items()]))
-
-
-def score_runs(runs: Column, scorer: InlineScorer) -> Column:
-    """Struct of the four metrics of one row's word runs; no join and no shuffle."""
-    # Most words are in no lexicon: one lookup sets them aside, the rest are scored.
-    scored = F.transform(F.filter(runs, lambda r: scorer.knows(r["word"])), lambda r: F.struct(
-        r["n"], scorer.score(r["word"]).alias("score")))
-
-    def metrics(entries: Column) -> Column:
-        some = lambda test: total(entries, lambda r: F.when(test(r["score"]), r["n"]).otherwise(0))
-        found = total(entries, lambda r: r["n"])
-        value = total(entries, lambda r: r["n"] * r["score"])
-        counts = (some(lambda score: score > 0), some(lambda score: score < 0), found)
-        return F.struct(ratio(value, found).alias(SENTIMENT_METRICS[0]), *[
-            n.cast("double").alias(name) for name, n in zip(SENTIMENT_METRICS[1:], counts)])
-
-    return let(scored, metrics)
-
-
 def sentiment_long(sentiment: DataFrame) -> DataFrame:
     """``(book_id, metric, value)``, unrounded."""
     return sentiment.unpivot("book_id", list(SENTIMENT_METRICS), "metric", "value")

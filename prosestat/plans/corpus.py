@@ -16,9 +16,7 @@ from prosestat.functions.text import let, strip
 from prosestat.operators import cohorts
 from prosestat.operators.body import cut_body
 from prosestat.operators.report import comparison_report
-from prosestat.operators.sentiment import (
-    INLINE_TERMS, inline_scorer, score_runs, sentiment_by_book, sentiment_long,
-)
+from prosestat.operators.sentiment import sentiment_by_book, sentiment_long
 from prosestat.operators.syntactic import readability, rounded, syntactic_counts, syntactic_long
 from prosestat.operators.wordfreq import content_runs, profile_of, word_counts_by_book
 from prosestat.sources import sinks
@@ -37,34 +35,22 @@ class CorpusRun(NamedTuple):
     report: DataFrame
 
 
-def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None,
-                  lexicon_terms: int | None = None) -> DataFrame:
+def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None) -> DataFrame:
     """``(book_id, total_word_count, unique_word_count, top_words, sentiment, syntactic)``.
 
-    For ``(book_id, text)`` with one row per book. A small lexicon becomes part
-    of the expression and everything is one pass over the texts without a
-    shuffle: a text is reduced to about a kilobyte where it is read. A larger
-    lexicon is joined, which reads the texts again and shuffles the short
-    results. ``lexicon_terms`` is a known bound on the lexicon's size. Bodies are
-    cut strictly for words and leniently for the syntactic metrics unless one
+    For ``(book_id, text)`` with one row per book. Words and syntactic metrics
+    are one pass over the texts without a shuffle; sentiment is a second, as its
+    words are joined with the lexicon; only short results meet. Bodies are cut
+    strictly for words and leniently for the syntactic metrics unless one
     ``mode`` is given for both.
     """
-    small = lexicon_terms is None or lexicon_terms <= INLINE_TERMS
-    scorer = inline_scorer(lexicon) if small else None
     strict, lenient = body_text("text", mode or "strict"), body_text("text", mode or "lenient")
-
-    def of_words(runs: Column) -> Column:
-        fields = [profile_of(runs).alias("profile")]
-        return F.struct(*fields, *([score_runs(runs, scorer).alias("sentiment")] if scorer else []))
-
-    cut = books.select("book_id", let(content_runs(strict), of_words).alias("_w"), lenient.alias("text"))
+    words = let(content_runs(strict), lambda runs: F.struct(profile_of(runs).alias("profile")))
+    cut = books.select("book_id", words.alias("_w"), lenient.alias("text"))
     metrics = rounded(readability(syntactic_counts(cut, "_w"), "_w")).select(
         "book_id", "_w.*", F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
-    if not scorer:
-        scores = sentiment_by_book(cut_body(books.select("book_id", "text"), mode or "strict"),
-                                   lexicon, lexicon_terms)
-        metrics = metrics.join(scores.select(
-            "book_id", F.struct(*SENTIMENT_METRICS).alias("sentiment")), "book_id")
+    scores = sentiment_by_book(cut_body(books.select("book_id", "text"), mode or "strict"), lexicon)
+    metrics = metrics.join(scores.select("book_id", F.struct(*SENTIMENT_METRICS).alias("sentiment")), "book_id")
     return metrics.select(
         "book_id", "profile.*",
         F.struct(F.round("sentiment.polarity_score", 4).alias("polarity_score"),
@@ -130,8 +116,7 @@ def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_
     metadata = scan_metadata(spark, metadata_path, limit)
     lexicon = scan_lexicon(spark, lexicon_path)
     books = scan_books(spark, books_dir).select(file_name("path").alias("book_id"), "text")
-    if limit > 0:
-        books = books.join(metadata.select(F.col("filename").alias("book_id")), "book_id", "left_semi")
+    books = books.join(metadata.select(F.col("filename").alias("book_id")), "book_id", "left_semi")
     strict = cut_body(books, "strict")
 
     counts = under_listed_ids(word_counts_by_book(strict), metadata)

@@ -8,7 +8,6 @@ lines and files are derived from the rows. Nothing is sampled or capped.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -23,7 +22,6 @@ from prosestat.operators import cohorts, normalize, sentiment, syntactic, valida
 from prosestat.operators.body import body_of_lines, cut_body
 from prosestat.operators.report import comparison_report
 from prosestat.plans.corpus import assemble_records, measure_books
-from prosestat.session import spread
 from prosestat.sources import components, sinks
 from prosestat.sources.books import scan_book_lines, scan_books, scan_inventory
 from prosestat.sources.lexicon import scan_lexicon
@@ -47,8 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def books_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(book_id, text)`` of the documents."""
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text")
-    return spread(rows, "book_id")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text")
 
 
 def metadata_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,8 +97,7 @@ def top20_by_doc(spark, sf_dir):
 
 def top20_by_source(spark, sf_dir):
     """A source is a book of many rows: counted and ranked across them."""
-    shards = spread(table(spark, sf_dir, "documents").select(
-        F.col("source").alias("book_id"), "text", "doc_id"), "doc_id").drop("doc_id")
+    shards = table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), "text")
     ranked = wordfreq.top_words_by_book(wordfreq.word_counts_by_book(shards))
     return ranked.withColumnRenamed("book_id", "source")
 
@@ -168,13 +164,11 @@ def sentiment_by_doc(spark, sf_dir):
 
 
 def sentiment_by_doc_large_lexicon(spark, sf_dir):
-    """The same through the join that a lexicon too large to broadcast takes."""
+    """The same with a lexicon of all words of the corpus, which has no bound."""
     vocabulary = wordfreq.word_counts(books_of(spark, sf_dir)).select(
         F.col("word").alias("term"), ((F.length("word") * 7 + F.ascii("word")) % 11 - 5)
         .cast("int").alias("score"))
-    # The lexicon is the corpus vocabulary, which has no bound.
-    return doc(sentiment.sentiment_by_book(books_of(spark, sf_dir), vocabulary,
-                                           lexicon_terms=sentiment.BROADCAST_TERMS + 1))
+    return doc(sentiment.sentiment_by_book(books_of(spark, sf_dir), vocabulary))
 
 
 def sentiment_rollup(spark, sf_dir):
@@ -203,8 +197,7 @@ def unique_words(spark, sf_dir):
 
 def syntactic_by_source(spark, sf_dir):
     """Documents as shards of their source: counters add up, vocabularies unite."""
-    shards = spread(table(spark, sf_dir, "documents").select(
-        F.col("source").alias("book_id"), "text", "doc_id"), "doc_id").drop("doc_id")
+    shards = table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), "text")
     merged = syntactic.merge_partials(syntactic.syntactic_partials(shards))
     return syntactic.readability(merged).withColumnRenamed("book_id", "source")
 
@@ -501,10 +494,10 @@ def listing_totals(spark, sf_dir):
 # ---------------------------------------------------------------- written and read back
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the session names; a local one only without it."""
+    """A new path in the shared folder the session names, else in its warehouse; never a local one."""
     root = (spark.conf.get("spark.checkpoint.dir", None)
             or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-            or tempfile.mkdtemp(prefix="prosestat-"))
+            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/written")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -25,24 +25,3 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-# Input below which a task would have too little to do.
-_TASK_BYTES = 256 * 1024
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash ``df`` by ``keys`` over the cores when a scan would leave most of them idle.
-
-    Tokenizing is CPU-bound, and a table of a few row groups is read by a few
-    tasks. An input with a scan split for a quarter of the cores or more is
-    returned as is: there, moving the texts would cost more than it gains.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= cores * split // 4:
-        return df
-    return df.repartition(max(1, min(2 * cores, -(-size // _TASK_BYTES))), *keys)

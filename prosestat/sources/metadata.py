@@ -28,10 +28,10 @@ def parse_metadata_line(line: Column | str) -> Column:
 def parse_metadata(lines: DataFrame, column: str = "value") -> DataFrame:
     """``(book_id, title, author, is_bestseller)`` from CSV lines, by position.
 
-    A line whose id field reads "book_id" is a header.
+    A line whose id field is "book_id", in either case, is a header.
     """
     rows = lines.select(parse_metadata_line(column).alias("m")).where("m is not null")
-    return rows.select("m.*").where(~F.contains(F.lower("book_id"), F.lit("book_id")))
+    return rows.select("m.*").where(F.lower("book_id") != "book_id")
 
 
 def scan_metadata_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,9 +41,10 @@ def scan_metadata_lines(spark: SparkSession, path: str) -> DataFrame:
 def scan_metadata(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
     """Metadata by column name, ``filename`` defaulting to ``<book_id>.txt``.
 
-    ``limit`` > 0 keeps the first rows in file order.
+    ``limit`` > 0 keeps the first rows in file order. A quoted field may hold
+    line ends; a file of metadata is small and read by one task for that.
     """
-    rows = spark.read.csv(path, header=True, **_CSV)
+    rows = spark.read.csv(path, header=True, multiLine=True, **_CSV)
     if "filename" not in rows.columns:
         rows = rows.withColumn("filename", F.lit(None).cast("string"))
     named = rows.withColumn("filename", F.coalesce(

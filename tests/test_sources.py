@@ -1,6 +1,6 @@
 from prosestat.sources import components, sinks
 from prosestat.sources.lexicon import scan_lexicon
-from prosestat.sources.metadata import scan_metadata, scan_metadata_lines
+from prosestat.sources.metadata import parse_metadata, scan_metadata, scan_metadata_lines
 
 CSV = ('book_id,title,author,is_bestseller,filename\r\n1,Plain Title,"Last, First",1,1.txt\r\n'
        '2,"Title, with ""comma""",Solo,0,\r\n3,Flag missing,Solo,,3.txt\r\n4,Too,few\r\n\r\n')
@@ -79,3 +79,13 @@ def test_writes_replace_and_merge(spark, tmp_path):
     assert (tmp_path / "out" / "book_id=1").is_dir()
     facts = components.facts_from_lines(components.scan_lines(spark, path + "/book_id=1", "1", "wordfreq"))
     assert tuple(facts.first()) == ("1", "wordfreq", "a", "3")
+
+
+def test_metadata_field_over_two_lines_and_ids_like_the_header(spark, tmp_path):
+    path = tmp_path / "meta.csv"
+    path.write_bytes(b'book_id,title,author,is_bestseller,filename\r\n7,"Upper\nLower, again",Someone,1,seven.txt\r\n8,Plain,Other,0,\r\n')
+    got = [tuple(r) for r in scan_metadata(spark, str(path)).orderBy("book_id").collect()]
+    assert got == [("7", "Upper\nLower, again", "Someone", "1", "seven.txt"), ("8", "Plain", "Other", "0", "8.txt")]
+    assert scan_metadata(spark, str(path), 1).first().book_id == "7"
+    lines = spark.createDataFrame([("BOOK_ID,t,a,f",), ("my_book_id_7,A,X,1",)], "value string")
+    assert [r.book_id for r in parse_metadata(lines).collect()] == ["my_book_id_7"]

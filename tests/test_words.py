@@ -72,9 +72,8 @@ def lexicon(spark):
         [("love", 3), ("hate", -4), ("stone", 0), ("no", -1), ("blue sky", 2)], "term string, score int")
 
 
-@pytest.mark.parametrize("terms", [None, 5, S.BROADCAST_TERMS + 1])
-def test_sentiment_both_joins(spark, shelf, terms):
-    got = {r.book_id: r for r in S.sentiment_by_book(frame(spark, shelf), lexicon(spark), terms).collect()}
+def test_sentiment(spark, shelf):
+    got = {r.book_id: r for r in S.sentiment_by_book(frame(spark, shelf), lexicon(spark)).collect()}
     want = expected_counts(shelf)
     assert set(got) == set(want)
     for book, counts in want.items():
@@ -85,9 +84,14 @@ def test_sentiment_both_joins(spark, shelf, terms):
         assert r.polarity_score == pytest.approx((3 * love - 4 * hate) / scored if scored else 0.0)
 
 
-def test_large_lexicon_is_not_broadcast_by_hint(spark, shelf):
-    plan = S.sentiment_by_book(frame(spark, shelf), lexicon(spark), S.BROADCAST_TERMS + 1)
-    assert "hint" not in plan._jdf.queryExecution().optimizedPlan().toString().lower()
+def test_repeated_and_null_terms_have_one_answer(spark):
+    book = spark.createDataFrame([("b", "fine odd pair")], "book_id string, text string")
+    lex = spark.createDataFrame([("fine", 1), ("odd", None), ("pair", 1), ("pair", 2)], "term string, score int")
+    for bound in ("-1", "10m"):  # shuffled and broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        r = S.sentiment_by_book(book, lex).first()
+        assert (r.polarity_score, r.positive_count, r.total_scored_words) == (1.5, 2, 2)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_metric_sums_add_polarity_too(spark):
