@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from prosestat.constants import LENIENT_END, LENIENT_START, STRICT_END, STRICT_START
+from prosestat.functions.text import let
 
 MARKERS = {"strict": (STRICT_START, STRICT_END), "lenient": (LENIENT_START, LENIENT_END)}
 
@@ -26,12 +27,14 @@ def body_text(text: Column | str, mode: str) -> Column:
     start, end = MARKERS[mode]
     from_start = F.get(F.split(text, start, 2), F.lit(1))
     below = F.get(F.split(from_start, "\n", 2), F.lit(1))
-    cut = F.split(below, end, 2)
-    head = F.get(cut, F.lit(0))
-    # The END line begins after the last line end of what stands before the marker.
-    begun = F.length(F.substring_index(head, "\n", -1))
-    whole_lines = F.left(head, F.length(head) - begun)
-    return F.coalesce(F.when(F.size(cut) == 2, whole_lines).otherwise(below), F.lit(""))
+
+    def above_end(cut: Column) -> Column:
+        head = F.get(cut, F.lit(0))
+        # The END line begins after the last line end of what stands before the marker.
+        begun = F.length(F.substring_index(head, "\n", -1))
+        return F.when(F.size(cut) == 2, F.left(head, F.length(head) - begun)).otherwise(head)
+
+    return F.coalesce(let(F.split(below, end, 2), above_end), F.lit(""))
 
 
 def body_lines(text: Column | str, mode: str) -> Column:

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from prosestat.constants import COHORTS, DROP_REASONS
 from prosestat.functions.text import is_blank, strip
 
-_NOT_FINITE = r"([:\[,]\s*)-?(?:NaN|Infinity)"
+_NOT_FINITE = r"-?(?:NaN|Infinity)"
+# Stand-ins for escapes, two code points that are no characters.
+_BACKSLASH, _QUOTE = "\ufdd0", "\ufdd1"
 
 
 def line_key(line: Column | str) -> Column:
@@ -24,15 +26,26 @@ def line_json(line: Column | str) -> Column:
     return F.get(F.split(line, "\t", 2), F.lit(1))
 
 
+def finite(json: Column | str) -> Column:
+    """JSON text with null for the non-finite numbers outside its strings.
+
+    Without escapes, every second part between quotes lies outside strings.
+    """
+    hidden = F.replace(F.replace(json, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    parts = F.transform(F.split(hidden, '"', -1), lambda part, i: F.when(
+        i % 2 == 0, F.regexp_replace(part, _NOT_FINITE, "null")).otherwise(part))
+    shown = F.replace(F.replace(F.array_join(parts, '"'), F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    return F.when(F.contains(json, F.lit("NaN")) | F.contains(json, F.lit("Infinity")), shown).otherwise(
+        F.col(json) if isinstance(json, str) else json)
+
+
 def parse(json: Column | str) -> Column:
     """The JSON value as a variant, null if malformed; non-finite numbers read as null.
 
     The text is wrapped in an array, as the parser ignores what follows a value.
     """
-    whole = F.try_parse_json(F.concat(F.lit("["), json, F.lit("]")))
-    finite = F.try_parse_json(F.concat(
-        F.lit("["), F.regexp_replace(json, _NOT_FINITE, "$1null"), F.lit("]")))
-    return F.try_variant_get(F.coalesce(whole, finite), "$[0]", "variant")
+    whole = F.try_parse_json(F.concat(F.lit("["), finite(json), F.lit("]")))
+    return F.try_variant_get(whole, "$[0]", "variant")
 
 
 def type_name(value: Column) -> Column:
@@ -53,8 +66,10 @@ def member(value: Column | str, path: str) -> Column:
 
 
 def whole_number(value: Column) -> Column:
+    """A JSON number without a fraction; exact over all 64 bits."""
     n = number(value)
-    return F.when(n == F.floor(n), n.cast("bigint"))
+    return F.when(type_name(value) == "BIGINT", F.try_variant_get(value, "$", "bigint")).when(
+        (n == F.floor(n)) & (F.abs(n) < 2.0 ** 63), n.cast("bigint"))
 
 
 def number_map(value: Column | str, path: str) -> Column:

@@ -10,6 +10,7 @@ from prosestat.functions.text import strip
 _INT = r"^[+-]?[0-9]+(?:_[0-9]+)*\z"
 _FLOAT = (r"^[+-]?(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)"
           r"(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?\z")
+_SIMPLE = r"^-?[0-9]+(?:\.[0-9]+)?\z"
 _SPECIAL = r"(?i)^[+-]?(?:inf|infinity|nan)\z"
 
 
@@ -23,10 +24,11 @@ def as_int(text: Column | str) -> Column:
 
 def as_float(text: Column | str) -> Column:
     """The number a text spells, else null; type suffixes and hex are refused."""
-    t = strip(text)
+    raw, t = F.col(text) if isinstance(text, str) else text, strip(text)
     plain = F.when(F.rlike(t, F.lit(_FLOAT)), F.replace(t, F.lit("_"), F.lit("")))
     special = F.when(F.rlike(t, F.lit(_SPECIAL)), F.regexp_replace(t, "(?i)^[+-](?=nan)", ""))
-    return F.coalesce(plain, special).try_cast("double")
+    # One expression settles what is spelt plainly; the rest is only tried for other texts.
+    return F.when(F.rlike(raw, F.lit(_SIMPLE)), raw).otherwise(F.coalesce(plain, special)).try_cast("double")
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

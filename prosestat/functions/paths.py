@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import posixpath
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +21,14 @@ def file_name(path: Column | str) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def path_below(path: Column | str, folder: str) -> Column:
+    """A plain path relative to ``folder`` (no pattern), null for one that is not below it."""
+    inner = "/" + posixpath.normpath(urlsplit(folder).path).strip("/") + "/"
+    local = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    at = F.position(F.lit(inner), local)
+    return F.when(at > 0, F.substr(local, at + len(inner)))
+
+
 def path_component(path: Column | str) -> Column:
     """Component named by the path, ``unknown`` if none; the first family wins."""
     lowered = F.lower(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosestat.functions.body import MARKERS, body_lines, body_text
@@ -21,8 +21,8 @@ def explode_lines(books: DataFrame, mode: str) -> DataFrame:
 def body_of_lines(lines: DataFrame, mode: str) -> DataFrame:
     """The body rows of ``scan_book_lines`` output, in any row order.
 
-    The few marker lines give each file its bounds, which are joined back to the
-    lines. The join is left to the optimizer: bounds of few files are broadcast
+    The lines are read twice: once for the few marker lines, which give each file
+    its bounds, and once for the lines these are joined back to. The join is left to the optimizer: bounds of few files are broadcast
     by their measured size, otherwise adaptive execution splits a hot file.
     """
     if mode == "none":
@@ -30,11 +30,10 @@ def body_of_lines(lines: DataFrame, mode: str) -> DataFrame:
     start, end = (F.rlike("text", F.lit(pattern)) for pattern in MARKERS[mode])
     marks = lines.select("path", "position", start.alias("is_start"), end.alias("is_end")).where(
         "is_start or is_end")
-    starts = marks.where("is_start").groupBy("path").agg(F.min("position").alias("first"))
-    # Aggregated in two steps, so no file's marker lines meet in one list.
-    ends = (marks.where("is_end").join(starts, "path").where("position > first")
-            .groupBy("path").agg(F.min("position").alias("last")))
-    bounds = starts.join(ends, "path", "left")
+    first = F.min(F.when(F.col("is_start"), F.col("position"))).over(Window.partitionBy("path"))
+    bounds = marks.withColumn("first", first).where("first is not null").groupBy("path").agg(
+        F.min("first").alias("first"),
+        F.min(F.when(F.col("is_end") & (F.col("position") > F.col("first")), F.col("position"))).alias("last"))
     inside = (F.col("position") > F.col("first")) & (
         F.col("last").isNull() | (F.col("position") < F.col("last")))
     return lines.join(bounds, "path").where(inside).drop("first", "last")

@@ -26,3 +26,8 @@ def comparison_report(comparison: DataFrame, top: int = 6) -> DataFrame:
         display("bestseller_mean").alias("bestseller_mean"),
         display("standard_mean").alias("standard_mean"), display("delta").alias("delta"),
         F.coalesce("direction", F.lit("NA")).alias("direction"))
+
+
+def preview(records: DataFrame, n: int = 5, key: str = "book_id") -> DataFrame:
+    """The first ``n`` records in the order of their keys."""
+    return records.orderBy(key).limit(n)

@@ -11,16 +11,20 @@ from prosestat.constants import (
     METADATA_FIELDS, SENTIMENT_METRICS, SYNTACTIC_METRICS, TIE_EPSILON,
 )
 from prosestat.functions.body import body_text
-from prosestat.functions.paths import file_name
+from prosestat.functions.paths import path_below
 from prosestat.functions.text import let, strip
 from prosestat.operators import cohorts
-from prosestat.operators.body import cut_body
+from prosestat.operators.body import body_of_lines, cut_body
 from prosestat.operators.report import comparison_report
 from prosestat.operators.sentiment import sentiment_by_book, sentiment_long
-from prosestat.operators.syntactic import readability, rounded, syntactic_counts, syntactic_long
-from prosestat.operators.wordfreq import content_runs, profile_of, word_counts_by_book
+from prosestat.operators.syntactic import (
+    merge_partials, readability, rounded, syntactic_counts, syntactic_long, syntactic_partials,
+)
+from prosestat.operators.wordfreq import (
+    content_runs, profile_of, top_words_by_book, word_counts_by_book,
+)
 from prosestat.sources import sinks
-from prosestat.sources.books import scan_books
+from prosestat.sources.books import scan_book_lines, scan_books, scan_inventory
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata
 
@@ -50,11 +54,43 @@ def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None)
     metrics = rounded(readability(syntactic_counts(cut, "_w"), "_w")).select(
         "book_id", "_w.*", F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
     scores = sentiment_by_book(cut_body(books.select("book_id", "text"), mode or "strict"), lexicon)
-    metrics = metrics.join(scores.select("book_id", F.struct(*SENTIMENT_METRICS).alias("sentiment")), "book_id")
-    return metrics.select(
-        "book_id", "profile.*",
-        F.struct(F.round("sentiment.polarity_score", 4).alias("polarity_score"),
-                 *[f"sentiment.{m}" for m in SENTIMENT_METRICS[1:]]).alias("sentiment"), "syntactic")
+    return metrics.join(_sentiment_struct(scores), "book_id").select(
+        "book_id", "profile.*", "sentiment", "syntactic")
+
+
+def _sentiment_struct(scores: DataFrame) -> DataFrame:
+    return scores.select("book_id", F.struct(
+        F.round("polarity_score", 4).alias("polarity_score"), *SENTIMENT_METRICS[1:]).alias("sentiment"))
+
+
+def measure_lines(strict: DataFrame, lenient: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """The columns of ``measure_books`` for books of many rows, cut in both modes.
+
+    Rows are ``(book_id, text)``; a book without a body needs one empty row. No
+    book is held in one row: words are counted by (book, word), a task sends at
+    most its top words of a book, counters of rows add up.
+    """
+    counts = word_counts_by_book(strict)
+    totals = counts.groupBy("book_id").agg(F.sum("n").alias("total_word_count"),
+                                           F.count("*").alias("unique_word_count"))
+    top = top_words_by_book(counts).groupBy("book_id").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "word", F.col("n").alias("count")))).alias("ranked"))
+    top = top.select("book_id", F.transform("ranked", lambda r: F.struct(r["word"], r["count"])).alias("top_words"))
+    metrics = rounded(readability(merge_partials(syntactic_partials(lenient)))).select(
+        "book_id", F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
+    scores = _sentiment_struct(sentiment_by_book(strict, lexicon))
+    return (metrics.join(scores, "book_id").join(totals, "book_id", "left").join(top, "book_id", "left")
+            .select("book_id", "total_word_count", "unique_word_count", "top_words", "sentiment", "syntactic"))
+
+
+def body_rows(spark: SparkSession, books_dir: str, mode: str) -> DataFrame:
+    """``(book_id, text)`` of all body lines below a folder, and an empty row per file.
+
+    The id is the path below the folder.
+    """
+    key = path_below("path", books_dir).alias("book_id")
+    empty = scan_inventory(spark, books_dir).select(key, F.lit("").alias("text"))
+    return body_of_lines(scan_book_lines(spark, books_dir), mode).select(key, "text").unionByName(empty)
 
 
 def _map_of(struct: str, names: tuple[str, ...]) -> Column:
@@ -106,21 +142,31 @@ def under_listed_ids(results: DataFrame, metadata: DataFrame) -> DataFrame:
 
 def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_path: str,
                output: str | None = None, limit: int = 0, top: int = 6,
-               eps: float = TIE_EPSILON) -> CorpusRun:
+               eps: float = TIE_EPSILON, by_line: bool = False) -> CorpusRun:
     """All stages over a directory of books; ``limit`` > 0 takes the first listed books.
 
+    A listed file name is the path below ``books_dir``, folders included; files
+    that are not listed are not measured. ``by_line`` reads the books in splits,
+    so that one may be larger than a row can be, with the same results.
+
     With ``output`` every result is written below it, and later stages read the
     written records, so the texts are not processed again and a lost executor
     costs no more than its own tasks. Without it the results are lazy.
     """
     metadata = scan_metadata(spark, metadata_path, limit)
     lexicon = scan_lexicon(spark, lexicon_path)
-    books = scan_books(spark, books_dir).select(file_name("path").alias("book_id"), "text")
-    books = books.join(metadata.select(F.col("filename").alias("book_id")), "book_id", "left_semi")
-    strict = cut_body(books, "strict")
-
+    listed = metadata.select(F.col("filename").alias("book_id"))
+    if by_line:
+        strict, lenient = (body_rows(spark, books_dir, mode).join(listed, "book_id", "left_semi")
+                           for mode in ("strict", "lenient"))
+        measured = measure_lines(strict, lenient, lexicon)
+    else:
+        books = scan_books(spark, books_dir).select(path_below("path", books_dir).alias("book_id"), "text")
+        books = books.join(listed, "book_id", "left_semi")
+        strict = cut_body(books, "strict")
+        measured = measure_books(books, lexicon)
     counts = under_listed_ids(word_counts_by_book(strict), metadata)
-    measured = under_listed_ids(measure_books(books, lexicon), metadata)
+    measured = under_listed_ids(measured, metadata)
     sentiment = measured.select("book_id", "sentiment.*")
     syntactic = measured.select("book_id", "syntactic.*")
     records = assemble_records(measured, metadata)

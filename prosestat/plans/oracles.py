@@ -6,7 +6,7 @@ from prosestat.constants import (
     ABBREVIATIONS, COMPONENT_KEYWORDS, FREQUENCY_STOPWORDS, REPORT_FIRST, SENTIMENT_METRICS,
     SYNTACTIC_METRICS, VOCABULARY_STOPWORDS,
 )
-from prosestat.plans.queries import START
+from prosestat.plans.queries import END, START
 
 
 def _list(values) -> str:
@@ -128,11 +128,17 @@ META = """meta AS (
   SELECT d.doc_id, source AS title, lang AS author, CAST(quality AS VARCHAR) AS is_bestseller
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
-# One row per document with everything a record holds.
-REC = f"""{WF}, {LEX}, {_sent('lex')}, {_c3('doc_id')}, {META},
-totals AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS total, count(*) AS uniq FROM wf GROUP BY doc_id),
-s4 AS (SELECT doc_id, {_sentiment_row(_POLARITY4)} FROM sent),
-r4 AS (SELECT k AS doc_id, {_READ4} FROM c3)"""
+def _rec(meta: str = META, words: str = "TRUE", scored: str = "TRUE", measured: str = "TRUE") -> str:
+    """One row per book in ``ids`` and what a record holds; conditions on doc_id say what a book has."""
+    return f"""{WF}, {LEX}, {_sent('lex')}, {_c3('doc_id')}, {meta},
+totals AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS total, count(*) AS uniq FROM wf WHERE {words} GROUP BY doc_id),
+s4 AS (SELECT doc_id, {_sentiment_row(_POLARITY4)} FROM sent WHERE {scored}),
+r4 AS (SELECT * FROM (SELECT k AS doc_id, {_READ4} FROM c3) WHERE {measured}),
+ids AS (SELECT doc_id FROM meta UNION SELECT doc_id FROM totals UNION SELECT doc_id FROM s4
+  UNION SELECT doc_id FROM r4)"""
+
+
+REC = _rec()
 
 _FACTS = f"""{REC}, facts AS (
   SELECT CAST(doc_id AS VARCHAR) AS book_id, 'wordfreq' AS component, word AS metric,
@@ -147,30 +153,36 @@ _FACTS = f"""{REC}, facts AS (
     FROM (UNPIVOT meta ON title, author, is_bestseller INTO NAME metric VALUE value)
     WHERE value <> '')"""
 
-_FLAT = f"""WITH {REC}, ranked AS (
-  SELECT doc_id, word, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rk FROM wf),
+def _flat(rec: str, before: str = "", after: str = "") -> str:
+    return f"""WITH {before}{rec}, ranked AS (
+  SELECT doc_id, word, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rk
+  FROM wf WHERE doc_id IN (SELECT doc_id FROM totals)),
 top AS (
   SELECT doc_id, count(*) AS n_top, max(word) FILTER (WHERE rk = 1) AS first_word,
     string_agg(word || ':' || n, ' ' ORDER BY rk) AS top_words
   FROM ranked WHERE rk <= 20 GROUP BY doc_id)
-SELECT CAST(m.doc_id AS VARCHAR) AS book_id, title, author, is_bestseller,
-  {', '.join(SENTIMENT_METRICS)}, {', '.join(f'r.{m} AS syntactic_{m}' for m in SYNTACTIC_METRICS[:6])},
-  CAST(9 AS BIGINT) AS n_syntactic, total AS total_word_count, uniq AS unique_word_count,
-  n_top, first_word, top_words
-FROM meta m JOIN s4 USING (doc_id) JOIN r4 r USING (doc_id)
-LEFT JOIN totals USING (doc_id) LEFT JOIN top USING (doc_id)"""
+SELECT CAST(ids.doc_id AS VARCHAR) AS book_id, title, author, is_bestseller,
+  {', '.join(SENTIMENT_METRICS)}, {', '.join(f'r.{m} AS syntactic_{m}' for m in SYNTACTIC_METRICS)},
+  CAST(CASE WHEN r.word_count IS NULL THEN 0 ELSE 9 END AS BIGINT) AS n_syntactic,
+  total AS total_word_count, uniq AS unique_word_count, n_top, first_word, top_words
+FROM ids LEFT JOIN meta m USING (doc_id) LEFT JOIN s4 USING (doc_id) LEFT JOIN r4 r USING (doc_id)
+LEFT JOIN totals USING (doc_id) LEFT JOIN top USING (doc_id){after}"""
+
+
+_FLAT = _flat(REC)
 
 # Cohort sums: long form of every usable record.
 _SCALARS = ("polarity_score", "positive_count", "negative_count", "total_scored_words",
             "total_word_count", "unique_word_count", "type_token_ratio")
-MEANS = f"""{REC}, usable AS (
+def _means(rec: str) -> str:
+    return f"""{rec}, usable AS (
   SELECT CASE is_bestseller WHEN '1' THEN 'bestseller' WHEN '0' THEN 'standard' END AS cohort, doc_id
   FROM meta WHERE is_bestseller IN ('0', '1')),
 sizes AS (SELECT cohort, count(*) AS n FROM usable GROUP BY cohort),
 sc AS (
   SELECT cohort, {', '.join(SENTIMENT_METRICS)}, CAST(total AS DOUBLE) AS total_word_count,
     CAST(uniq AS DOUBLE) AS unique_word_count, CAST(uniq AS DOUBLE) / total AS type_token_ratio
-  FROM usable JOIN s4 USING (doc_id) LEFT JOIN totals USING (doc_id)),
+  FROM usable LEFT JOIN s4 USING (doc_id) LEFT JOIN totals USING (doc_id)),
 means AS (
   SELECT cohort, 'scalar' AS family, metric, any_value(n) AS n_books, sum(value) AS total,
     sum(value) / any_value(n) AS mean
@@ -181,7 +193,11 @@ means AS (
   FROM (UNPIVOT r4 ON {', '.join(SYNTACTIC_METRICS)} INTO NAME metric VALUE value) JOIN usable USING (doc_id)
   GROUP BY cohort, metric)"""
 
-COMPARED = f"""{MEANS}, sides AS (
+MEANS = _means(REC)
+
+
+def _compared(rec: str) -> str:
+    return f"""{_means(rec)}, sides AS (
   SELECT family, metric, max(mean) FILTER (WHERE cohort = 'bestseller') AS b,
     max(mean) FILTER (WHERE cohort = 'standard') AS s FROM means GROUP BY family, metric),
 compared AS (
@@ -189,20 +205,53 @@ compared AS (
     CASE WHEN b - s IS NULL THEN NULL WHEN abs(b - s) < 1e-9 THEN 'tie'
          WHEN b - s > 0 THEN 'bestseller_higher' ELSE 'standard_higher' END AS direction FROM sides)"""
 
-SUMMARY = f"""WITH {COMPARED}
-SELECT 'head' AS section, name, value FROM (
-  SELECT 'input_lines' AS name, CAST(count(*) AS DOUBLE) AS value FROM documents
-  UNION ALL SELECT 'books_aggregated', count(*) FROM usable
-  UNION ALL SELECT 'dropped_lines', (SELECT count(*) FROM documents) - (SELECT count(*) FROM usable)
-  UNION ALL SELECT 'bestseller_books', coalesce((SELECT n FROM sizes WHERE cohort = 'bestseller'), 0)
-  UNION ALL SELECT 'standard_books', coalesce((SELECT n FROM sizes WHERE cohort = 'standard'), 0))
-UNION ALL SELECT 'dropped', 'missing_or_invalid_cohort', CAST(count(*) AS DOUBLE)
-  FROM meta WHERE is_bestseller IS NULL HAVING count(*) > 0
-UNION ALL SELECT 'delta', metric, round(d, 3) FROM compared WHERE family = 'scalar'
-UNION ALL SELECT 'syntactic_delta', metric, round(d, 3) FROM compared WHERE family = 'syntactic'
+COMPARED = _compared(REC)
+
+_SCALAR_PLACES = " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(_SCALARS, 1))
+
+
+def _summary(rec: str, before: str = "") -> str:
+    """Keys are sorted by name, but for the means of scalars, which have an order of their own."""
+    return f"""WITH {before}{_compared(rec)}
+SELECT 'head' AS section, place, name, value, CAST(NULL AS VARCHAR) AS direction FROM (
+  SELECT CAST(1 AS BIGINT) AS place, 'input_lines' AS name, CAST(count(*) AS DOUBLE) AS value FROM ids
+  UNION ALL SELECT 2, 'books_aggregated', count(*) FROM usable
+  UNION ALL SELECT 3, 'dropped_lines', (SELECT count(*) FROM ids) - (SELECT count(*) FROM usable)
+  UNION ALL SELECT 4, 'bestseller_books', coalesce((SELECT n FROM sizes WHERE cohort = 'bestseller'), 0)
+  UNION ALL SELECT 5, 'standard_books', coalesce((SELECT n FROM sizes WHERE cohort = 'standard'), 0)
+  UNION ALL SELECT 6, 'version', 1)
+UNION ALL SELECT 'dropped', 1, 'missing_or_invalid_cohort', CAST(count(*) AS DOUBLE), NULL
+  FROM ids LEFT JOIN meta USING (doc_id) WHERE is_bestseller IS NULL HAVING count(*) > 0
+UNION ALL SELECT CASE family WHEN 'scalar' THEN 'delta' ELSE 'syntactic_delta' END,
+  row_number() OVER (PARTITION BY family ORDER BY metric), metric, round(d, 3), direction FROM compared
 UNION ALL SELECT cohort || CASE family WHEN 'scalar' THEN '_means' ELSE '_syntactic_means' END,
-  metric, round(mean, 3) FROM means
-UNION ALL SELECT cohort || '_sums', metric, round(total, 3) FROM means WHERE family = 'scalar'"""
+  row_number() OVER (PARTITION BY cohort, family ORDER BY CASE WHEN family = 'scalar' THEN CASE metric {_SCALAR_PLACES} END END, metric),
+  metric, round(mean, 3), NULL FROM means
+UNION ALL SELECT cohort || '_sums', row_number() OVER (PARTITION BY cohort ORDER BY metric),
+  metric, round(total, 3), NULL FROM means WHERE family = 'scalar'"""
+
+
+SUMMARY = _summary(REC)
+
+# Documents that lack some of their parts.
+_PARTIAL = _rec(
+    meta=META.replace("ON d.doc_id = l.doc_id", "ON d.doc_id = l.doc_id WHERE d.doc_id % 7 >= 2"),
+    words="doc_id % 3 <> 0 AND doc_id % 11 <> 0", scored="doc_id % 2 <> 0 AND doc_id % 11 <> 0",
+    measured="doc_id % 5 <> 0 AND doc_id % 11 <> 0")
+
+# Files of every second document out of twenty, three of four listed, and a missing one for each twenty.
+_SHELF = """shelf AS (
+  SELECT book AS doc_id, 'shelf' AS source, string_agg(text, chr(10) ORDER BY place) AS text
+  FROM (SELECT doc_id // 20 * 2 + doc_id % 2 AS book, doc_id AS place, text FROM documents) GROUP BY book),
+"""
+_LISTED = _rec(
+    meta="""meta AS (
+  SELECT doc_id, 'Volume ' || doc_id || chr(10) || '"of many", complete' AS title, 'A' || abs(doc_id) % 5 AS author,
+    CASE WHEN abs(doc_id) % 3 < 2 THEN CAST(abs(doc_id) % 3 AS VARCHAR) END AS is_bestseller
+  FROM (SELECT doc_id FROM documents WHERE doc_id % 4 <> 3
+        UNION SELECT -1 - doc_id // 2 FROM documents))""",
+    words="doc_id % 4 <> 3", scored="doc_id % 4 <> 3", measured="doc_id % 4 <> 3",
+).replace("FROM documents", "FROM shelf")
 
 _PLACES = " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(REPORT_FIRST, 1))
 
@@ -244,7 +293,7 @@ parsed AS (
 # What each of the twelve record lines of the derived input is worth.
 LINES = """bad AS (
   SELECT d.doc_id, d.n_chars, d.source, l.quality,
-    CASE d.doc_id % 12
+    CASE d.doc_id % 14
       WHEN 0 THEN 'empty_line' WHEN 1 THEN 'no_tab_separator' WHEN 2 THEN 'malformed_json'
       WHEN 3 THEN 'not_a_json_object' WHEN 4 THEN 'missing_or_invalid_cohort'
       WHEN 6 THEN CASE WHEN l.quality IS NULL THEN 'malformed_json' ELSE 'missing_or_invalid_cohort' END
@@ -356,14 +405,24 @@ SELECT book_id, component, metric, max(value) AS value FROM every
 WHERE component = 'metadata' OR regexp_full_match(value, '-?[0-9]+(\\.[0-9]+)?') GROUP BY book_id, component, metric""",
     "normalized_records": _FLAT,
     "direct_records": _FLAT,
+    "record_preview": _flat(REC, after=" ORDER BY book_id LIMIT 10"),
+    "partial_records": _flat(_PARTIAL),
+    "partial_summary": _summary(_PARTIAL),
     "record_payloads": f"""WITH {LINES}
-SELECT drop_reason, CASE quality WHEN 1 THEN 'bestseller' ELSE 'standard' END AS cohort,
-  CAST(doc_id AS VARCHAR) AS book_id, source AS title, n_chars AS total_word_count,
-  CAST(1 AS BIGINT) AS unique_word_count,
-  CASE WHEN n_chars > 0 THEN 1.0::DOUBLE / n_chars END AS type_token_ratio,
-  CAST(0.5 AS DOUBLE) AS polarity_score, CAST(NULL AS DOUBLE) AS positive_count,
-  CAST(n_chars AS DOUBLE) AS a, CAST(1 AS BIGINT) AS n_syntactic
-FROM bad WHERE drop_reason IS NULL""",
+SELECT drop_reason,
+  CASE WHEN drop_reason IS NULL THEN CASE quality WHEN 1 THEN 'bestseller' ELSE 'standard' END END AS cohort,
+  CASE doc_id % 14 WHEN 0 THEN '' WHEN 1 THEN doc_id || ' no tab' ELSE CAST(doc_id AS VARCHAR) END AS book_id,
+  CASE WHEN parsed THEN CASE WHEN doc_id % 14 = 13 THEN 'Zero, NaN: -Infinity, \\"' ELSE '' END || source
+       WHEN doc_id % 14 = 4 THEN 'x' ELSE '' END AS title,
+  CASE WHEN parsed THEN total END AS total_word_count,
+  CASE WHEN parsed THEN CAST(1 AS BIGINT) END AS unique_word_count,
+  CASE WHEN parsed AND total > 0 THEN 1.0::DOUBLE / total END AS type_token_ratio,
+  CASE WHEN parsed THEN CAST(0.5 AS DOUBLE) END AS polarity_score, CAST(NULL AS DOUBLE) AS positive_count,
+  CASE WHEN parsed THEN CAST(total AS DOUBLE) END AS a,
+  CAST(CASE WHEN parsed THEN 1 ELSE 0 END AS BIGINT) AS n_syntactic
+FROM (SELECT *, doc_id % 14 >= 5 AND NOT (doc_id % 14 = 6 AND quality IS NULL) AS parsed,
+  CASE WHEN doc_id % 14 = 12 THEN CAST('90071992547' || lpad(CAST(doc_id AS VARCHAR), 7, '1') AS BIGINT)
+       ELSE n_chars END AS total FROM bad)""",
     "drop_reasons": f"""WITH {LINES} SELECT drop_reason, count(*) AS n FROM bad
 WHERE drop_reason IS NOT NULL GROUP BY drop_reason""",
     "record_counts": f"""WITH {LINES} SELECT count(*) AS input_lines,
@@ -399,26 +458,44 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
   count(*) - count(l.doc_id) AS books_missing
 FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id""",
     "written_word_counts": f"""WITH {WF} SELECT 'wordfreq' AS component, doc_id || ':' || word AS metric, n FROM wf""",
-    "written_metrics": f"""WITH {_c3('doc_id')} SELECT 'syntactic' AS component, metric, count(*) AS n,
-  CAST(sum(value) AS BIGINT) AS total
-FROM (UNPIVOT (SELECT word_count, sentence_count, unique_word_count FROM c3)
-      ON word_count, sentence_count, unique_word_count INTO NAME metric VALUE value) GROUP BY metric""",
-    "written_lexicon": f"WITH {LEX} SELECT term, score FROM lex WHERE length(term) % 4 NOT IN (0, 1)",
+    "written_word_tables": f"WITH {WF} SELECT doc_id, word, n FROM wf",
+    "written_components": f"""WITH {TOK}, {LEX}, {_sent('lex')}, wide AS (
+  SELECT {_sentiment_row(_POLARITY)} FROM sent), counts AS (SELECT word, CAST(count(*) AS VARCHAR) AS n FROM tok GROUP BY word)
+SELECT 'wordfreq' AS component, word AS metric, n AS value FROM counts
+UNION ALL SELECT 'as sentiment', word, n FROM counts
+UNION ALL SELECT 'sentiment', metric, printf('%.4f', round(sum(value), 4))
+FROM (UNPIVOT wide ON {', '.join(SENTIMENT_METRICS)} INTO NAME metric VALUE value) GROUP BY metric""",
+    "written_metrics": f"""WITH {_c3('doc_id')}, r4 AS (SELECT {_READ4} FROM c3)
+SELECT 'syntactic' AS component, metric, count(*) AS n, CAST(sum(CAST(printf('%.4f', value) AS DECIMAL(18, 4))) AS DOUBLE) AS total
+FROM (UNPIVOT r4 ON {', '.join(SYNTACTIC_METRICS)} INTO NAME metric VALUE value) GROUP BY metric""",
+    "written_lexicon": f"""WITH {LEX}
+SELECT term, CAST(CASE WHEN length(term) % 4 IN (0, 1) THEN score + 20 ELSE score END AS INTEGER) AS score FROM lex""",
+    "written_metadata_first": """SELECT CAST(doc_id AS VARCHAR) AS book_id, source AS title, doc_id || '.txt' AS filename
+FROM documents ORDER BY documents.doc_id LIMIT 50""",
     "written_metadata": f"""WITH {META} SELECT CAST(doc_id AS VARCHAR) AS book_id,
   title || ', "' || author || '"' AS title, author, coalesce(is_bestseller, '') AS is_bestseller,
   doc_id || '.txt' AS filename FROM meta""",
     "written_metadata_lines": f"""WITH {META} SELECT CAST(doc_id AS VARCHAR) AS book_id,
   title || ', "' || author || '"' AS title, author, coalesce(is_bestseller, '') AS is_bestseller FROM meta""",
-    "written_records": f"""WITH {REC} SELECT CAST(m.doc_id AS VARCHAR) AS book_id,
+    "written_records": f"""WITH {REC}, tops AS (
+  SELECT doc_id, '[' || string_agg('["' || word || '",' || n || ']', ',' ORDER BY n DESC, word) || ']' AS top FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rk FROM wf) WHERE rk <= 20 GROUP BY doc_id)
+SELECT md5(coalesce(top, '[]')) AS top_md5, CAST(m.doc_id AS VARCHAR) AS book_id,
   CASE WHEN is_bestseller IS NULL THEN 'missing_or_invalid_cohort' END AS drop_reason,
   CASE is_bestseller WHEN '1' THEN 'bestseller' WHEN '0' THEN 'standard' END AS cohort, title, author,
   total AS total_word_count, uniq AS unique_word_count,
   CASE WHEN total > 0 THEN CAST(uniq AS DOUBLE) / total END AS type_token_ratio,
-  {', '.join(SENTIMENT_METRICS)}, CAST(9 AS BIGINT) AS n_syntactic, word_count
-FROM meta m JOIN s4 USING (doc_id) JOIN r4 USING (doc_id) LEFT JOIN totals USING (doc_id)""",
+  {', '.join(SENTIMENT_METRICS)}, CAST(9 AS BIGINT) AS n_syntactic,
+  {', '.join(f'r.{m} AS syntactic_{m}' for m in SYNTACTIC_METRICS)}
+FROM meta m JOIN s4 USING (doc_id) JOIN r4 r USING (doc_id) LEFT JOIN totals USING (doc_id) LEFT JOIN tops USING (doc_id)""",
     "written_summary": SUMMARY,
     "written_report": _report(""),
     "written_volumes": VOLUMES,
     "written_volumes_by_line": VOLUMES,
-    "written_inventory": "SELECT DISTINCT doc_id // 100 AS volume, CAST(1 AS BIGINT) AS n_files FROM documents",
+    "written_inventory": f"""SELECT doc_id // 100 AS volume, CAST(1 AS BIGINT) AS n_files,
+  CAST((sum(strlen(text) + 1) + {len(f'front {START} {END} tail ')}) // 1024 AS BIGINT) AS size_kb
+FROM documents GROUP BY doc_id // 100""",
+    "written_corpus_run": _flat(_LISTED, _SHELF),
+    "written_corpus_summary": _summary(_LISTED, _SHELF),
+    "records_by_line": _flat(_LISTED, _SHELF),
 }

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from prosestat.constants import SENTIMENT_METRICS, SYNTACTIC_METRICS
 from prosestat.functions.body import body_lines, body_text
-from prosestat.functions.paths import path_book_id, path_component, stem_book_id
+from prosestat.functions.paths import path_below, path_book_id, path_component, stem_book_id
 from prosestat.functions.text import is_blank, letter_tokens
 from prosestat.operators import cohorts, normalize, sentiment, syntactic, validate, wordfreq
 from prosestat.operators.body import body_of_lines, cut_body
-from prosestat.operators.report import comparison_report
-from prosestat.plans.corpus import assemble_records, measure_books
+from prosestat.operators.report import comparison_report, preview
+from prosestat.plans.corpus import assemble_records, measure_books, run_corpus
 from prosestat.sources import components, sinks
 from prosestat.sources.books import scan_book_lines, scan_books, scan_inventory
 from prosestat.sources.lexicon import scan_lexicon
@@ -304,7 +304,7 @@ def _flat_records(records: DataFrame) -> DataFrame:
     return records.select(
         "book_id", *[at("metadata", k).alias(k) for k in ("title", "author", "is_bestseller")],
         *[at("sentiment", k).alias(k) for k in SENTIMENT_METRICS],
-        *[at("syntactic", k).alias(f"syntactic_{k}") for k in SYNTACTIC_METRICS[:6]],
+        *[at("syntactic", k).alias(f"syntactic_{k}") for k in SYNTACTIC_METRICS],
         F.size("syntactic").cast("bigint").alias("n_syntactic"),
         "total_word_count", "unique_word_count", F.size("top_words").cast("bigint").alias("n_top"),
         F.get("top_words", F.lit(0))["word"].alias("first_word"),
@@ -328,6 +328,30 @@ def direct_records(spark, sf_dir):
     return _flat_records(_records(spark, sf_dir))
 
 
+def record_preview(spark, sf_dir):
+    """The first ten records by id: a preview is what the limit is for."""
+    return _flat_records(preview(_records(spark, sf_dir), 10))
+
+
+def _partial_records(spark, sf_dir) -> DataFrame:
+    """Records of documents that lack sentiment, words, syntactic metrics, listing or text, in all combinations."""
+    facts = _facts(spark, sf_dir)
+    number, of = F.col("book_id").cast("bigint"), F.col("component")
+    gone = (((of == "sentiment") & (number % 2 == 0)) | ((of == "wordfreq") & (number % 3 == 0))
+            | ((of == "syntactic") & (number % 5 == 0)) | ((of == "metadata") & (number % 7 < 2))
+            | ((of != "metadata") & (number % 11 == 0)))
+    return normalize.build_records(facts.where(~gone))
+
+
+def partial_records(spark, sf_dir):
+    return _flat_records(_partial_records(spark, sf_dir))
+
+
+def partial_summary(spark, sf_dir):
+    """Cohort sums and means where books lack metrics."""
+    return _flat_summary(cohorts.aggregate_cohorts(cohorts.payloads_from_records(_partial_records(spark, sf_dir))))
+
+
 # ---------------------------------------------------------------- record lines and cohorts
 
 def _record_lines(spark, sf_dir) -> DataFrame:
@@ -336,10 +360,10 @@ def _record_lines(spark, sf_dir) -> DataFrame:
     size = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "n_chars")
     rows = about.join(size, "book_id")
     idt, n = F.col("book_id").cast("string"), F.col("n_chars").cast("string")
-    variant = F.col("book_id") % 12
+    variant = F.col("book_id") % 14
     flag = F.coalesce("is_bestseller", F.lit("null"))
-    json = lambda f, bid: F.concat(
-        F.lit('{"book_id": '), bid, F.lit(', "metadata": {"title": "'), "title",
+    json = lambda f, bid, before="", n=n: F.concat(
+        F.lit('{"book_id": '), bid, F.lit(', "metadata": {"title": "' + before), "title",
         F.lit('", "is_bestseller": '), f, F.lit('}, "sentiment": {"polarity_score": 0.5, '
                                                 '"positive_count": "7"}, "syntactic": {"a": '), n,
         F.lit(', "b": "x"}, "total_word_count": '), n, F.lit(', "unique_word_count": 1}'))
@@ -350,18 +374,21 @@ def _record_lines(spark, sf_dir) -> DataFrame:
         tab(F.lit('{"metadata": {"title": "x"}}')), tab(json(flag, idt)),
         tab(json(F.concat(flag, F.lit(".0")), idt)), tab(json(F.lit("true"), idt)),
         tab(json(F.lit('"2"'), idt)), tab(json(F.concat(F.lit('" '), flag, F.lit('"')), F.lit('""'))),
-        tab(json(quoted, F.concat(idt, F.lit(".0")))))
-    line = F.coalesce(*[F.when(variant == i, c) for i, c in enumerate(cases)], tab(json(quoted, F.lit("null"))))
+        tab(json(quoted, F.concat(idt, F.lit(".0")))), tab(json(quoted, F.lit("null"))),
+        # a whole number no double holds; a number that isn't finite beside the same words in a title
+        tab(json(quoted, idt, n=F.concat(F.lit("90071992547"), F.lpad(F.col("book_id").cast("string"), 7, "1")))))
+    endless = tab(F.replace(json(quoted, idt, 'Zero, NaN: -Infinity, \\\\\\"'), F.lit('"b": "x"'), F.lit('"b": -Infinity, "c": NaN')))
+    line = F.coalesce(*[F.when(variant == i, c) for i, c in enumerate(cases)], endless)
     return rows.select(line.alias("value"))
 
 
 def record_payloads(spark, sf_dir):
+    """Every line, those left out with their reason."""
     rows = cohorts.payloads_from_lines(_record_lines(spark, sf_dir))
     return rows.select("drop_reason", "cohort", "book_id", "title", "total_word_count",
                        "unique_word_count", "type_token_ratio", "polarity_score", "positive_count",
                        F.try_element_at("syntactic", F.lit("a")).alias("a"),
-                       F.size("syntactic").cast("bigint").alias("n_syntactic")
-                       ).where(F.col("drop_reason").isNull())
+                       F.coalesce(F.size("syntactic"), F.lit(0)).cast("bigint").alias("n_syntactic"))
 
 
 def drop_reasons(spark, sf_dir):
@@ -402,27 +429,31 @@ def cohort_report(spark, sf_dir):
 
 
 def cohort_summary(spark, sf_dir):
-    """The nested one-row summary, flattened to (section, name, value)."""
+    """The nested one-row summary, flattened to (section, place, name, value, direction)."""
     one = cohorts.aggregate_cohorts(cohorts.payloads_from_records(_records(spark, sf_dir)))
     return _flat_summary(one)
 
 
 def _flat_summary(one: DataFrame) -> DataFrame:
-    def section(name: str, column: str | Column) -> Column:
-        return F.transform(F.map_entries(column), lambda e: F.struct(
-            F.lit(name).alias("section"), e["key"].alias("name"),
-            F.round(e["value"].cast("double"), 3).alias("value")))
+    none = F.lit(None).cast("string")
+
+    def section(name: str, column: str | Column, value=lambda e: e["value"], direction=lambda e: none) -> Column:
+        return F.transform(F.map_entries(column), lambda e, i: F.struct(
+            F.lit(name).alias("section"), (i + 1).cast("bigint").alias("place"), e["key"].alias("name"),
+            F.round(value(e).cast("double"), 3).alias("value"), direction(e).alias("direction")))
 
     cohort = lambda c, field: F.col("by_cohort")[c][field]
     heads = {"input_lines": F.col("input_lines"), "books_aggregated": F.col("books_aggregated"),
              "dropped_lines": F.col("dropped_lines"),
              "bestseller_books": cohort("bestseller", "n_books"),
-             "standard_books": cohort("standard", "n_books")}
+             "standard_books": cohort("standard", "n_books"), "version": F.col("version")}
+    turns = F.col("comparison.direction")
     parts = [section("head", F.create_map(*[x for k, v in heads.items() for x in (F.lit(k), v)])),
              section("dropped", "dropped_by_reason"),
-             section("delta", "comparison.mean_deltas_bestseller_minus_standard"),
-             section("syntactic_delta", F.transform_values(
-                 "comparison.syntactic_mean_deltas", lambda _, v: v["delta"]))]
+             section("delta", "comparison.mean_deltas_bestseller_minus_standard",
+                     direction=lambda e: F.try_element_at(turns, e["key"])),
+             section("syntactic_delta", "comparison.syntactic_mean_deltas",
+                     lambda e: e["value"]["delta"], lambda e: e["value"]["direction"])]
     parts += [section(f"{c}_{field}", cohort(c, field)) for c in ("bestseller", "standard")
               for field in ("means", "syntactic_means", "sums")]
     return one.select(F.inline_outer(F.concat(*parts)))
@@ -511,16 +542,36 @@ def written_word_counts(spark, sf_dir):
     return facts.select("component", "metric", F.col("value").cast("bigint").alias("n"))
 
 
+def written_word_tables(spark, sf_dir):
+    """Counts per document as Parquet, ranged by key, over an output that was there before."""
+    path = shared_path(spark, "wordfreq")
+    counts = wordfreq.word_counts_by_book(books_of(spark, sf_dir))
+    sinks.write_word_counts(counts.withColumn("n", F.col("n") * 2), path)
+    sinks.write_word_counts(counts, path)
+    return doc(spark.read.parquet(path))
+
+
+def written_components(spark, sf_dir):
+    """Outputs of two components read in one scan, told apart by path; then one of them as another component's."""
+    words, scores = shared_path(spark, "wordfreq"), shared_path(spark, "sentiment")
+    sinks.write_word_counts(wordfreq_corpus(spark, sf_dir), words, "tsv")
+    sums = sentiment_rollup(spark, sf_dir).withColumn("book_id", F.lit("corpus"))
+    sinks.fixed_values(sums).select(F.concat_ws("\t", "metric", "value").alias("value")).write.mode("overwrite").text(scores)
+    both = components.facts_from_lines(components.scan_lines(spark, [words, scores], "corpus"))
+    other = components.facts_from_lines(components.scan_lines(spark, words, "corpus", "sentiment"))
+    return both.select("component", "metric", "value").unionByName(other.select(
+        F.concat(F.lit("as "), "component").alias("component"), "metric", "value"))
+
+
 def written_metrics(spark, sf_dir):
-    """Syntactic metrics as three-field TSV, read back as facts."""
+    """All syntactic metrics as three-field TSV, read back as facts."""
     path = shared_path(spark, "syntactic")
     measures = syntactic.syntactic_long(syntactic.readability(
         syntactic.syntactic_counts(books_of(spark, sf_dir))))
-    whole = measures.where(F.col("metric").isin("word_count", "sentence_count", "unique_word_count"))
-    sinks.write_metrics(sinks.fixed_values(whole, SYNTACTIC_METRICS[:3]), path)
+    sinks.write_metrics(sinks.fixed_values(measures, SYNTACTIC_METRICS[:3]), path)
     facts = components.facts_from_lines(components.scan_lines(spark, path, "corpus"))
     return facts.groupBy("component", "metric").agg(
-        F.count("*").alias("n"), F.sum(F.col("value").cast("bigint")).alias("total"))
+        F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("total"))
 
 
 def written_lexicon(spark, sf_dir):
@@ -530,7 +581,8 @@ def written_lexicon(spark, sf_dir):
     text = F.concat_ws("\t", "term", F.col("score").cast("string"))
     short = F.when(F.length("term") % 4 == 0, F.col("term")).when(
         F.length("term") % 4 == 1, F.concat(text, F.lit("\tmore"))).otherwise(text)
-    lexicon.select(short.alias("value")).write.mode("overwrite").text(path)
+    before = F.concat_ws("\t", "term", (F.col("score") + 20).cast("string"))
+    lexicon.select(F.explode(F.array(before, short)).alias("value")).write.mode("overwrite").text(path)
     return scan_lexicon(spark, path)
 
 
@@ -542,6 +594,13 @@ def written_metadata(spark, sf_dir):
         "book_id", "title", "author", F.coalesce("is_bestseller", F.lit("")).alias("is_bestseller"), "filename")
 
 
+def written_metadata_first(spark, sf_dir):
+    """The first fifty listed books, in file order: the limit is the reader's feature."""
+    path = shared_path(spark, "metadata")
+    sinks.write_metadata(metadata_of(spark, sf_dir).orderBy("book_id"), path)
+    return scan_metadata(spark, path, 50).select("book_id", "title", "filename")
+
+
 def written_metadata_lines(spark, sf_dir):
     """The same CSV read line by line and by position."""
     path = shared_path(spark, "metadata")
@@ -557,14 +616,17 @@ def _quoted_metadata(spark, sf_dir) -> DataFrame:
 
 
 def written_records(spark, sf_dir):
-    """Records as ``book_id TAB json`` lines, read back as payloads."""
+    """Records as ``book_id TAB json`` lines, read back as payloads, top words as written."""
     path = shared_path(spark, "records")
     sinks.write_records(_records(spark, sf_dir), path, fmt="jsonl")
-    rows = cohorts.payloads_from_lines(scan_record_lines(spark, path))
-    return rows.select("book_id", "drop_reason", "cohort", "title", "author", "total_word_count",
+    read = scan_record_lines(spark, path)
+    rows = cohorts.payloads_from_lines(read)
+    top = read.select(F.substring_index("value", "\t", 1).alias("book_id"), F.md5(F.get_json_object(
+        F.get(F.split("value", "\t", 2), F.lit(1)), "$.top_words")).alias("top_md5"))
+    return rows.join(top, "book_id").select("top_md5", "book_id", "drop_reason", "cohort", "title", "author", "total_word_count",
                        "unique_word_count", "type_token_ratio", *SENTIMENT_METRICS,
                        F.size("syntactic").cast("bigint").alias("n_syntactic"),
-                       F.try_element_at("syntactic", F.lit("word_count")).alias("word_count"))
+                       *[F.try_element_at("syntactic", F.lit(m)).alias(f"syntactic_{m}") for m in SYNTACTIC_METRICS])
 
 
 def written_summary(spark, sf_dir):
@@ -619,9 +681,56 @@ def written_volumes_by_line(spark, sf_dir):
 
 
 def written_inventory(spark, sf_dir):
-    """Files found per volume, contents unread."""
+    """Files found per volume and their size, contents unread."""
     files = scan_inventory(spark, _written_volumes(spark, sf_dir))
-    return files.groupBy(_volume(F.col("path")).alias("volume")).agg(F.count("*").alias("n_files"))
+    return files.groupBy(_volume(F.col("path")).alias("volume")).agg(
+        F.count("*").alias("n_files"), F.sum("size_kb").alias("size_kb"))
+
+
+def _corpus_run(spark, sf_dir, by_line: bool):
+    """A whole run over files: twenty documents a volume, even and odd ones in two
+    folders under the same file name; titles of two lines; each fourth file
+    unlisted; a listed book without a file for each volume; every third without a flag.
+    """
+    root = shared_path(spark, "corpus")
+    docs = table(spark, sf_dir, "documents").select(
+        F.floor(F.col("doc_id") / 20).alias("volume"), (F.col("doc_id") % 2).alias("half"),
+        F.col("doc_id").alias("place"), "text")
+    ends = docs.select("volume", "half").distinct()
+    edge = lambda place, text: ends.select("volume", "half", F.lit(place).cast("bigint").alias("place"),
+                                           F.lit(text).alias("text"))
+    leaves = docs.unionByName(edge(-1, "front\n" + START)).unionByName(edge(2**62, END + "\ntail"))
+    (leaves.repartition("volume").sortWithinPartitions("volume", "half", "place")
+     .select("volume", "half", F.col("text").alias("value")).write.partitionBy("volume", "half").text(f"{root}/books"))
+    filename = path_below("path", f"{root}/books")
+    book = _volume(filename) * 2 + F.regexp_extract(filename, "half=([0-9]+)/", 1).cast("bigint")
+    files = scan_inventory(spark, f"{root}/books").select(book.alias("n"), filename.alias("filename"))
+    missing = ends.select((-1 - F.col("volume")).alias("n"), F.lit("gone/").alias("filename")).distinct()
+    listing = files.where("n % 4 <> 3").unionByName(missing).select(
+        F.col("n").cast("string").alias("book_id"),
+        F.concat(F.lit("Volume "), "n", F.lit('\n"of many", complete')).alias("title"),
+        F.concat(F.lit("A"), F.abs("n") % 5).alias("author"),
+        F.when(F.abs("n") % 3 < 2, (F.abs("n") % 3).cast("string")).alias("is_bestseller"),
+        F.concat("filename", F.when(F.col("n") < 0, F.col("n").cast("string")).otherwise("")).alias("filename"))
+    sinks.write_metadata(listing, f"{root}/listing")
+    lexicon_of(spark, sf_dir).select(F.concat_ws("\t", "term", F.col("score").cast("string")).alias("value")
+                                     ).write.text(f"{root}/lexicon")
+    return run_corpus(spark, f"{root}/books", f"{root}/listing", f"{root}/lexicon", f"{root}/out", by_line=by_line)
+
+
+def written_corpus_run(spark, sf_dir):
+    """Records of a whole run over files."""
+    return _flat_records(_corpus_run(spark, sf_dir, by_line=False).records)
+
+
+def written_corpus_summary(spark, sf_dir):
+    """Summary of a whole run over files."""
+    return _flat_summary(_corpus_run(spark, sf_dir, by_line=False).summary)
+
+
+def records_by_line(spark, sf_dir):
+    """The same run with the files read in splits by line."""
+    return _flat_records(_corpus_run(spark, sf_dir, by_line=True).records)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
@@ -631,11 +740,14 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     syntactic_counts, readability, unique_words, syntactic_by_source, metrics_unpivot,
     path_components, path_book_ids, stem_book_ids,
     facts_union, facts_from_lines, facts_dedup, normalized_records, direct_records,
+    record_preview, partial_records, partial_summary,
     record_payloads, drop_reasons, record_counts,
     cohort_scalars, cohort_syntactic, cohort_deltas, cohort_report, cohort_summary,
     output_validation, validation_totals, polarity_gap,
     present_books, missing_books, book_sizes, listing_totals,
-    written_word_counts, written_metrics, written_lexicon, written_metadata, written_metadata_lines,
+    written_word_counts, written_word_tables, written_components, written_metrics, written_lexicon, written_metadata,
+    written_metadata_first, written_metadata_lines,
     written_records, written_summary, written_report,
     written_volumes, written_volumes_by_line, written_inventory,
+    written_corpus_run, written_corpus_summary, records_by_line,
 )}

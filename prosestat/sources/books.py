@@ -14,7 +14,7 @@ def _book_id(id_from: str) -> Column:
 
 def scan_books(spark: SparkSession, path: str, id_from: str = "stem",
                pattern: str = "*.txt") -> DataFrame:
-    """``(book_id, path, text)``, one row per file; a book must fit in one row.
+    """``(book_id, path, text)``, one row per file; a book must fit in one row, see ``scan_book_lines``.
 
     Bytes that are not UTF-8 decode to replacement characters, the book is kept.
     """

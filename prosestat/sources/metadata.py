@@ -47,8 +47,8 @@ def scan_metadata(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
     rows = spark.read.csv(path, header=True, multiLine=True, **_CSV)
     if "filename" not in rows.columns:
         rows = rows.withColumn("filename", F.lit(None).cast("string"))
-    named = rows.withColumn("filename", F.coalesce(
-        F.nullif("filename", F.lit("")), F.concat("book_id", F.lit(".txt"))))
+    named = rows.withColumn("book_id", strip("book_id")).withColumn("filename", F.coalesce(
+        F.nullif(strip("filename"), F.lit("")), F.concat("book_id", F.lit(".txt"))))
     return first_rows(named, limit)
 
 

@@ -32,7 +32,7 @@ END = "*** END OF THE PROJECT GUTENBERG EBOOK T ***"
 OTHER_START = "*** Start of this Project Gutenberg EBook T ***"
 OTHER_END = "*** End of this Project Gutenberg EBook T ***"
 SAMPLE = "\n".join([
-    "The quick brown fox jumps over the lazy dog.",
-    "She sells seashells by the seashore.",
-    "It was the best of times, it was the worst of times.",
-    "To be or not to be, that is the question."])
+    "The old miller walked down to the river at dawn.",
+    "Rain fell on the barn, and the goat slept.",
+    "Nobody saw the grey cat near the stove.",
+    "Did the baker forget the salt again?"])

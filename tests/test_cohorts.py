@@ -12,14 +12,15 @@ def line(book, flag, sentiment=(0.1, 10, 5, 100), total=1000, unique=400, syntac
     names = ("polarity_score", "positive_count", "negative_count", "total_scored_words")
     record = {"book_id": book, "metadata": {"title": "T", "is_bestseller": flag},
               "sentiment": dict(zip(names, sentiment or ())), "total_word_count": total,
-              "unique_word_count": unique, "top_words": [["the", 50]]}
+              "unique_word_count": unique, "top_words": [["river", 21]]}
     if syntactic:
         record["syntactic"] = syntactic
     return f"{book}\t{json.dumps(record)}"
 
 
-GOLDEN = [line("1342", "1", syntactic={"avg_sentence_length": 20.0}),
-          line("84", "1", (-0.05, 8, 8, 80), 800, 300), line("219", "0", (0.0, 5, 5, 50), 500, 200)]
+# Three invented books, the means worked out by hand.
+GOLDEN = [line("11", "1", (0.2, 12, 4, 60), 600, 240, {"avg_sentence_length": 14.0}),
+          line("12", "1", (-0.1, 6, 9, 40), 400, 200), line("13", "0", (0.3, 7, 2, 30), 300, 90)]
 
 
 def payloads(spark, lines):
@@ -32,12 +33,12 @@ def compared(spark, lines, **kw):
 
 
 COMPARISON = [
-    ("polarity_score", 0.025, 0.0, 0.025, "bestseller_higher"), ("positive_count", 9.0, 5.0, 4.0, "bestseller_higher"),
-    ("negative_count", 6.5, 5.0, 1.5, "bestseller_higher"), ("total_scored_words", 90.0, 50.0, 40.0, "bestseller_higher"),
-    ("total_word_count", 900.0, 500.0, 400.0, "bestseller_higher"),
-    ("unique_word_count", 350.0, 200.0, 150.0, "bestseller_higher"),
-    ("type_token_ratio", 0.3875, 0.4, -0.0125, "standard_higher"),
-    ("avg_sentence_length", 20.0, None, None, None)]
+    ("polarity_score", 0.05, 0.3, -0.25, "standard_higher"), ("positive_count", 9.0, 7.0, 2.0, "bestseller_higher"),
+    ("negative_count", 6.5, 2.0, 4.5, "bestseller_higher"), ("total_scored_words", 50.0, 30.0, 20.0, "bestseller_higher"),
+    ("total_word_count", 500.0, 300.0, 200.0, "bestseller_higher"),
+    ("unique_word_count", 220.0, 90.0, 130.0, "bestseller_higher"),
+    ("type_token_ratio", 0.45, 0.3, 0.15, "bestseller_higher"),
+    ("avg_sentence_length", 14.0, None, None, None)]
 
 
 def test_golden_comparison(spark):
@@ -50,10 +51,10 @@ def test_golden_comparison(spark):
 
 
 def test_two_mean_rules(spark):
-    lines = [GOLDEN[0], line("84", "1", None, 800, 300), GOLDEN[2]]
+    lines = [GOLDEN[0], line("12", "1", None, 400, 200), GOLDEN[2]]
     got = compared(spark, lines)
-    assert got["polarity_score"]["bestseller_mean"] == pytest.approx(0.05)
-    assert got["avg_sentence_length"]["bestseller_mean"] == pytest.approx(20.0)
+    assert got["polarity_score"]["bestseller_mean"] == pytest.approx(0.1)
+    assert got["avg_sentence_length"]["bestseller_mean"] == pytest.approx(14.0)
 
 
 REASONS = [
@@ -92,6 +93,16 @@ def test_field_types(spark):
     assert [r.book_id for r in payloads(spark, ids).collect()] == ["7", "7", "5.0"]
 
 
+def test_numbers_that_are_not_finite_and_whole_ones_beyond_doubles(spark):
+    raw = ['1\t{"metadata": {"title": "Zero, Infinity: NaN \\\\\\"x\\\"", "is_bestseller": 1}, "syntactic": {"a": -Infinity, "b": [NaN]}}',
+           '2\t{"metadata": {"title": "NaN", "is_bestseller": 0}, "total_word_count": 9007199254740993, "unique_word_count": 9223372036854775808}',
+           "3\tNaN"]
+    a, b, c = payloads(spark, raw).collect()
+    assert (a.drop_reason, a.title, a.syntactic) == (None, 'Zero, Infinity: NaN \\"x"', {})
+    assert (b.title, b.total_word_count, b.unique_word_count) == ("NaN", 9007199254740993, None)
+    assert c.drop_reason == "not_a_json_object"
+
+
 def test_tie(spark):
     lines = [line("1", "1"), line("2", "0")]
     assert compared(spark, lines)["polarity_score"]["direction"] == "tie"
@@ -107,12 +118,12 @@ def test_summary_document(spark, tmp_path):
     assert (doc["input_lines"], doc["books_aggregated"], doc["dropped_lines"]) == (4, 3, 1)
     assert doc["dropped_by_reason"] == {"no_tab_separator": 1}
     best = doc["by_cohort"]["bestseller"]
-    assert best["n_books"] == 2 and best["sums"]["total_word_count"] == 1800.0
+    assert best["n_books"] == 2 and best["sums"]["total_word_count"] == 1000.0
     assert list(best["means"])[0] == "polarity_score" and list(best["sums"])[0] == "negative_count"
     assert doc["comparison"]["syntactic_mean_deltas"] == {"avg_sentence_length": {"delta": None, "direction": None}}
     back = scan_summary(spark, path).first()
-    assert back.by_cohort["standard"]["means"]["type_token_ratio"] == 0.4
-    assert back.comparison.direction["type_token_ratio"] == "standard_higher"
+    assert back.by_cohort["standard"]["means"]["type_token_ratio"] == 0.3
+    assert back.comparison.direction["type_token_ratio"] == "bestseller_higher"
 
 
 def test_empty_input(spark):
@@ -128,10 +139,10 @@ def test_report(spark, tmp_path):
     rows = [tuple(r) for r in report.orderBy("position").collect()]
     assert [r[1] for r in rows] == ["polarity_score", "positive_count", "negative_count", "type_token_ratio",
                                     "unique_word_count", "total_word_count", "total_scored_words"]
-    assert rows[3] == (4, "type_token_ratio", "0.3875", "0.4000", "-0.0125", "standard_higher")
+    assert rows[3] == (4, "type_token_ratio", "0.4500", "0.3000", "0.1500", "bestseller_higher")
     assert comparison_report(C.compare(means), 0).count() == 1
     only = C.cohort_means(C.cohort_totals(payloads(spark, GOLDEN[:1])))
     assert tuple(comparison_report(C.compare(only), 1).first()) == (
-        1, "polarity_score", "0.1000", "NA", "NA", "NA")
+        1, "polarity_score", "0.2000", "NA", "NA", "NA")
     sinks.write_report(report, str(tmp_path / "r"))
     assert spark.read.csv(str(tmp_path / "r"), header=True).first()["metric"] == "polarity_score"

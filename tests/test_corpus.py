@@ -1,13 +1,15 @@
 import json
 
+import pytest
+
 from prosestat.operators import normalize
-from prosestat.operators.body import cut_body
+from prosestat.operators.body import body_of_lines, cut_body
 from prosestat.operators.sentiment import sentiment_by_book, sentiment_long
 from prosestat.operators.syntactic import readability, rounded, syntactic_counts, syntactic_long
 from prosestat.operators.wordfreq import word_counts_by_book
 from prosestat.plans.corpus import run_corpus
 from prosestat.sources import components, sinks
-from prosestat.sources.books import scan_books
+from prosestat.sources.books import scan_book_lines
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata
 
@@ -17,14 +19,14 @@ from conftest import END, OTHER_END, OTHER_START, SAMPLE, START
 def shelf(tmp_path):
     books = tmp_path / "books"
     books.mkdir()
-    (books / "1.txt").write_text(f"front\n{START}\n{SAMPLE}\nLove, love and hate.\n{END}\ntail love")
+    (books / "1.txt").write_text(f"front\n{START}\n{SAMPLE}\nCheer, cheer and gloom.\n{END}\ntail cheer")
     (books / "two.txt").write_text(f"{OTHER_START}\n{SAMPLE}\n{OTHER_END}\n")
-    (books / "3.txt").write_text("no markers, love")
-    (books / "unlisted.txt").write_text(f"{START}\nlove\n{END}")
+    (books / "3.txt").write_text("no markers, cheer")
+    (books / "unlisted.txt").write_text(f"{START}\ncheer\n{END}")
     (tmp_path / "meta.csv").write_text(
         "book_id,title,author,is_bestseller,filename\n1,A,X,1,1.txt\n2,B,Y,0,two.txt\n3,C,Z,0,\n"
         "4,Gone,Z,1,4.txt\n5,No flag,Z,,5.txt\n")
-    (tmp_path / "lex.tsv").write_text("love\t3\nhate\t-3\nbest\t1\nworst\t-2\nno\t-1\n")
+    (tmp_path / "lex.tsv").write_text("cheer\t3\ngloom\t-3\ndawn\t1\nrain\t-2\nno\t-1\n")
     return str(books), str(tmp_path / "meta.csv"), str(tmp_path / "lex.tsv")
 
 
@@ -40,7 +42,7 @@ def test_run(spark, tmp_path):
     assert records["1"]["sentiment"] == {"polarity_score": 0.4, "positive_count": 3.0, "negative_count": 2.0,
                                          "total_scored_words": 5.0}
     # A book in the other spelling has syntactic metrics but no words.
-    assert records["2"]["syntactic"]["word_count"] == 37.0 and records["2"]["total_word_count"] is None
+    assert records["2"]["syntactic"]["word_count"] == 34.0 and records["2"]["total_word_count"] is None
     assert records["3"]["syntactic"]["word_count"] == 0.0 and records["3"]["sentiment"]["positive_count"] == 0.0
     # A listed book without a file keeps its metadata and counts in its cohort.
     assert records["4"]["sentiment"] == {} and records["4"]["metadata"]["title"] == "Gone"
@@ -74,3 +76,30 @@ def test_limit_takes_the_first_listed(spark, tmp_path):
     run = run_corpus(spark, *shelf(tmp_path), limit=2)
     assert {r.book_id for r in run.records.collect()} == {"1", "2"}
     assert {r.book_id for r in run.word_counts.select("book_id").distinct().collect()} == {"1"}
+
+
+def test_books_read_by_line_give_the_same(spark, tmp_path):
+    paths = shelf(tmp_path)
+    whole, lines = (run_corpus(spark, *paths, by_line=b) for b in (False, True))
+    assert plain(whole.records.collect()) == plain(lines.records.collect())
+    assert sorted(map(tuple, whole.word_counts.collect())) == sorted(map(tuple, lines.word_counts.collect()))
+
+
+@pytest.mark.parametrize("by_line", [False, True])
+def test_equal_file_names_in_two_folders(spark, tmp_path, by_line):
+    books, meta, lexicon = shelf(tmp_path)
+    (tmp_path / "books" / "sub folder").mkdir()
+    (tmp_path / "books" / "sub folder" / "1.txt").write_text(f"{START}\nrain\n{END}\n")
+    run = run_corpus(spark, books, meta, lexicon, by_line=by_line)
+    one = [r for r in run.records.collect() if r.book_id == "1"]
+    assert len(one) == 1 and one[0].sentiment["total_scored_words"] == 5.0  # the file in the folder is not listed
+    (tmp_path / "meta.csv").write_text('book_id,title,author,is_bestseller,filename\n'
+                                       ' 1 ,"A\nB",X,1,1.txt\n6,C,Y,0, sub folder/1.txt \n')
+    got = {r.book_id: r for r in run_corpus(spark, books, meta, lexicon, by_line=by_line).records.collect()}
+    assert set(got) == {"1", "6"} and got["1"].metadata["title"] == "A\nB"
+    assert got["6"].total_word_count == 1 and got["6"].sentiment["polarity_score"] == -2.0
+
+
+def test_lines_are_read_twice(spark, tmp_path):
+    body = body_of_lines(scan_book_lines(spark, shelf(tmp_path)[0]), "strict")
+    assert body._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2

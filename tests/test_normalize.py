@@ -12,15 +12,15 @@ def build(spark, *rows):
 
 
 def test_totals(spark):
-    r = build(spark, "1342 wordfreq the 100", "1342 wordfreq love 50")["1342"]
-    assert (r["total_word_count"], r["unique_word_count"]) == (150, 2)
-    assert [tuple(w) for w in r["top_words"]] == [("the", 100), ("love", 50)]
+    r = build(spark, "51 wordfreq barn 17", "51 wordfreq oats 8", "51 wordfreq hay 21")["51"]
+    assert (r["total_word_count"], r["unique_word_count"]) == (46, 3)
+    assert [tuple(w) for w in r["top_words"]] == [("hay", 21), ("barn", 17), ("oats", 8)]
 
 
 def test_top_twenty(spark):
-    r = build(spark, *[f"1 wordfreq word{i} {100 - i}" for i in range(25)])["1"]
-    assert [w["count"] for w in r["top_words"]] == list(range(100, 80, -1))
-    assert (r["total_word_count"], r["unique_word_count"]) == (sum(range(76, 101)), 25)
+    r = build(spark, *[f"1 wordfreq {'q' * i} {3 * i}" for i in range(1, 31)])["1"]
+    assert [w["count"] for w in r["top_words"]] == list(range(90, 30, -3))
+    assert (r["total_word_count"], r["unique_word_count"]) == (3 * 15 * 31, 30)
 
 
 def test_ties_in_word_order(spark):
@@ -40,7 +40,7 @@ def test_partial_records(spark):
 
 
 def test_bad_values_are_left_out(spark):
-    r = build(spark, "1 wordfreq the not_int", "1 wordfreq love 50", "1 sentiment a x", "1 syntactic b 1d")["1"]
+    r = build(spark, "1 wordfreq barn seven", "1 wordfreq oats 50", "1 sentiment a x", "1 syntactic b 1d")["1"]
     assert r["total_word_count"] == 50 and r["unique_word_count"] == 1
     assert r["sentiment"] == {} and r["syntactic"] == {}
 

@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 # One query per operator family; tools/check_oracles.py runs all of them.
 CHECKED = ("wordfreq_by_doc", "top20_corpus", "top20_by_doc", "body_edge_cases", "sentiment_by_doc_large_lexicon",
            "syntactic_by_source", "readability", "path_book_ids", "facts_from_lines", "direct_records",
-           "drop_reasons", "cohort_deltas", "written_metadata_lines", "written_volumes_by_line")
+           "drop_reasons", "cohort_deltas", "written_metadata_lines", "written_volumes_by_line", "record_payloads",
+           "partial_records", "partial_summary", "written_corpus_run", "records_by_line", "written_metrics")
 
 
 def rows(table):

@@ -30,14 +30,14 @@ def test_metadata_by_name_and_limit(spark, tmp_path):
 
 
 LINES = [
-    ("wordfreq", "love\t123", ("love", "123")), ("wordfreq", "the\tnot_a_number", None),
+    ("wordfreq", "barn\t64", ("barn", "64")), ("wordfreq", "oats\tseven", None),
     ("wordfreq", "badline", None), ("wordfreq", "the\t5.0", None), ("wordfreq", "  ", None),
-    ("wordfreq", " love \t 7 ", ("love", "7")),
-    ("sentiment", "avg_score\t0.23", ("avg_score", "0.23")), ("sentiment", "score\tbad", None),
-    ("syntactic", "1342\tavg_sentence_length\t18.4", ("avg_sentence_length", "18.4")),
-    ("syntactic", "avg_sentence_length\t18.4", ("avg_sentence_length", "18.4")),
+    ("wordfreq", " barn \t 7 ", ("barn", "7")),
+    ("sentiment", "avg_score\t0.71", ("avg_score", "0.71")), ("sentiment", "score\tbad", None),
+    ("syntactic", "5107\tavg_sentence_length\t12.6", ("avg_sentence_length", "12.6")),
+    ("syntactic", "avg_sentence_length\t12.6", ("avg_sentence_length", "12.6")),
     ("syntactic", "avg_sentence_length\tbad", None), ("syntactic", "a\tb\tc\t1", None),
-    ("unknown", "love\t1", None)]
+    ("unknown", "barn\t1", None)]
 
 
 def test_component_lines(spark):
@@ -57,13 +57,13 @@ def test_metadata_lines_become_facts(spark):
 
 
 def test_tags_come_from_the_path(spark, tmp_path):
-    folder = tmp_path / "word-freq" / "1342"
+    folder = tmp_path / "word-freq" / "5107"
     folder.mkdir(parents=True)
-    (folder / "part-00000").write_text("love\t2\n")
+    (folder / "part-00000").write_text("barn\t2\n")
     row = components.facts_from_lines(components.scan_lines(spark, str(folder))).first()
-    assert tuple(row) == ("1342", "wordfreq", "love", "2")
-    row = components.facts_from_lines(components.scan_lines(spark, str(folder), "84", "sentiment")).first()
-    assert tuple(row) == ("84", "sentiment", "love", "2")
+    assert tuple(row) == ("5107", "wordfreq", "barn", "2")
+    row = components.facts_from_lines(components.scan_lines(spark, str(folder), "61", "sentiment")).first()
+    assert tuple(row) == ("61", "sentiment", "barn", "2")
 
 
 def test_writes_replace_and_merge(spark, tmp_path):
