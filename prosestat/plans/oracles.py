@@ -480,7 +480,7 @@ FROM documents ORDER BY documents.doc_id LIMIT 50""",
     "written_records": f"""WITH {REC}, tops AS (
   SELECT doc_id, '[' || string_agg('["' || word || '",' || n || ']', ',' ORDER BY n DESC, word) || ']' AS top FROM (
     SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rk FROM wf) WHERE rk <= 20 GROUP BY doc_id)
-SELECT md5(coalesce(top, '[]')) AS top_md5, CAST(m.doc_id AS VARCHAR) AS book_id,
+SELECT md5(top) AS top_md5, CAST(m.doc_id AS VARCHAR) AS book_id,
   CASE WHEN is_bestseller IS NULL THEN 'missing_or_invalid_cohort' END AS drop_reason,
   CASE is_bestseller WHEN '1' THEN 'bestseller' WHEN '0' THEN 'standard' END AS cohort, title, author,
   total AS total_word_count, uniq AS unique_word_count,
