@@ -127,7 +127,8 @@ def mix(df: DataFrame, levels: Sequence[Level], tokens: Column, key: str = "doc_
     running = F.sum("tokens").over(Window.partitionBy(*names, "lead").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
     first_out = edge.withColumn("running", running).where("running > room").groupBy(*names).agg(F.min("place").alias("stop"))
     plan = written(leaves.join(first_out, names, "left"), "mixture")
-    own = place(seed, F.col("epochs"), F.col(key))
-    extra = F.when((F.col("rest") > 0) & (F.col("stop").isNull() | (own < F.col("stop"))), 1).otherwise(0)
-    copies = (F.col("epochs") + extra).cast("int")
-    return rows.join(plan, names).withColumn("copies", copies).drop("epochs", "rest", "stop")
+    # columns of the plan are named by it, as ``df`` may have some of the same names
+    own = place(seed, plan["epochs"], rows[key])
+    extra = F.when((plan["rest"] > 0) & (plan["stop"].isNull() | (own < plan["stop"])), 1).otherwise(0)
+    kept = [rows[c] for c in rows.columns if c != "copies"]
+    return rows.join(plan, names).select(*kept, (plan["epochs"] + extra).cast("int").alias("copies"))

@@ -156,12 +156,12 @@ def passing(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """
     limits = written(cutoffs(_measured(df, [key], text, stratum), labels, key, risk=risk, error=error), "cutoffs")
     limits = limits.select(F.struct(*RULES).alias("cut_"), F.col("stratum").alias("stratum_"))
-    judged = df.join(limits, whole(df[stratum].cast("string")) == F.col("stratum_"), "left")
+    judged = df.join(limits, whole(df[stratum].cast("string")) == limits["stratum_"], "left")
 
     def verdict(m: Column) -> Column:
         out = base_failed(m["n_words"], m["n_repeat_words"])
         for rule, ((part, scale, per), _) in RULES.items():
-            out = out | F.coalesce(m[part] * scale > F.col("cut_")[rule] * m[per], F.lit(False))
+            out = out | F.coalesce(m[part] * scale > limits["cut_"][rule] * m[per], F.lit(False))
         return ~out
 
     return judged.where(let(measure(df[text]), verdict)).select(*[df[c] for c in df.columns])

@@ -13,10 +13,11 @@ fingerprints that list the same value (65 at most) are within 2 bits. Two
 fingerprints within 2 bits always list a common value, so no link is lost and
 work stays linear in the group.
 
-Null and empty texts have fingerprint zero and are linked like any other; a null
-id is left out of no row (it never is the smallest of a group unless all are
-null); repeated rows stay; an empty table gives an empty table; columns beyond
-the two named ones are left out.
+Null and empty texts have fingerprint zero and are linked like any other; rows
+with a null id stay and are in the group of the ids with their fingerprint, a
+fingerprint of null ids alone links to none and has a null component; repeated
+rows stay; an empty table gives an empty table; columns beyond the two named
+ones are left out.
 """
 
 from __future__ import annotations

@@ -78,6 +78,13 @@ def test_simhash_groups_equal_all_pairs(spark, cap):
     assert {r.doc_id: r.component_id for r in got} == plain_groups(prints)
 
 
+def test_simhash_rows_without_an_id(spark):
+    same, lone = words_of(1, 40), words_of(2, 40)
+    df = spark.createDataFrame([(7, same), (None, same), (3, same), (None, lone)], "doc_id long, text string")
+    got = sorted(map(tuple, simhash.near_groups(df).select(F.col("doc_id").isNull(), "doc_id", "component_id").collect()), key=str)
+    assert got == sorted([(False, 7, 3), (True, None, 3), (False, 3, 3), (True, None, None)], key=str)
+
+
 def test_simhash_links_planted_fingerprints_also_in_hot_postings(spark):
     rng = random.Random(5)
     planted = {rng.getrandbits(64) for _ in range(20)}
@@ -138,6 +145,9 @@ def test_quality_cutoffs_reject_bad_and_keep_good(spark):
     labels = spark.createDataFrame([(i, int(i < 1200)) for i in range(1400)], "doc_id long, quality int")
     kept = {r.doc_id for r in quality.passing(df, labels).collect()}
     assert kept == set(range(1200)) == {r.doc_id for r in quality.assess(df, labels).where("kept").collect()}
+    clash = df.withColumns({"cut_": F.lit(1), "stratum_": F.lit("x"), "m_": F.lit(2)})
+    again = quality.passing(clash, labels).collect()
+    assert {r.doc_id for r in again} == kept and {(r.cut_, r.stratum_, r.m_) for r in again} == {(1, "x", 2)}
 
 
 def test_shards_are_a_sort_with_near_equal_bytes(spark):
@@ -173,6 +183,9 @@ def test_mixing_fills_siblings_first_and_cuts_by_seed(spark):
     more = mixing.mix(df, levels, F.col("n"), budget=10_000, max_epochs=3, seed=3).collect()
     assert {r.copies for r in more} == {3}
     assert mixing.mix(df.limit(0), levels, F.col("n")).count() == 0
+    clash = df.withColumns({c: F.lit(9) for c in ("rest", "stop", "epochs", "budget", "copies", "tokens", "key_", "place")})
+    again = mixing.mix(clash, levels, F.col("n"), budget=600, max_epochs=1, seed=3).collect()
+    assert {(r.doc_id, r.copies, r.tokens) for r in again} == {(r.doc_id, r.copies, r.tokens) for r in got} and {(r.rest, r.stop, r.epochs, r.place) for r in again} == {(9, 9, 9, 9)}
 
 
 def test_pages():
