@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from prosestat.constants import COHORTS, DROP_REASONS
 from prosestat.functions.text import is_blank, strip
 
+#: The setting by which an object with a repeated key isn't malformed but has the last value.
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 _NOT_FINITE = r"-?(?:NaN|Infinity)"
 # Stand-ins for escapes, two code points that are no characters.
 _BACKSLASH, _QUOTE = "\ufdd0", "\ufdd1"
@@ -79,6 +81,11 @@ def number_map(value: Column | str, path: str) -> Column:
                         lambda _, v: v.isNotNull())
 
 
+def flag(value: Column) -> Column:
+    """The text of a flag, a string or a number without decimals; null for other types (1.0 is not 1)."""
+    return F.when(type_name(value).isin("BIGINT", "STRING"), F.try_variant_get(value, "$", "string"))
+
+
 def cohort(flag: Column | str) -> Column:
     """Cohort of a flag text: ``1`` and ``0`` only."""
     text = strip(flag)

@@ -19,14 +19,17 @@ _COHORT_NAMES = tuple(COHORTS.values())
 
 
 def payloads_from_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Classify and project ``book_id TAB json`` lines."""
+    """Classify and project ``book_id TAB json`` lines, each parsed once.
+
+    An object that repeats a key has its last value, which is a setting of the
+    session: it is made here.
+    """
+    lines.sparkSession.conf.set(J.REPEATED_KEYS, "true")
     split = lines.select(F.col(column).alias("line"), J.line_key(column).alias("key"),
                          J.line_json(column).alias("json"))
     parsed = split.select("*", J.parse("json").alias("rec"))
     rec = F.col("rec")
-    # As text: a variant would not tell 1 from 1.0.
-    flag = F.get_json_object(J.finite("json"), "$.metadata.is_bestseller")
-    flagged = parsed.select("*", flag.alias("flag"))
+    flagged = parsed.select("*", J.flag(J.member(rec, "$.metadata.is_bestseller")).alias("flag"))
     fields = flagged.select(
         J.drop_reason(F.col("line"), rec, F.col("flag")).alias("drop_reason"),
         J.cohort("flag").alias("cohort"), J.record_id("rec", F.col("key")).alias("book_id"),

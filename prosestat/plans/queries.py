@@ -371,7 +371,10 @@ def _record_lines(spark, sf_dir) -> DataFrame:
     tab = lambda body: F.concat(idt, F.lit("\t"), body)
     cases = (
         F.lit("  "), F.concat(idt, F.lit(" no tab")), tab(F.lit('{"book_id": ')), tab(F.lit("[1]")),
-        tab(F.lit('{"metadata": {"title": "x"}}')), tab(json(flag, idt)),
+        tab(F.lit('{"metadata": {"title": "x"}}')),
+        # keys that come again, the last value counts
+        tab(F.concat(F.lit('{"total_word_count": 5, "metadata": {"is_bestseller": 2, "title": "early"}, '),
+                     F.substring(json(flag, idt), 2, 2**31 - 1))),
         tab(json(F.concat(flag, F.lit(".0")), idt)), tab(json(F.lit("true"), idt)),
         tab(json(F.lit('"2"'), idt)), tab(json(F.concat(F.lit('" '), flag, F.lit('"')), F.lit('""'))),
         tab(json(quoted, F.concat(idt, F.lit(".0")))), tab(json(quoted, F.lit("null"))),

@@ -88,6 +88,10 @@ def test_field_types(spark):
     got = payloads(spark, [raw]).first()
     assert (got.book_id, got.total_word_count, got.unique_word_count, got.type_token_ratio) == ("5", 10, None, None)
     assert (got.polarity_score, got.positive_count, got.syntactic) == (None, 1.0, {"a": 1.0, "d": 2.5})
+    again = payloads(spark, ['8\t{"metadata": {"is_bestseller": 0, "is_bestseller": 1, "title": "a"}, "total_word_count": 3, "total_word_count": 4}',
+                             '9\t{"metadata": {"is_bestseller": 1, "title": "a"}, "metadata": {"is_bestseller": 0}}']).collect()
+    assert [(r.drop_reason, r.cohort, r.title, r.total_word_count) for r in again] == [
+        (None, "bestseller", "a", 4), (None, "standard", "", None)]
     ids = ['7\t{"book_id": "", "metadata": {"is_bestseller": 1}}', '7\t{"metadata": {"is_bestseller": 1}}',
            '7\t{"book_id": "5.0", "metadata": {"is_bestseller": 1}}']
     assert [r.book_id for r in payloads(spark, ids).collect()] == ["7", "7", "5.0"]
