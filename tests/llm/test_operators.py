@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from prosestat.llm import bpe, chat, language, mixing, neighbours, pages, quality, secrets, sharding, simhash
+from prosestat.llm import bpe, chat, copies, language, mixing, neighbours, pages, quality, secrets, sharding, simhash
 from prosestat.llm.queries import TOKENIZER
 from prosestat.llm.shared import shared_folder
 
@@ -105,6 +105,48 @@ def test_simhash_links_planted_fingerprints_also_in_hot_postings(spark):
         assert {s: top(s) for (s,) in signed} == parts
 
 
+def plain_near(texts):
+    """Group of each text by five-word Jaccard similarity of 0.8 or more, all pairs."""
+    sets = []
+    for t in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for b in range(len(texts)):
+        for a in range(b):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return [top(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("rounds", [0, 4])
+def test_near_copies_equal_all_pairs(spark, monkeypatch, rounds):
+    monkeypatch.setattr(copies, "ROUNDS", rounds)
+    monkeypatch.setattr(copies, "FEW", 0)
+    rng, vocabulary = random.Random(4), [f"w{j}" for j in range(900)]
+
+    def edited(text, n):
+        words = text.split()
+        for _ in range(n):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        return " ".join(words)
+    base, common = words_of(1, 120, vocabulary), words_of(2, 25, vocabulary)
+    texts = ODD + [words_of(i, 60, vocabulary) for i in range(30)] + [words_of(50 + i, 40, vocabulary) + " " + common for i in range(30)]
+    texts += [edited(base, i % 6) for i in range(50)] + [edited(texts[len(ODD) + i], 1 + i % 3).upper() for i in range(30)]
+    want = plain_near(texts)
+    assert 40 < len(set(want)) < len(texts) - 30
+    got = copies.one_of_each(docs_of(spark, texts, extra=True)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(set(want)) and all(r.text == texts[r.doc_id] and (r.text_, r.size) == ("y", 4) for r in got)
+    prints = {i: plain_print(t) for i, t in enumerate(texts)}
+    assert set(plain_groups(prints).values()) - set(want)  # fingerprints within 2 bits leave near copies
+
+
 def test_secrets(spark):
     key = "AKIA" + "ABCDEFGH12345678"
     texts = ODD + ['Token = "abcdefabcdef1234" end', f"x {key} y", "ſecret=abcdefghijklmnop", "token: secret: abcdefghijkl", "f" * 15 + " " + "0a" * 8,
