@@ -147,6 +147,14 @@ def test_near_copies_equal_all_pairs(spark, monkeypatch, rounds):
     assert set(plain_groups(prints).values()) - set(want)  # fingerprints within 2 bits leave near copies
 
 
+def test_near_copies_one_row_of_each_group(spark):
+    one, two, lone = words_of(1, 40), words_of(2, 40), words_of(3, 40)
+    rows = [(7, one, 1), (7, one, 2), (9, one, 3), (None, one, 4), (None, two, 5), (None, two, 6), (4, lone, 7), (None, lone, 8), (5, None, 9), (6, " ", 9), (3, "", 9)]
+    got = copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()
+    assert sorted([(r.doc_id, r.text) for r in got], key=str) == sorted([(7, one), (None, two), (4, lone), (3, "")], key=str)
+    assert copies.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_secrets(spark):
     key = "AKIA" + "ABCDEFGH12345678"
     texts = ODD + ['Token = "abcdefabcdef1234" end', f"x {key} y", "ſecret=abcdefghijklmnop", "token: secret: abcdefghijkl", "f" * 15 + " " + "0a" * 8,
