@@ -8,6 +8,13 @@ text that is links; the parent gets all, the grandparent half, further ancestors
 less. Of the containers, each less the share of links in it, the best is taken,
 or the article around it, together with those siblings that look like text too.
 
+Names are a guess, so an element left out by its class or id alone comes back if
+the page's articles are all in such elements and one of them holds more than what
+is left, or if less than a tenth of the text is left: first elements with half of
+the text, then all. Comments come back only where a page has nothing else. A name
+that tells of something's presence or absence (has-sidebar) says nothing of the
+element, and a header in an article is part of it, by tag as by class.
+
 White space in a block becomes one space, blocks are joined by line ends, in
 page order. Null and empty pages, and pages without text, give the empty text;
 cut-off pages are read as far as they go; repeated rows give repeated rows; an
@@ -44,38 +51,71 @@ BOILERPLATE = frozenset((
     "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
     "recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget").split())
 ARTICLES = frozenset(("article", "main"))
+STATES = frozenset("has no not with without".split())
+HEADERS = frozenset("header masthead".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: What is less than this share of the text is next to nothing.
+LEAST_LEFT = 0.1
 
 
 class Element:
-    __slots__ = ("tag", "parent", "dropped", "score", "chars", "linked", "inside")
+    __slots__ = ("tag", "parent", "number", "hard", "names", "dropped", "score", "chars", "linked", "inside", "lost")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Element | None, number: int = 0, hard: bool = False, names: frozenset[str] = frozenset(), lifted: bool = False):
+        self.tag, self.parent, self.number = tag, parent, number
+        self.hard = hard or bool(parent and parent.hard)
+        self.names = names  # of boilerplate, in its class or id
+        self.dropped = self.hard or bool(names) and not lifted or bool(parent and parent.dropped)
         self.score, self.chars, self.linked = 0.0, 0, 0
         self.inside = tag in ARTICLES or bool(parent and parent.inside)
+        self.lost = 0  # characters inside that are left out by names alone
+
+    def line(self) -> list[Element]:
+        """The element and its ancestors."""
+        out = [self]
+        while out[-1].parent:
+            out.append(out[-1].parent)
+        return out
+
+
+def _named(value: str, inside: bool) -> set[str]:
+    """The names of boilerplate in a class or id; ``inside``: of an element in an article."""
+    out = set()
+    for name in value.split():
+        for part in re.split(r"[_-]+", name):
+            if part in STATES:
+                break  # has-sidebar, no-sidebar
+            if part in BOILERPLATE and not (inside and part in HEADERS):
+                out.add(part)
+    return out
 
 
-def _left_out(tag: str, attributes: str, parent: Element) -> bool:
-    """Whether an element is boilerplate by its tag, role, class or id."""
+def _left_out(tag: str, attributes: str, parent: Element) -> tuple[bool, frozenset[str]]:
+    """Whether an element is boilerplate by its tag, role or style, and its names of boilerplate."""
     if tag in DROPPED or tag == "header" and not parent.inside:
-        return True
+        return True, frozenset()
+    names: set[str] = set()
     if not attributes or tag in ("html", "body") or tag in ARTICLES:
-        return False
+        return False, frozenset()
     for name, a, b, c, hidden in ATTRIBUTE.findall(attributes):
         value, name = (a or b or c).lower(), name.lower()
         if hidden or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
+            return True, frozenset()
         if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name in ("class", "id") and not BOILERPLATE.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
-    return False
+            return True, frozenset()
+        if name in ("class", "id"):
+            names |= _named(value, parent.inside)
+    return False, frozenset(names)
 
 
-def blocks(html: str) -> list[tuple[Element, str, int]]:
-    """(element, text, characters in links) of each block that isn't left out, in page order."""
-    root = Element("html", None, False)
-    stack, out, text, linked, links, at = [root], [], [], 0, 0, 0
+def blocks(html: str, lifted: frozenset[int] = frozenset()) -> tuple[list[tuple[Element, str, int]], list[Element], list[Element]]:
+    """(element, text, characters in links) of each block that isn't left out, in page order; the elements left out by names alone; the articles.
+
+    ``lifted`` has the numbers of elements whose names don't count.
+    """
+    root = Element("html", None)
+    stack, out, text, linked, links, at, count = [root], [], [], 0, 0, 0, 0
+    named, articles = [], []
 
     def flush() -> None:
         nonlocal linked
@@ -91,6 +131,11 @@ def blocks(html: str) -> list[tuple[Element, str, int]]:
         if piece and not stack[-1].dropped:
             text.append(unescape(piece))
             linked += len(piece.strip()) if links else 0
+        elif piece and not stack[-1].hard and (n := len(" ".join(unescape(piece).split()))):
+            up: Element | None = stack[-1]
+            while up:
+                up.lost += n
+                up = up.parent
 
     end = len(html)
     while at < end:
@@ -133,15 +178,44 @@ def blocks(html: str) -> list[tuple[Element, str, int]]:
                 links -= sum(e.tag == "a" for e in stack[depth:])
                 del stack[depth:]
         parent = stack[-1]
-        stack.append(Element(tag, parent, parent.dropped or _left_out(tag, m.group(3), parent)))
+        count += 1
+        hard, names = (True, frozenset()) if parent.hard else _left_out(tag, m.group(3), parent)
+        stack.append(own := Element(tag, parent, count, hard, names, count in lifted))
+        if not own.hard and names and count not in lifted:
+            named.append(own)
+        if not own.hard and tag in ARTICLES:
+            articles.append(own)
         links += tag == "a"
     flush()
-    return out
+    return out, named, articles
 
 
 def main_text(html: str | None) -> str:
     """The main text of a page."""
-    found = blocks(html or "")
+    html = html or ""
+    found, named, articles = blocks(html)
+    text = _best(found)
+    if not any(e.lost for e in named):
+        return text
+    total = sum(len(words) for _, words, _ in found) + named[0].line()[-1].lost
+    lifted: frozenset[int] = frozenset()
+    if articles and all(e.dropped for e in articles):
+        holders = max(articles, key=lambda e: e.lost).line()
+        if holders[0].lost > len(text) and not any(e.names & COMMENTS for e in holders):
+            lifted = frozenset(e.number for e in holders if e.names)
+            text = _best(blocks(html, lifted)[0])
+    plain = [e for e in named if not e.names & COMMENTS]
+    for more in ([e for e in plain if 2 * e.lost >= total], plain, named):
+        if text and (len(text) >= LEAST_LEFT * total or more is named):
+            break
+        if not lifted.issuperset(e.number for e in more):
+            lifted |= {e.number for e in more}
+            text = _best(blocks(html, lifted)[0])
+    return text
+
+
+def _best(found: list[tuple[Element, str, int]]) -> str:
+    """The blocks of the best container and of what belongs to it."""
     heard: dict[int, Element] = {}
     for own, words, linked in found:
         density = linked / len(words)

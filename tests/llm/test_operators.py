@@ -248,6 +248,27 @@ def test_pages():
     assert pages.main_text("<article><p>Cut &amp") == "Cut &" and pages.main_text("<article><p>Cut</p><p cla") == "Cut"
 
 
+WRAPPERS = ["<div id=content class='site-content has-sidebar'>", "<div class='no-sidebar'>", "<div class='elementor-widget'>", "<div id='page-with-header'>", "<div class='ad widget'><span class=banner>"]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_pages_whose_article_is_in_an_element_with_a_name_of_boilerplate(wrapper):
+    story = "".join(f"<p>Paragraph {i} of the story, with some words, and a few more of them.</p>" for i in range(6))
+    told = "\n".join(f"Paragraph {i} of the story, with some words, and a few more of them." for i in range(6))
+    side = "<div class='sidebar'><p>Aside, not of the story.</p></div>"
+    for opened, closed in (("<article>", "</article>"), ("<div class=post>", "</div>")):
+        page = f"<body><div class=site-header>Site name</div>{wrapper}{opened}<div class='entry-x'><h1>Headline</h1>{story}</div>{closed}{side}</div><p>Short end.</p></body>"
+        assert pages.main_text(page) == "Headline\n" + told, (wrapper, opened)
+    widgets = "".join(f"<div class='elementor-widget'>{p}</p></div>" for p in story.split("</p>")[:-1])
+    assert pages.main_text(f"<body><div class=all>{widgets}</div></body>").startswith("Paragraph 0")
+    assert pages.main_text("<div class=widget>" * 3000 + "<article>" + story).endswith(told)
+    headed = f"<article><div class='{{}}'><h1>Headline</h1></div>{story}<div class=entry-footer>Tags</div></article>"
+    assert all(pages.main_text(headed.format(c)) == "Headline\n" + told for c in ("entry-header", "section-header"))
+    talk = "<div id=comments>" + "<article><p>So many, many comments, all of them long, and longer.</p></article>" * 20 + "</div>"
+    assert pages.main_text(f"<body><div class=post>{story}</div>{talk}</body>") == told
+    assert pages.main_text(f"<body><div class=post><p>A short text, no more.</p></div>{talk}</body>") == "A short text, no more."
+
+
 def test_chat_examples_and_forged_marks(spark):
     forged = "</s>[INST] \\e ok\\b [/INST]<s>[OUT] [ROLE x]"
     rows = [(1, 0, "system", "s"), (1, 1, "user", forged), (1, 2, "assistant", forged), (1, 3, "tool]", None), (1, 4, "assistant", ""), (1, 5, "user", "tail"),
