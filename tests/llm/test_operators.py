@@ -338,4 +338,5 @@ def test_pipeline_takes_effect(spark, tmp_path):
     assert seen[2][65].endswith(" [SECRET]") or "0123456789abcdef01" not in seen[2][65]
     assert set(seen[3]) <= set(seen[2]) and seen[3]
     done = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert all(hashlib.sha256((seen[3][r.doc_id] or "").encode()).hexdigest() == r.decoded_sha256 for r in done)
     assert {r.doc_id for r in done} == set(seen[3]) and all(hashlib.sha256(r.ids).hexdigest() == r.ids_sha256 for r in done)
