@@ -1,7 +1,11 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests for other tokens.
 
 A candidate is a maximal run of 20 or more token characters whose encoding can be
-told (hexadecimal, base 32, base 64 and its URL form). It counts as a secret if
+told (hexadecimal, base 32 and base 36 in one case, base 64 and its URL form): it
+holds a digit and a letter. Runs without a digit are left out, because the tests
+below do not tell random letters of both cases from names of short words
+(setMaxNumRowsPerPageSize) and letters of one case pass as ordinary. Digits alone are
+of the kind hex. A candidate counts as a secret if
 
 * it passes as random: neither its alphabet's chi-squared uniformity, nor the
   runs above and below the middle of the alphabet, nor the serial correlation of
@@ -40,6 +44,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 HEX_SIGNS, BASE32_SIGNS = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE36_SIGNS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASE64_SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 #: Share of neighbours of another class in ordinary tokens, level of the battery, rate of false discoveries.
 ORDINARY_CHANGES, BATTERY_LEVEL, DISCOVERY_RATE = 0.15, 0.003, 0.01
@@ -60,8 +65,9 @@ def encoding(token: str) -> np.ndarray | None:
     if not (upper and lower) and set(signs.lower()) <= set(HEX_SIGNS):
         table = HEX_SIGNS
         signs = signs.lower()
-    elif set(signs) <= set(BASE32_SIGNS):
-        table = BASE32_SIGNS
+    elif not (upper and lower) and set(signs.upper()) <= set(BASE36_SIGNS):
+        signs = signs.upper()
+        table = BASE32_SIGNS if set(signs) <= set(BASE32_SIGNS) else BASE36_SIGNS
     elif upper and lower and not (set("+/") & set(signs) and set("-_") & set(signs)):
         table = BASE64_SIGNS + ("-_" if set("-_") & set(signs) else "+/")
     else:
@@ -103,9 +109,13 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     out = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= LEAST_ASSIGNED]
     out += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     out += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    tokens = []
+    tokens, at, base = [], 0, sorted((s, e) for s, e, _ in out)
+    last = 0  # where the spans that begin before the candidate's end reach
     for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, e, _ in out):
+        while at < len(base) and base[at][0] < m.end():
+            last = max(last, base[at][1])
+            at += 1
+        if m.start() < last:
             continue
         values = encoding(m.group())
         if values is not None:

@@ -169,6 +169,26 @@ def test_secrets(spark):
     assert clean[n + 1].text == "x [SECRET] y" and clean[n + 1].n_chars == 12 and clean[0].text is None and clean[3].text == "a"
 
 
+@pytest.mark.parametrize("signs", ["0123456789abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz234567", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_secrets_of_one_case(signs):
+    rng = random.Random(8)
+    keys = ["".join(rng.choice(signs) for _ in range(40)) for _ in range(200)]
+    found = [secrets.spans(f"use {k} now") for k in keys]
+    assert sum(f == [(4, 44, "random")] for f in found) > 120
+    assert not secrets.spans("in chapter12ofthebookaboutrivers and electroencephalographically")
+
+
+def test_secrets_candidates_beside_base_spans():
+    rng, key = random.Random(9), "q7Rk2VxP9mLd4TzWb8NcYh3J"
+    for _ in range(50):
+        parts = [rng.choice([key, "f0" * 10, "AKIA" + "ABCDEFGH12345678", "token=" + key, "word", key + "AKIA" + "0123456789ABCDEF"]) for _ in range(12)]
+        text = " ".join(parts)
+        got = secrets.spans(text)
+        base = [s for s in got if s[2] != "random"]
+        want = [m.span() for m in secrets.CANDIDATE.finditer(text) if not any(s < m.end() and m.start() < e for s, e, _ in base)]
+        assert [s[:2] for s in got if s[2] == "random"] == want
+
+
 def test_quality_measures_and_bound(spark):
     texts = ODD + ["a b c\na b c\n\nd # <", words_of(2, 60), "go go go go go go"]
 
