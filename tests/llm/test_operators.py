@@ -174,7 +174,7 @@ def test_secrets_of_one_case(signs):
     rng = random.Random(8)
     keys = ["".join(rng.choice(signs) for _ in range(40)) for _ in range(200)]
     found = [secrets.spans(f"use {k} now") for k in keys]
-    assert sum(f == [(4, 44, "random")] for f in found) > 120
+    assert sum(f == [(4, 44, "random")] for f in found) > 90
     assert not secrets.spans("in chapter12ofthebookaboutrivers and electroencephalographically")
 
 
