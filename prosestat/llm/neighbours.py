@@ -36,6 +36,8 @@ from prosestat.llm.shared import ship
 TREES, BITS, SEED = 32, 16, 7
 #: Vectors from which medians are taken, at most: those with the smallest hashes of their ids.
 SAMPLE = 2048
+#: Vectors of one length in the sample from which its medians and spread count; lengths with fewer are searched to the root.
+LEAST_SAMPLE = 64
 BLOCK_ROWS, QUERY_ROWS = 8192, 1024
 #: Chance left that a vector as near as the k-th best is unseen when a query stops.
 MISS = 0.05
@@ -60,8 +62,9 @@ class Fit:
 class Forest:
     """The sorted arrays of one block of vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, fit: Fit):
-        self.ids, self.vectors, self.fit = ids, vectors, fit
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, fit: Fit | None):
+        self.ids, self.vectors, self.sampled = ids, vectors, fit is not None
+        self.fit = fit or Fit(np.zeros(TREES * BITS), np.zeros(vectors.shape[1]), 1.0)
         self.planes = directions(vectors.shape[1])
         strings = self.strings(vectors @ self.planes.T)
         self.order = np.argsort(strings, axis=0, kind="stable")
@@ -109,7 +112,7 @@ class Forest:
                 distances = np.sqrt(((self.vectors[rows] - vector) ** 2).sum(1))
                 best = np.lexsort((self.ids[rows], distances))[:k]
                 found = sorted(found + list(zip(distances[best].tolist(), self.ids[rows][best].tolist())))[:k]
-            if len(found) == k and depth:
+            if self.sampled and len(found) == k and depth:
                 if np.prod(1 - self.same_side(vector, own[:, :depth], cuts[:, :depth], found[-1][0]).prod(axis=1)) <= MISS:
                     break
         return found
@@ -123,13 +126,15 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def fits_of(rows: DataFrame) -> dict[int, Fit]:
-    """By vector length, what the sample tells."""
+    """By vector length, what the sample tells; nothing of lengths that it has few of."""
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     by: dict[int, list] = {}
     for r in sample:
         by.setdefault(len(r.v), []).append(r.v)
     out = {}
     for size, v in by.items():
+        if len(v) < LEAST_SAMPLE:
+            continue
         m = np.array(v)
         out[size] = Fit(np.median(m @ directions(size).T, axis=0), m.mean(0), float(((m - m.mean(0)) ** 2).sum(1).mean()))
     return out
@@ -150,8 +155,7 @@ def nearest(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddi
         out: list[tuple[int, float, int]] = []
         if asked.num_rows and held.num_rows:
             matrix = [np.concatenate([c.flatten().to_numpy() for c in t.column("v").chunks]).reshape(t.num_rows, -1) for t in (asked, held)]
-            n = matrix[1].shape[1]
-            forest = Forest(held.column("id").to_numpy(), matrix[1], fits.get(n) or Fit(np.zeros(TREES * BITS), np.zeros(n), 1.0))
+            forest = Forest(held.column("id").to_numpy(), matrix[1], fits.get(matrix[1].shape[1]))
             ids = asked.column("id").to_numpy()
             for q, found in zip(ids.tolist(), forest.search(ids, matrix[0], k)):
                 out += [(q, d, i) for d, i in found]

@@ -334,6 +334,18 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert neighbours.nearest(df.where("vec_id < 4"), lambda i: i == 0).count() == 3 and neighbours.nearest(df.limit(0), lambda i: i == 0).count() == 0
 
 
+def test_neighbours_of_a_rare_length_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SAMPLE", 128)
+    rng = np.random.default_rng(2)
+    rare = 50 * rng.standard_normal((400, 12)) + 200
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((4000, 24)))] + [(10_000 + i, v.tolist()) for i, v in enumerate(rare)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: (i >= 10_000) & (i % 10 == 0)).collect()
+    for q in range(0, 400, 10):
+        d = np.sqrt(((rare - rare[q]) ** 2).sum(1))
+        d[q] = np.inf
+        assert {r.vec_id - 10_000 for r in got if r.query_id == 10_000 + q} == set(np.argsort(d)[:10].tolist())
+
+
 def test_empty_tables(spark):
     docs = docs_of(spark, ["x"]).limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int")
