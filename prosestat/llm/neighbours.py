@@ -10,15 +10,15 @@ as near as its k-th best so far would hardly still be unseen: the chance comes
 from the query's own place beside each median. No cap stops it earlier; without
 that certainty it ascends to the root, where all vectors are candidates.
 
-Vectors are dealt to blocks of about ``block_rows`` by the hash of their id, and
-queries to blocks likewise, so a group of equal vectors is spread evenly and no
-task sees more than a block of each. Every query block meets every vector block;
-the few best of each meeting are merged.
+Vectors are dealt to blocks of about ``BLOCK_ROWS`` by the hash of their id, so a
+group of equal vectors is spread evenly; a block's forest is built once, and all
+queries stream through it (``blocks.meet``). The few best of each block are merged.
 
 Vectors that are null, zero, or hold a null or a value that isn't finite take no
 part; vectors of different length are never compared; a null id takes no part;
 equal distances go to the smaller id; rows with one id twice are candidates
-twice; an empty table gives an empty result; further columns are left out.
+twice, but one query (of different vectors the smallest, compared component by
+component); an empty table gives an empty result; further columns are left out.
 """
 
 from __future__ import annotations
@@ -31,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prosestat.llm.shared import ship
+from prosestat.llm.blocks import matrix, meet
 
 TREES, BITS, SEED = 32, 16, 7
 #: Vectors from which medians are taken, at most: those with the smallest hashes of their ids.
 SAMPLE = 2048
 #: Vectors of one length in the sample from which its medians and spread count; lengths with fewer are searched to the root.
 LEAST_SAMPLE = 64
+#: Vectors of a block, about; queries looked up at a time.
 BLOCK_ROWS, QUERY_ROWS = 8192, 1024
 #: Chance left that a vector as near as the k-th best is unseen when a query stops.
 MISS = 0.05
@@ -143,25 +144,26 @@ def fits_of(rows: DataFrame) -> dict[int, Fit]:
 def nearest(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10) -> DataFrame:
     """query_id, rank (from 1), ``key`` and score (Euclidean distance) of the k nearest found of every row where ``is_query``."""
     rows = usable(df, key, vector)
-    queries = rows.where(is_query(F.col("id")))
-    n, m = rows.count(), queries.count()
-    row_blocks, query_blocks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-m // QUERY_ROWS))
+    size = F.size("v").alias("size")
+    queries = rows.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
+    blocks = max(1, -(-rows.count() // BLOCK_ROWS))
     fits = fits_of(rows)
-    size, own = F.size("v").alias("size"), F.xxhash64("id")
-    left = queries.select("id", "v", size, F.pmod(own, F.lit(query_blocks)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("rb"))
-    right = rows.select("id", "v", size, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"), F.pmod(own, F.lit(row_blocks)).cast("int").alias("rb"))
 
-    def meet(asked: pa.Table, held: pa.Table) -> pa.Table:
+    def build(held: pa.Table) -> Forest:
+        width = held.column("size")[0].as_py()
+        return Forest(held.column("id").to_numpy(), matrix(held, "v", width), fits.get(width))
+
+    def answer(forest: Forest, asked: pa.RecordBatch) -> pa.RecordBatch:
+        ids = asked.column("id").to_numpy()
         out: list[tuple[int, float, int]] = []
-        if asked.num_rows and held.num_rows:
-            matrix = [np.concatenate([c.flatten().to_numpy() for c in t.column("v").chunks]).reshape(t.num_rows, -1) for t in (asked, held)]
-            forest = Forest(held.column("id").to_numpy(), matrix[1], fits.get(matrix[1].shape[1]))
-            ids = asked.column("id").to_numpy()
-            for q, found in zip(ids.tolist(), forest.search(ids, matrix[0], k)):
-                out += [(q, d, i) for d, i in found]
-        return pa.table({"query_id": pa.array([x[0] for x in out], pa.int64()), "score": pa.array([x[1] for x in out], pa.float64()),
-                         "hit": pa.array([x[2] for x in out], pa.int64())})
-
-    met = ship(left).groupBy("qb", "rb", "size").cogroup(right.groupBy("qb", "rb", "size")).applyInArrow(meet, "query_id long, score double, hit long")
+        for at in range(0, len(ids), QUERY_ROWS):
+            some = asked.slice(at, QUERY_ROWS)
+            found = forest.search(ids[at: at + QUERY_ROWS], matrix(some, "v", forest.vectors.shape[1]), k)
+            out += [(q, d, i) for q, best in zip(ids[at:].tolist(), found) for d, i in best]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.float64()),
+                                           pa.array([x[2] for x in out], pa.int64())], names=["query_id", "score", "hit"])
+
+    met = meet(rows.select("id", "v", size), queries.select("id", "v", size), blocks, F.xxhash64("id"), "size", build, answer,
+               "query_id long, score double, hit long")
     order = Window.partitionBy("query_id").orderBy("score", "hit")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("hit").alias(key), "score")

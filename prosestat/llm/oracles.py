@@ -55,6 +55,10 @@ _TRIES = " UNION ALL ".join(
     for rule, ((part, scale, per), ladder) in quality.RULES.items() for cut in ladder)
 _LIMITS = ", ".join(f"max(cutoff) FILTER (rule = '{r}') AS {r}" for r in quality.RULES)
 _OUT = " OR ".join(f"coalesce({part} * {scale} > l.{rule} * {per}, FALSE)" for rule, ((part, scale, per), _) in quality.RULES.items())
+_RULES = ", ".join(quality.RULES)
+_LEVELS = ", ".join(f"({i}, {ppm})" for i, ppm in enumerate(quality.tolerances(quality.RISK)))
+_TUNED = ", ".join(f"count(*) FILTER ({which} AND NOT held{also}) AS {name}{end}" for name, which in (("good", "good"), ("bad", "NOT good"))
+                   for end, also in (("_n", ""), ("_out", " AND out")))
 _FAILED = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
 QUALITY = rf"""
 WITH docs AS MATERIALIZED (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
@@ -70,15 +74,18 @@ measured AS MATERIALIZED (SELECT doc_id, stratum, len(words)::BIGINT AS n_words,
     coalesce(length(list_aggregate(words, 'string_agg', '')), 0)::BIGINT AS word_chars FROM docs LEFT JOIN covered c USING (doc_id)),
 used AS (SELECT m.*, quality = 1 AS good, substr(md5(doc_id::VARCHAR), 1, 1) >= '8' AS held FROM measured m JOIN labels USING (doc_id)
     WHERE quality IS NOT NULL AND NOT {_FAILED}),
-counted AS (SELECT stratum, rule, cutoff, count(*) FILTER (good AND held) AS n, count(*) FILTER (good AND held AND out) AS k,
-    count(*) FILTER (good AND NOT held) AS good_n, count(*) FILTER (good AND NOT held AND out) AS good_out,
-    count(*) FILTER (NOT good AND NOT held) AS bad_n, count(*) FILTER (NOT good AND NOT held AND out) AS bad_out FROM ({_TRIES}) GROUP BY ALL),
-tested AS (SELECT *, count(*) OVER () AS tests, CASE WHEN k > n * {quality.RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+counted AS (SELECT stratum, rule, cutoff, {_TUNED} FROM ({_TRIES}) GROUP BY ALL),
+levels AS (SELECT * FROM (VALUES {_LEVELS}) AS x(level, ppm)),
+picked AS (SELECT stratum, level, rule, arg_max(cutoff, (bad_out * good_n - good_out * bad_n) * 100000 + cutoff) AS cutoff FROM counted, levels
+    WHERE bad_out * good_n - good_out * bad_n > 0 AND good_out * 1000000 <= good_n * ppm GROUP BY ALL),
+proposed AS (SELECT stratum, level, {_LIMITS} FROM picked GROUP BY stratum, level),
+tried AS (SELECT u.*, level, {_RULES}, {_OUT} AS out FROM used u JOIN proposed l USING (stratum)),
+tested AS (SELECT stratum, level, {_RULES}, count(*) FILTER (good AND held) AS n, count(*) FILTER (good AND held AND out) AS k, {_TUNED} FROM tried GROUP BY ALL),
+judged AS (SELECT *, count(*) OVER () AS tests, CASE WHEN k > n * {quality.RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
     lambda i: exp(lgamma(n + 1) - (CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END) - (CASE WHEN n > i THEN lgamma(n - i + 1) ELSE 0 END)
-        + i * ln({quality.RISK}) + (n - i) * ln(1 - {quality.RISK})))) END AS p FROM counted),
-best AS (SELECT stratum, rule, arg_max(cutoff, (bad_out * good_n - good_out * bad_n) * 100000 + cutoff) AS cutoff FROM tested
-    WHERE p <= {quality.ERROR} / tests AND bad_out * good_n - good_out * bad_n > 0 GROUP BY stratum, rule),
-limits AS (SELECT stratum, {_LIMITS} FROM best GROUP BY stratum)
+        + i * ln({quality.RISK}) + (n - i) * ln(1 - {quality.RISK})))) END AS p FROM tested),
+limits AS (SELECT * FROM judged WHERE p <= {quality.ERROR} / tests AND bad_out * good_n - good_out * bad_n > 0
+    QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY bad_out * good_n - good_out * bad_n DESC, level DESC) = 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_FAILED} AS base_failed, NOT ({_FAILED} OR {_OUT}) AS kept
 FROM measured LEFT JOIN limits l USING (stratum)
 """

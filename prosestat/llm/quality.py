@@ -1,14 +1,16 @@
 """Quality rules whose cutoffs carry a bound on false rejection.
 
-Each rule compares one measure of a text with a cutoff from a fixed ladder. For
-every stratum, rule and cutoff, the good documents of a labelled holdout are
-counted that the cutoff would reject. A cutoff is admissible if the exact
-binomial test shows its rate of false rejection to be at most ``risk``: with k
-of n rejected, P(Binomial(n, risk) <= k) must not exceed the error level divided
-by all tests (strata x rules x cutoffs, Bonferroni), so all admitted cutoffs hold
-together. Among the admissible ones the tuning half of the labels picks the
-cutoff that parts bad from good documents best, the most lenient on a tie. A
-rule without an admissible, useful cutoff in a stratum is not applied there.
+Each rule compares one measure of a text with a cutoff from a fixed ladder; a
+document goes if one rule or more rejects it. The labels are halved by a digest
+of the id. On the tuning half each rule gets, for every stratum and tolerance
+level, the cutoff that parts bad from good documents best among those rejecting at
+most the level's share of the good ones (the most lenient on a tie). What the
+holdout half tests is the whole set of rules, as the verdict uses it: with k of
+its n good documents rejected, P(Binomial(n, risk) <= k) must not exceed the error
+level divided by all tests (strata x levels, Bonferroni). So with probability
+1 - error the share of good documents that the rules reject, beyond the base rule,
+is at most ``risk`` in every stratum. Among the admitted levels the tuning half
+picks the one that parts best. A stratum without one keeps what the base rule keeps.
 
 Null texts count as no words; null strata are one stratum with the empty name;
 null labels and labels without a document are not used; a document labelled
@@ -33,6 +35,8 @@ RULES = {
     "shouts_per_word": (("n_shouts", 1000, "n_words"), (50, 100, 200, 300, 500)),
 }
 RISK, ERROR = 0.02, 0.05
+#: Tolerance levels: shares of the risk that all rules together may use up on the tuning half.
+SHARES = (1.0, 0.5, 0.25, 0.125, 0.0)
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_shouts")
 
 
@@ -99,69 +103,90 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(F.exp(F.aggregate(steps, start, step)["total"]))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per stratum with a cutoff per rule (null: none), from the labels (``key``, quality 0 or 1)."""
-    known = labels.where("quality is not null").select(F.col(key).alias("label_key"), (F.col("quality") == 1).alias("good"))
-    used = (measured.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).join(known, F.col(key) == F.col("label_key"))
-            .withColumn("held", F.substring(F.md5(F.col(key).cast("string")), 1, 1) >= "8"))
+def _counts(out: str) -> list[Column]:
+    """Of labelled rows: good and bad documents of the tuning half, and how many of them go."""
+    tuning = {"good": F.col("good") & ~F.col("held"), "bad": ~F.col("good") & ~F.col("held")}
+    return [F.count(F.when(which & also, 1)).alias(name + end) for name, which in tuning.items()
+            for end, also in (("_n", F.lit(True)), ("_out", F.col(out)))]
+
+
+GAIN = "bad_out * good_n - good_out * bad_n"
+
+
+def _candidates(used: DataFrame, risk: float) -> DataFrame:
+    """(stratum, level, a cutoff per rule or null): the cutoffs that the tuning half proposes."""
     tries = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).cast("long").alias("cutoff"), exceeds(r, F.lit(c)).alias("out"))
                       for r, (_, ladder) in RULES.items() for c in ladder])
-    counted = used.select("stratum", "good", "held", F.explode(tries).alias("t")).groupBy("stratum", "t.rule", "t.cutoff").agg(
-        F.count(F.when(F.col("good") & F.col("held"), 1)).alias("n"),
-        F.count(F.when(F.col("good") & F.col("held") & F.col("t.out"), 1)).alias("k"),
-        F.count(F.when(F.col("good") & ~F.col("held"), 1)).alias("good_n"),
-        F.count(F.when(F.col("good") & ~F.col("held") & F.col("t.out"), 1)).alias("good_out"),
-        F.count(F.when(~F.col("good") & ~F.col("held"), 1)).alias("bad_n"),
-        F.count(F.when(~F.col("good") & ~F.col("held") & F.col("t.out"), 1)).alias("bad_out"))
-    # all tests at once: the rows of this small table, a ladder for each stratum
-    admitted = (counted.withColumn("tests", F.count("*").over(Window.partitionBy(F.lit(0))))
-                .where(binomial_tail(F.col("k"), F.col("n"), risk) <= F.lit(error) / F.col("tests")))
-    gain = F.col("bad_out") * F.col("good_n") - F.col("good_out") * F.col("bad_n")
-    best = admitted.withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule").agg(
-        F.max(F.struct("gain", "cutoff"))["cutoff"].alias("cutoff"))
-    return best.groupBy("stratum").pivot("rule", list(RULES)).agg(F.max("cutoff"))
+    counted = (used.select("stratum", "good", "held", F.explode(tries).alias("t")).select("stratum", "good", "held", "t.*")
+               .groupBy("stratum", "rule", "cutoff").agg(*_counts("out")))
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(ppm).cast("long").alias("ppm")) for i, ppm in enumerate(tolerances(risk))])
+    kept = counted.select("*", F.expr(GAIN).alias("gain"), F.explode(levels).alias("at")).where(
+        "gain > 0 and good_out * 1000000 <= good_n * at.ppm")
+    best = kept.groupBy("stratum", "at.level", "rule").agg(F.max(F.struct("gain", "cutoff"))["cutoff"].alias("cutoff"))
+    return best.groupBy("stratum", "level").pivot("rule", list(RULES)).agg(F.max("cutoff"))
 
 
-def _measured(df: DataFrame, keep: list[str], text: str, stratum: str) -> DataFrame:
-    rows = df.select(*[df[c] for c in keep], df[text].alias("text_"), whole(df[stratum].cast("string")).alias("stratum"))
-    return rows.withColumn("m_", measure(F.col("text_"))).select(*keep, "stratum", *[F.col("m_")[f].alias(f) for f in FEATURES])
+def tolerances(risk: float) -> list[int]:
+    """By level, how many of a million good documents of the tuning half one rule may reject."""
+    return [int(risk * 1_000_000 * share) // len(RULES) for share in SHARES]
 
 
-def _verdict() -> Column:
-    out = base_failed(F.col("n_words"), F.col("n_repeat_words"))
+def _rejected() -> Column:
+    out = F.lit(False)
     for rule in RULES:
         out = out | exceeds(rule, F.col(rule))
-    return ~out
+    return out
 
 
-def assess(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = RISK,
-           error: float = ERROR) -> DataFrame:
-    """``key``, the measures, ``base_failed`` and ``kept`` of every document.
+def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", label_key: str = "doc_id", risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """One row per stratum with a cutoff per rule (null: none), from the labels (``label_key``, quality 0 or 1)."""
+    known = labels.where("quality is not null").select(F.col(label_key).alias("label_key"), (F.col("quality") == 1).alias("good"))
+    used = (measured.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).join(known, F.col(key) == F.col("label_key"))
+            .select("stratum", "good", *FEATURES, (F.substring(F.md5(F.col(key).cast("string")), 1, 1) >= "8").alias("held")))
+    proposed = _candidates(used, risk)
+    on_holdout = [F.count(F.when(F.col("good") & F.col("held") & also, 1)).alias(name) for name, also in (("n", F.lit(True)), ("k", F.col("out")))]
+    tested = used.join(proposed, "stratum").withColumn("out", _rejected()).groupBy("stratum", "level", *RULES).agg(*on_holdout, *_counts("out"))
+    # all tests at once: the rows of this small table, some levels for each stratum
+    admitted = (tested.withColumn("tests", F.count("*").over(Window.partitionBy(F.lit(0))))
+                .where(binomial_tail(F.col("k"), F.col("n"), risk) <= F.lit(error) / F.col("tests")))
+    best = admitted.withColumn("gain", F.expr(GAIN)).where("gain > 0").groupBy("stratum").agg(F.max(F.struct("gain", "level", *RULES)).alias("b"))
+    return best.select("stratum", *[F.col("b")[r].alias(r) for r in RULES])
+
 
-    The texts are read once; the measures, some dozens of bytes a document, are
-    written to the shared folder and serve the cutoffs and the verdicts.
+def _measured(df: DataFrame, own: list[Column], text: str, stratum: str) -> DataFrame:
+    names = [f"own_{i}" for i in range(len(own))]
+    rows = df.select(*[c.alias(n) for c, n in zip(own, names)], df[text].alias("text_"), whole(df[stratum].cast("string")).alias("stratum"))
+    return rows.withColumn("m_", measure(F.col("text_"))).select(*names, "stratum", *[F.col("m_")[f].alias(f) for f in FEATURES])
+
+
+def _verdict() -> Column:
+    return ~(base_failed(F.col("n_words"), F.col("n_repeat_words")) | _rejected())
+
+
+def _judged(df: DataFrame, labels: DataFrame, own: list[Column], key: str, text: str, stratum: str, risk: float, error: float) -> DataFrame:
+    """own_0 (the key) and the other columns of ``own``, the measures and the cutoffs of the stratum.
+
+    The texts are measured once; what is written to the shared folder serves the
+    cutoffs and the verdicts. Cutoffs are one short row per stratum.
     """
-    measures = written(_measured(df, [key], text, stratum), "measures")
-    limits = written(cutoffs(measures, labels, key, risk=risk, error=error), "cutoffs")
-    return measures.join(limits, "stratum", "left").select(
-        key, *FEATURES, base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"), _verdict().alias("kept"))
+    measures = written(_measured(df, own, text, stratum), "measures")
+    limits = written(cutoffs(measures, labels, "own_0", key, risk, error), "cutoffs")
+    return measures.join(limits, "stratum", "left")
+
+
+def assess(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = RISK,
+           error: float = ERROR) -> DataFrame:
+    """``key``, the measures, ``base_failed`` and ``kept`` of every document."""
+    return _judged(df, labels, [df[key]], key, text, stratum, risk, error).select(
+        F.col("own_0").alias(key), *FEATURES, base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"), _verdict().alias("kept"))
 
 
 def passing(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = RISK,
             error: float = ERROR) -> DataFrame:
     """The rows of ``df`` that are kept, with all their columns.
 
-    The verdict is taken in the row, from its text and the few cutoffs of its
-    stratum, so no text is moved; the price is a second pass over the texts.
+    Rows are written beside their measures and read again with the verdict: a
+    write in place of a second measuring or of a shuffle of the texts.
     """
-    limits = written(cutoffs(_measured(df, [key], text, stratum), labels, key, risk=risk, error=error), "cutoffs")
-    limits = limits.select(F.struct(*RULES).alias("cut_"), F.col("stratum").alias("stratum_"))
-    judged = df.join(limits, whole(df[stratum].cast("string")) == limits["stratum_"], "left")
-
-    def verdict(m: Column) -> Column:
-        out = base_failed(m["n_words"], m["n_repeat_words"])
-        for rule, ((part, scale, per), _) in RULES.items():
-            out = out | F.coalesce(m[part] * scale > limits["cut_"][rule] * m[per], F.lit(False))
-        return ~out
-
-    return judged.where(let(measure(df[text]), verdict)).select(*[df[c] for c in df.columns])
+    row = F.struct(*[df[c] for c in df.columns])
+    return _judged(df, labels, [df[key], row], key, text, stratum, risk, error).where(_verdict()).select("own_1.*")

@@ -61,16 +61,22 @@ def shingle_majority(text: str | None, words_in_shingle: int = 3, seed: int = 42
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = 3) -> DataFrame:
-    """``key`` and ``bits``, the 64-bit fingerprint as a signed long, of every whole text."""
-    rows = df.select(df[key].alias(key), df[text].cast("string").alias("text_"))
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = 3, digest: bool = False) -> DataFrame:
+    """``key`` and ``bits``, the 64-bit fingerprint as a signed long, of every whole text; with ``digest`` also ``digest_`` of the text."""
+    told = [text_digest(df[text]).alias("digest_")] if digest else []
+    rows = df.select(df[key].alias(key), df[text].cast("string").alias("text_"), *told)
 
     def run(batches):
         for batch in batches:
             bits = np.fromiter((shingle_majority(v.as_py(), words_in_shingle) for v in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], names=[key, "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64)), *batch.columns[2:]], names=[key, "bits", "digest_"][:batch.num_columns])
 
-    return ship(rows).mapInArrow(run, T.StructType([df.schema[key], T.StructField("bits", T.LongType())]))
+    return ship(rows).mapInArrow(run, T.StructType([df.schema[key], T.StructField("bits", T.LongType()), *rows.schema.fields[2:]]))
+
+
+def text_digest(text: Column) -> Column:
+    """64 bits that tell apart the texts of rows with one id."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def _bytes_at(bits: Column, positions: tuple[int, ...]) -> Column:
@@ -115,13 +121,41 @@ def links(prints: DataFrame, posting_cap: int = POSTING_CAP) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
-def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = 3, posting_cap: int = POSTING_CAP) -> DataFrame:
-    """``key``, ``fingerprint`` (16 hexadecimal digits), ``component_id``: the smallest id reachable over links."""
-    marked = written(fingerprints(df, key, text, words_in_shingle), "fingerprints")
+def _grouped(marked: DataFrame, key: str, posting_cap: int) -> DataFrame:
+    """``marked`` (written fingerprints) with ``component_id``."""
     prints = written(marked.groupBy("bits").agg(F.min(key).alias("node")), "prints")
     found = links(prints.select("bits"), posting_cap)
     named = (found.join(prints.withColumnsRenamed({"bits": "a", "node": "x"}), "a")
              .join(prints.withColumnsRenamed({"bits": "b", "node": "y"}), "b").select("x", "y"))
     groups = smallest_reachable(named)
     own = prints.join(groups, "node", "left").select("bits", F.coalesce("least", "node").alias("component_id"))
-    return marked.join(own, "bits").select(key, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(own, "bits")
+
+
+def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = 3, posting_cap: int = POSTING_CAP) -> DataFrame:
+    """``key``, ``fingerprint`` (16 hexadecimal digits), ``component_id``: the smallest id reachable over links."""
+    grouped = _grouped(written(fingerprints(df, key, text, words_in_shingle), "fingerprints"), key, posting_cap)
+    return grouped.select(key, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = 3, posting_cap: int = POSTING_CAP) -> DataFrame:
+    """``df`` with one row of each group: that of the smallest ``key``, all columns as they are.
+
+    Of rows with that key but different texts the least digest stays, of repeated rows
+    one. Rows with a null key go if their group has another, else one stays for each
+    fingerprint. Only keys and digests are grouped; the texts meet the rows to drop once.
+    """
+    marked = written(fingerprints(df, key, text, words_in_shingle, digest=True), "fingerprints")
+    rows = _grouped(marked, key, posting_cap).withColumn("alone", F.when(F.col("component_id").isNull(), F.col("bits"))).groupBy(
+        "component_id", "alone", key, "digest_").agg(F.count("*").alias("times"))  # of null keys alone a group is a fingerprint
+    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "digest_")
+    first = rows.groupBy(F.col("component_id").alias("c"), F.col("alone").alias("a")).agg(F.min(rank).alias("first"))
+    told = written(rows.join(first, F.col("component_id").eqNullSafe(F.col("c")) & F.col("alone").eqNullSafe(F.col("a"))).select(
+        F.col(key).alias("id_"), F.col("digest_").alias("asked_"), "times", (rank != F.col("first")).alias("copy")), "told")
+    at = df[key].eqNullSafe(F.col("id_")) & (text_digest(df[text]) == F.col("asked_"))
+    kept = df.join(told.where("copy or times > 1"), at, "left_anti")
+    repeated = told.where("not copy and times > 1")
+    if repeated.isEmpty():
+        return kept
+    again = df.join(repeated, at).dropDuplicates(["id_", "asked_"]).select(*[df[c] for c in df.columns])
+    return kept.unionByName(again)

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from prosestat.llm import bpe, chat, copies, language, mixing, neighbours, pages, quality, secrets, sharding, simhash
+from prosestat.llm import bpe, chat, language, mixing, neighbours, pages, quality, secrets, sharding, simhash
 from prosestat.llm.queries import TOKENIZER
 from prosestat.llm.shared import shared_folder
 
@@ -105,54 +105,16 @@ def test_simhash_links_planted_fingerprints_also_in_hot_postings(spark):
         assert {s: top(s) for (s,) in signed} == parts
 
 
-def plain_near(texts):
-    """Group of each text by five-word Jaccard similarity of 0.8 or more, all pairs."""
-    sets = []
-    for t in texts:
-        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
-        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    root = list(range(len(texts)))
-
-    def top(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-    for b in range(len(texts)):
-        for a in range(b):
-            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-                x, y = sorted((top(a), top(b)))
-                root[y] = x
-    return [top(i) for i in range(len(texts))]
-
-
-@pytest.mark.parametrize("rounds", [0, 4])
-def test_near_copies_equal_all_pairs(spark, monkeypatch, rounds):
-    monkeypatch.setattr(copies, "ROUNDS", rounds)
-    monkeypatch.setattr(copies, "FEW", 0)
-    rng, vocabulary = random.Random(4), [f"w{j}" for j in range(900)]
-
-    def edited(text, n):
-        words = text.split()
-        for _ in range(n):
-            words[rng.randrange(len(words))] = rng.choice(vocabulary)
-        return " ".join(words)
-    base, common = words_of(1, 120, vocabulary), words_of(2, 25, vocabulary)
-    texts = ODD + [words_of(i, 60, vocabulary) for i in range(30)] + [words_of(50 + i, 40, vocabulary) + " " + common for i in range(30)]
-    texts += [edited(base, i % 6) for i in range(50)] + [edited(texts[len(ODD) + i], 1 + i % 3).upper() for i in range(30)]
-    want = plain_near(texts)
-    assert 40 < len(set(want)) < len(texts) - 30
-    got = copies.one_of_each(docs_of(spark, texts, extra=True)).collect()
-    assert sorted(r.doc_id for r in got) == sorted(set(want)) and all(r.text == texts[r.doc_id] and (r.text_, r.size) == ("y", 4) for r in got)
-    prints = {i: plain_print(t) for i, t in enumerate(texts)}
-    assert set(plain_groups(prints).values()) - set(want)  # fingerprints within 2 bits leave near copies
-
-
-def test_near_copies_one_row_of_each_group(spark):
+def test_simhash_one_row_of_each_group(spark):
     one, two, lone = words_of(1, 40), words_of(2, 40), words_of(3, 40)
     rows = [(7, one, 1), (7, one, 2), (9, one, 3), (None, one, 4), (None, two, 5), (None, two, 6), (4, lone, 7), (None, lone, 8), (5, None, 9), (6, " ", 9), (3, "", 9)]
-    got = copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long").withColumns({"bits": F.lit(1), "copy": F.lit("c")})
+    got = simhash.one_of_each(df).collect()
     assert sorted([(r.doc_id, r.text) for r in got], key=str) == sorted([(7, one), (None, two), (4, lone), (3, "")], key=str)
-    assert copies.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert all((r.bits, r.copy) == (1, "c") for r in got) and simhash.one_of_each(df.limit(0)).count() == 0
+    texts = ODD + [words_of(i % 12, 200) + (" x" if i > 20 else "") for i in range(40)]
+    kept = {r.doc_id for r in simhash.one_of_each(docs_of(spark, texts, extra=True)).collect()}
+    assert kept == set(plain_groups({i: plain_print(t) for i, t in enumerate(texts)}).values())
 
 
 def test_secrets(spark):
@@ -215,9 +177,63 @@ def test_quality_cutoffs_reject_bad_and_keep_good(spark):
     labels = spark.createDataFrame([(i, int(i < 1200)) for i in range(1400)], "doc_id long, quality int")
     kept = {r.doc_id for r in quality.passing(df, labels).collect()}
     assert kept == set(range(1200)) == {r.doc_id for r in quality.assess(df, labels).where("kept").collect()}
-    clash = df.withColumns({"cut_": F.lit(1), "stratum_": F.lit("x"), "m_": F.lit(2)})
+    clash = df.withColumns({"own_0": F.lit(1), "stratum": F.lit("x"), "m_": F.lit(2), "n_words": F.lit(3)})
     again = quality.passing(clash, labels).collect()
-    assert {r.doc_id for r in again} == kept and {(r.cut_, r.stratum_, r.m_) for r in again} == {(1, "x", 2)}
+    assert {r.doc_id for r in again} == kept and {(r.own_0, r.stratum, r.m_, r.n_words) for r in again} == {(1, "x", 2, 3)}
+    twice = quality.passing(df.where("doc_id < 3").unionByName(df.where("doc_id = 1")).withColumn("lang", F.lit(None).cast("string")), labels)
+    assert sorted(r.doc_id for r in twice.collect()) == [0, 1, 1, 2]
+
+
+FAULTS = {"signs_per_char": lambda w: [x + "%%%" for x in w], "repeats_per_word": lambda w: w[:40] + ["a", "b", "c"] * 12, "shouts_per_word": lambda w: [x + "!!" for x in w],
+          "copied_lines_per_line": lambda w: w[:60] + ["\nsame1\nsame1\nsame1\nsame1\n"]}
+
+
+def labelled(seed, strata=("en", "de"), n=1500):
+    """Documents of two languages; bad ones have one fault each, a few good ones too."""
+    rng, rows, labels = random.Random(seed), [], []
+    for lang in strata:
+        for i in range(n):
+            good, words = i >= n // 5, [f"w{rng.randrange(4000)}" for _ in range(70)]
+            if not good or rng.random() < 0.003:
+                words = FAULTS[list(FAULTS)[i % 4]](words)
+            rows.append((len(rows), " ".join(words), lang))
+            labels.append((len(labels), int(good)))
+    return rows, labels
+
+
+def test_quality_with_cutoffs_of_every_rule_equals_sql(spark, tmp_path):
+    import duckdb
+    from prosestat.llm.oracles import QUALITY
+    rows, labels = labelled(6)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, known = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
+    limits = {r.stratum: r for r in quality.cutoffs(quality.assess(docs, known).join(docs.select("doc_id", F.col("lang").alias("stratum")), "doc_id"), known).collect()}
+    assert set(limits) == {"en", "de"} and all(r[rule] is not None for r in limits.values() for rule in quality.RULES)
+    got = quality.assess(docs, known).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
+    with duckdb.connect() as db:
+        for t in ("documents", "labels"):
+            db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+        assert sorted(map(tuple, got)) == sorted(db.execute(QUALITY).fetchall())
+    assert sum(not r.kept for r in got) > 500
+
+
+def test_quality_bound_holds_for_all_rules_together(spark):
+    """Each rule would reject a quarter of ``share`` of the good: what is admitted together rejects at most the risk."""
+    def table(seed, share):
+        rng, rows = random.Random(seed), []
+        for stratum in range(6):
+            for i in range(2400):
+                good = i % 4 > 0
+                rule = rng.randrange(4) if not good or rng.random() < share else None
+                n = [1000 if rule == j else 0 for j in range(4)]
+                rows.append((len(rows), f"{seed}-{stratum}", 100, 1000, n[0], n[2] // 100, n[1] // 25, 10, n[3] // 20, int(good)))
+        return rows
+    names = "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_shouts long, quality int"
+    for share, least in ((0.05, 0), (0.03, 0), (0.003, 8)):
+        df = spark.createDataFrame(table(1, share) + [(r[0] + 100_000, *r[1:]) for r in table(2, share)], names)
+        admitted = [sum(r[rule] is not None for rule in quality.RULES) for r in quality.cutoffs(df, df.select("doc_id", "quality")).collect()]
+        assert sum(n > 0 for n in admitted) >= least and all(n * share / 4 <= quality.RISK for n in admitted), (share, admitted)
 
 
 def test_shards_are_a_sort_with_near_equal_bytes(spark):
@@ -331,6 +347,8 @@ def test_neighbours_recall_and_odd_vectors(spark):
         hits += len({i for _, i in found} & set(np.argsort(d)[:10].tolist()))
         assert all(s == pytest.approx(d[i], rel=1e-12) for s, i in found)
     assert hits >= 0.9 * 10 * len(by)
+    again = neighbours.nearest(df.unionByName(df.where("vec_id in (100, 5000)")).withColumns({"id": F.lit(7), "part_": F.lit(1)}), lambda i: i == 100).collect()
+    assert sorted((r["rank"], r.vec_id) for r in again) == sorted((r["rank"], r.vec_id) for r in got if r.query_id == 100)
     assert neighbours.nearest(df.where("vec_id < 4"), lambda i: i == 0).count() == 3 and neighbours.nearest(df.limit(0), lambda i: i == 0).count() == 0
 
 
