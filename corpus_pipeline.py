@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosestat.llm import bpe, copies, mixing, quality, secrets
+from prosestat.llm import bpe, mixing, quality, secrets, simhash
 from prosestat.llm.queries import EPOCHS, MIX_SEED, TOKENIZER, mixture_levels, sha_of, token_estimate
 from prosestat.llm.shared import read, written
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies (five-word shingles, similarity 0.8 or more) stays: that of the smallest id."""
-    return copies.one_of_each(docs)
+    """One row of each group of fingerprints (three-word shingles, 2 bits) stays: that of the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality_rules), ("near copies", near_dedup), ("secrets", secret_scan), ("mixture", source_mixture), ("tokens", tokens)]
 
-#: Similar sets, randomness tests and tokens are not SQL; the tests hold near copies against all pairs, the run only against its own stages.
+#: Fingerprint groups, randomness tests and tokens are not SQL; the tests hold the run against a plain version of the five stages.
 ORACLE_SQL = None
 
 
