@@ -114,4 +114,15 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM sized GROUP BY conv_id
 """
 
-ORACLES = {"op2_mixing": MIXING, "op4_quality": QUALITY, "op7_chat": CHAT}
+PASSAGES = rf"""
+WITH docs AS MATERIALIZED (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_WHITE}'), lambda x: x <> '') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM docs),
+windows AS MATERIALIZED (SELECT doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS w FROM places),
+gone AS (SELECT DISTINCT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY w) AS first FROM windows) WHERE first < doc_id),
+cut AS (SELECT doc_id, list(DISTINCT i + d) AS places FROM (SELECT doc_id, i, unnest(range(0, 50)) AS d FROM gone) GROUP BY doc_id),
+kept AS (SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed, CASE WHEN places IS NULL THEN words ELSE list_select(words,
+    list_sort(list_filter(range(1, len(words) + 1), lambda j: NOT list_contains(places, j)))) END AS left_words FROM docs LEFT JOIN cut USING (doc_id))
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
+"""
+
+ORACLES = {"op2_mixing": MIXING, "op4_quality": QUALITY, "op7_chat": CHAT, "op13_passages": PASSAGES}
