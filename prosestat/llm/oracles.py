@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from prosestat.llm import chat, quality
-from prosestat.llm.queries import DOMAIN_WEIGHTS, EPOCHS, LANG_WEIGHTS, MIX_PERCENT, MIX_SEED
+from prosestat.llm.queries import DOMAIN_WEIGHTS, EPOCHS, LANG_WEIGHTS, MIX_PERCENT, MIX_SEED, TOP_PHRASES
 
 
 def _cases(column: str, weights: dict[str, int]) -> str:
@@ -125,4 +125,27 @@ kept AS (SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_rem
 SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
 """
 
-ORACLES = {"op2_mixing": MIXING, "op4_quality": QUALITY, "op7_chat": CHAT, "op13_passages": PASSAGES}
+PHRASES = rf"""
+WITH pieces AS (SELECT lang, row_number() OVER () AS piece, p FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+split AS (SELECT lang, piece, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+placed AS MATERIALIZED (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split)),
+f AS MATERIALIZED (SELECT lang, 1 AS size, w1 AS phrase, count(*) AS n FROM placed GROUP BY ALL
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM placed WHERE w2 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM placed WHERE w3 IS NOT NULL GROUP BY ALL),
+words AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+cuts AS (SELECT *, array_to_string(w[1 : k], ' ') AS first, array_to_string(w[k + 1 : size], ' ') AS rest FROM
+    (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+scored AS (SELECT c.lang, c.size, c.phrase, a, k, x.n AS l, y.n AS r, ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+    FROM cuts c JOIN f x ON c.lang = x.lang AND c.first = x.phrase JOIN f y ON c.lang = y.lang AND c.rest = y.phrase),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (SELECT lang, phrase, max(a) AS around FROM (SELECT lang, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase, a
+    FROM candidates WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT b.lang, b.phrase, a, l, r, words.n, score FROM best b JOIN words USING (lang) LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase
+    WHERE b.size = 3 OR coalesce(100 * around < 50 * a, TRUE))
+SELECT lang, (row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase))::INTEGER AS rank, phrase, a, l, r, n, score FROM kept
+QUALIFY rank <= {TOP_PHRASES}
+"""
+
+ORACLES = {"op2_mixing": MIXING, "op4_quality": QUALITY, "op7_chat": CHAT, "op11_phrases": PHRASES, "op13_passages": PASSAGES}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosestat.llm import bpe, chat, language, mixing, neighbours, pages, passages, quality, secrets, sharding, simhash
+from prosestat.llm import bpe, chat, language, mixing, neighbours, pages, passages, phrases, quality, secrets, sharding, simhash
 from prosestat.llm.shared import read, whole
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -124,6 +124,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+TOP_PHRASES = 2000
+
+
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of two and three words of each language."""
+    return phrases.collocations(read(spark, sf_dir, "documents"), top=TOP_PHRASES)
+
+
 def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the windows of 50 words that an earlier one has."""
     left = passages.remove(read(spark, sf_dir, "documents"))
@@ -131,4 +139,4 @@ def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_mixing, op3_sharding, op4_quality, op5_secrets, op6_html, op7_chat, op8_language, op9_neighbours, op10_simhash,
-                                   op13_passages)}
+                                   op11_phrases, op13_passages)}
