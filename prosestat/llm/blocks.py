@@ -61,4 +61,4 @@ def matrix(table: pa.Table | pa.RecordBatch, column: str, size: int) -> np.ndarr
     """A list column of lists of one length as rows of an array."""
     lists = table.column(column)
     flat = [c.flatten().to_numpy(zero_copy_only=False) for c in (lists.chunks if isinstance(lists, pa.ChunkedArray) else [lists])]
-    return np.concatenate(flat).reshape(-1, size) if flat else np.zeros((0, size))
+    return np.concatenate(flat).reshape(-1, size) if flat and size else np.zeros((table.num_rows, size))

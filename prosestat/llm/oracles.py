@@ -148,4 +148,16 @@ SELECT lang, (row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC,
 QUALIFY rank <= {TOP_PHRASES}
 """
 
-ORACLES = {"op2_mixing": MIXING, "op4_quality": QUALITY, "op7_chat": CHAT, "op11_phrases": PHRASES, "op13_passages": PASSAGES}
+NEGATIVES = """
+WITH rows AS MATERIALIZED (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (SELECT a.id AS anchor_id, r.id, r.label = a.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+    FROM rows a JOIN rows r ON a.id % 100 = 0 AND a.id <> r.id AND len(a.v) = len(r.v)),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER w)::INTEGER AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) QUALIFY rank <= 5
+"""
+
+ORACLES = {"op2_mixing": MIXING, "op4_quality": QUALITY, "op7_chat": CHAT, "op11_phrases": PHRASES, "op12_negatives": NEGATIVES, "op13_passages": PASSAGES}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosestat.llm import bpe, chat, language, mixing, neighbours, pages, passages, phrases, quality, secrets, sharding, simhash
+from prosestat.llm import bpe, chat, language, mixing, negatives, neighbours, pages, passages, phrases, quality, secrets, sharding, simhash
 from prosestat.llm.shared import read, whole
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -132,6 +132,13 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"), top=TOP_PHRASES)
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector; every seventh label is one too high."""
+    rows = read(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, lambda i: i % 100 == 0)
+
+
 def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the windows of 50 words that an earlier one has."""
     left = passages.remove(read(spark, sf_dir, "documents"))
@@ -139,4 +146,4 @@ def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_mixing, op3_sharding, op4_quality, op5_secrets, op6_html, op7_chat, op8_language, op9_neighbours, op10_simhash,
-                                   op11_phrases, op13_passages)}
+                                   op11_phrases, op12_negatives, op13_passages)}
