@@ -9,7 +9,9 @@ word for word. A word goes if it is in a window that also starts in a document o
 a smaller id; windows are those of the input.
 
 A bucket is read by one task, a row at a time, sorted by minimiser. Minimisers
-are counted before anything travels. A frequent one, of more than ``HOT_LEAST``
+are counted before anything travels, and only those of several documents send
+strings, as far as a bitmap of fixed size tells them apart (``bitmaps``; it lets
+others through, never holds one back). A frequent one, of more than ``HOT_LEAST``
 super-k-mers and more than ``1 / HOT_MOST`` of all (so ``HOT_MOST`` at most, whatever
 the size, are known to the driver), sends no strings: its windows are dealt one by
 one by a 128-bit digest of their words, counted within each task first, so that
@@ -34,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prosestat.llm.shared import ship, written
+from prosestat.llm.bitmaps import bitmap_of, has
+from prosestat.llm.shared import settled, ship, written
 
 WINDOW, MINIMISER_WORDS = 50, 8
 #: Super-k-mers of a minimiser from which it may be frequent; frequent ones at most.
@@ -104,14 +107,15 @@ def _batches(rows: Iterator[tuple], schema: str, size: int = 1 << 14) -> Iterato
 
 
 def minimiser_counts(rows: DataFrame, window: int) -> DataFrame:
-    """(bucket, n): how many super-k-mers each minimiser has."""
+    """(bucket, n, shared): how many super-k-mers each minimiser has, and whether in several documents."""
     def run(batches):
-        for _, _, words in _documents(batches):
+        for key, _, words in _documents(batches):
             least = super_kmers(words, window)[0]
             if len(least):
-                yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64))], names=["bucket"])
+                yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(np.full(len(least), key, np.int64))], names=["bucket", "id"])
 
-    return ship(rows).mapInArrow(_gathered(run), "bucket long").groupBy("bucket").agg(F.count("*").alias("n"))
+    found = ship(rows).mapInArrow(_gathered(run), "bucket long, id long")
+    return found.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("id") < F.max("id")).alias("shared"))
 
 
 def _gathered(run):
@@ -129,12 +133,12 @@ def _gathered(run):
     return out
 
 
-def frequent(rows: DataFrame, window: int, least: int, most: int) -> np.ndarray:
-    """The frequent minimisers, sorted; ``most`` at most, as each has more than that share of all."""
+def frequent_and_shared(rows: DataFrame, window: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent minimisers, sorted (``most`` at most, as each has more than that share of all), and the bitmap of the shared ones."""
     counts = written(minimiser_counts(rows, window), "minimisers")
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.where((F.col("n") > least) & (F.col("n") * most > total)).select("bucket").collect()
-    return np.sort(np.array([r.bucket for r in found], np.int64))
+    return np.sort(np.array([r.bucket for r in found], np.int64)), bitmap_of(counts.where("shared"), F.col("bucket"))
 
 
 def _is_hot(minimisers: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -144,16 +148,16 @@ def _is_hot(minimisers: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, own), len(hot) - 1)] == own
 
 
-def strings(rows: DataFrame, hot, window: int) -> DataFrame:
-    """The packed super-k-mers of the other minimisers."""
+def strings(rows: DataFrame, hot, shared, window: int) -> DataFrame:
+    """The packed super-k-mers of the minimisers that may be shared but aren't frequent."""
     def told(batches):
         for key, digest, words in _documents(batches):
             least, first, end = super_kmers(words, window)
-            keep = ~_is_hot(least, hot.value)
+            keep = ~_is_hot(least, hot.value) & has(shared.value, least)
             for m, a, b in zip(least.view(np.int64)[keep].tolist(), first[keep].tolist(), end[keep].tolist()):
                 yield m, key, digest, a, b" ".join(words[a: b + window - 1])
 
-    return ship(rows).mapInArrow(lambda batches: _batches(told(batches), _STRINGS), _STRINGS)
+    return ship(rows).mapInArrow(settled(lambda batches: _batches(told(batches), _STRINGS)), _STRINGS)
 
 
 def repeated_in_bucket(members: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tuple[int, int, int, int]]:
@@ -239,9 +243,9 @@ def spans_of_frequent(rows: DataFrame, hot, window: int) -> DataFrame:
 def spans(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, hot_least: int = HOT_LEAST, hot_most: int = HOT_MOST) -> DataFrame:
     """(id, digest, spans): of each document with repeated windows the spans of words that go; see ``remove``."""
     rows = df.select(F.coalesce(df[key].cast("long"), F.lit(_LAST)).alias("id"), _digest(df[text]).alias("digest"), df[text].cast("binary").alias("text"))
-    found = frequent(rows, window, hot_least, hot_most)
-    hot = df.sparkSession.sparkContext.broadcast(found)
-    out = spans_of_buckets(strings(rows, hot, window), window)
+    found, bitmap = frequent_and_shared(rows, window, hot_least, hot_most)
+    hot, shared = (df.sparkSession.sparkContext.broadcast(x) for x in (found, bitmap))
+    out = spans_of_buckets(strings(rows, hot, shared, window), window)
     if len(found):
         out = out.unionByName(spans_of_frequent(rows, hot, window))
     # repeated rows of one id and text have the same spans
@@ -276,4 +280,4 @@ def remove(df: DataFrame, key: str = "doc_id", text: str = "text", window: int =
                                              names=[key, "n_words", "n_removed", "kept"])
 
     schema = T.StructType([df.schema[key], *[T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")], T.StructField("kept", T.BinaryType())])
-    return ship(met).mapInArrow(run, schema).withColumn("kept", F.col("kept").cast("string"))
+    return ship(met).mapInArrow(settled(run), schema).withColumn("kept", F.col("kept").cast("string"))

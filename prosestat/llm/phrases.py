@@ -11,8 +11,8 @@ once to the right and from then on to the left, all intervals of a length at a t
 Counts of shards add up by language and phrase. A phrase of three words or more
 can only be frequent if its word pairs are, so a first pass counts words and
 pairs, and the second extends only where the two outer pairs are marked in a
-bitmap of the frequent pairs. The bitmap has a fixed size (``FILTER_BITS``); it can
-let through what isn't frequent, never lose what is, so results do not depend on it.
+bitmap of the frequent pairs (``bitmaps``). It has a fixed size and can let through
+what isn't frequent, never lose what is, so results do not depend on it.
 
 A candidate is a phrase of 2 to ``longest`` words with ``least`` occurrences. Cutting
 it after k words gives scores floor(1000000 a a / (l r)); the lowest cut counts, ties
@@ -35,12 +35,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prosestat.llm.shared import ship, whole, written
+from prosestat.llm.bitmaps import bitmap_of, has
+from prosestat.llm.shared import settled, ship, whole, written
 
 #: Bytes of text in the shards a task holds at a time, about.
 SHARD_BYTES = 8 << 20
-#: Bits of the bitmap of frequent pairs: 16 MB, whatever the size of the table.
-FILTER_BITS = 1 << 27
 _SEPARATED = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _SCHEMA = "lang string, size int, phrase binary, n long"
@@ -108,12 +107,12 @@ class BiIndex:
         return number[keep], word[keep], leads[at[order[first]]][keep], (other[number] + before)[keep], count[keep]
 
 
-def pair_bits(lang: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The places of word pairs in the bitmap, from 64-bit hashes of the words."""
+def pair_hashes(lang: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """64-bit hashes of word pairs, from those of the words."""
     x = (left * _MIX[0] + right) ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))
     for m in _MIX[1:]:
         x = (x ^ x >> np.uint64(33)) * m
-    return (x ^ x >> np.uint64(33)) % np.uint64(FILTER_BITS)
+    return x ^ x >> np.uint64(33)
 
 
 def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[str, list[bytes]]]:
@@ -179,8 +178,7 @@ def shard_counts(lang: str, tokens: list[bytes], longest: int, bitmap: np.ndarra
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
 
     def frequent(left, right):
-        bit = pair_bits(lang, hashes[left], hashes[right])
-        return bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 > 0
+        return has(bitmap, pair_hashes(lang, hashes[left], hashes[right]))
 
     allowed = None if bitmap is None else lambda number, right: frequent(word[number], right)
     number, last, other, begin, n = index.extend("right", begin, begin, n, allowed)
@@ -204,11 +202,11 @@ def counts(rows: DataFrame, longest: int, bitmap=None, shard_bytes: int = SHARD_
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), size, np.int32)), pa.array(some, pa.binary()),
                                                       pa.array(n[a: a + (1 << 16)], pa.int64())], names=["lang", "size", "phrase", "n"])
 
-    return ship(rows).mapInArrow(run, _SCHEMA).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    return ship(rows).mapInArrow(settled(run), _SCHEMA).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
 def pair_bitmap(pairs: DataFrame) -> np.ndarray:
-    """The bitmap of ``pairs`` (lang, phrase): built in tasks, ``FILTER_BITS / 8`` bytes in all."""
+    """The bitmap of ``pairs`` (lang, phrase)."""
     def run(batches):
         for batch in batches:
             langs, found = (batch.column(i).to_pylist() for i in (0, 1))
@@ -217,18 +215,10 @@ def pair_bitmap(pairs: DataFrame) -> np.ndarray:
             left, right = (np.fromiter((xxhash.xxh64_intdigest(p[i]) for p in two), np.uint64, len(two)) for i in (0, 1))
             for lang in set(langs):
                 own = np.array([x == lang for x in langs])
-                bits[own] = pair_bits(lang, left[own], right[own])
-            yield pa.RecordBatch.from_arrays([pa.array(bits.view(np.int64))], names=["bit"])
-
-    bits = ship(pairs.select("lang", "phrase")).mapInArrow(run, "bit long")
-    # a bucket holds 32,768 bits and is 4 KB; the functions count from 1
-    parts = bits.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bits"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in parts.collect():
-        at = (r.bucket - 1) * 4096
-        own = np.frombuffer(r.bits, np.uint8)
-        out[at: at + len(own)] = own[: len(out) - at]
-    return out
+                bits[own] = pair_hashes(lang, left[own], right[own])
+            yield pa.RecordBatch.from_arrays([pa.array(bits.view(np.int64))], names=["hash"])
+
+    return bitmap_of(ship(pairs.select("lang", "phrase")).mapInArrow(run, "hash long"), F.col("hash"))
 
 
 def frequent_phrases(df: DataFrame, text: str, lang: str, longest: int, least: int, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,22 @@ def ship(df: DataFrame) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+def settled(run):
+    """``run`` of a ``mapInArrow``, which at the end of a task gives freed memory back to the system.
+
+    Python workers stay for later tasks; what an idle one keeps is lost to the executor.
+    """
+    def out(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # no such call in this C library
+    return out
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once a row, however often ``body`` uses it."""
     return F.transform(F.array(value), body)[0]
