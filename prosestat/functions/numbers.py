@@ -10,15 +10,19 @@ from prosestat.functions.text import strip
 _INT = r"^[+-]?[0-9]+(?:_[0-9]+)*\z"
 _FLOAT = (r"^[+-]?(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)"
           r"(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?\z")
-_SIMPLE = r"^-?[0-9]+(?:\.[0-9]+)?\z"
 _SPECIAL = r"(?i)^[+-]?(?:inf|infinity|nan)\z"
 
 
+def _odd(text: Column) -> Column:
+    """Whether a text has signs that the casts do not know: an underscore, or white space outside ASCII."""
+    return F.contains(text, F.lit("_")) | (F.octet_length(text) != F.length(text))
+
+
 def as_int(text: Column | str) -> Column:
     """The whole number a text spells, else null (``5.0`` is not one)."""
     plain = F.col(text) if isinstance(text, str) else text
-    # The cast settles nearly every value without a regular expression.
-    odd = F.when(F.rlike(strip(plain), F.lit(_INT)), F.replace(strip(plain), F.lit("_"), F.lit("")))
+    # The cast settles every value but odd ones without a regular expression.
+    odd = F.when(_odd(plain) & F.rlike(strip(plain), F.lit(_INT)), F.replace(strip(plain), F.lit("_"), F.lit("")))
     return F.coalesce(plain.try_cast("bigint"), odd.try_cast("bigint"))
 
 
@@ -27,8 +31,9 @@ def as_float(text: Column | str) -> Column:
     raw, t = F.col(text) if isinstance(text, str) else text, strip(text)
     plain = F.when(F.rlike(t, F.lit(_FLOAT)), F.replace(t, F.lit("_"), F.lit("")))
     special = F.when(F.rlike(t, F.lit(_SPECIAL)), F.regexp_replace(t, "(?i)^[+-](?=nan)", ""))
-    # One expression settles what is spelt plainly; the rest is only tried for other texts.
-    return F.when(F.rlike(raw, F.lit(_SIMPLE)), raw).otherwise(F.coalesce(plain, special)).try_cast("double")
+    # Texts of digits, points and minus signs alone are left to the cast; expressions are for the rest.
+    bare = F.translate(raw, "0123456789.-", "") == ""
+    return F.when(bare, raw).otherwise(F.coalesce(plain, special)).try_cast("double")
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -18,22 +18,33 @@ def explode_lines(books: DataFrame, mode: str) -> DataFrame:
     return books.select("book_id", F.posexplode(body_lines("text", mode)).alias("line_no", "line"))
 
 
-def body_of_lines(lines: DataFrame, mode: str) -> DataFrame:
-    """The body rows of ``scan_book_lines`` output, in any row order.
-
-    The lines are read twice: once for the few marker lines, which give each file
-    its bounds, and once for the lines these are joined back to. The join is left to the optimizer: bounds of few files are broadcast
-    by their measured size, otherwise adaptive execution splits a hot file.
+def bodies_of_lines(lines: DataFrame, modes: tuple[str, ...] = ("strict", "lenient")) -> DataFrame:
+    """The rows of ``scan_book_lines`` output that are in a body, in any row order, with a flag column per mode.
+
+    The lines are read twice, whatever the number of modes: once for the few
+    marker lines of all modes, which give each file its bounds, and once for the
+    lines these are joined back to. The join is left to the optimizer: bounds of
+    few files are broadcast by their measured size, otherwise adaptive execution
+    splits a hot file.
     """
-    if mode == "none":
-        return lines
-    start, end = (F.rlike("text", F.lit(pattern)) for pattern in MARKERS[mode])
-    marks = lines.select("path", "position", start.alias("is_start"), end.alias("is_end")).where(
-        "is_start or is_end")
-    first = F.min(F.when(F.col("is_start"), F.col("position"))).over(Window.partitionBy("path"))
-    bounds = marks.withColumn("first", first).where("first is not null").groupBy("path").agg(
-        F.min("first").alias("first"),
-        F.min(F.when(F.col("is_end") & (F.col("position") > F.col("first")), F.col("position"))).alias("last"))
-    inside = (F.col("position") > F.col("first")) & (
-        F.col("last").isNull() | (F.col("position") < F.col("last")))
-    return lines.join(bounds, "path").where(inside).drop("first", "last")
+    flags = [F.rlike("text", F.lit(pattern)).alias(f"_{end}_{mode}")
+             for mode in modes for end, pattern in zip(("start", "end"), MARKERS[mode])]
+    names = [f"_{end}_{mode}" for mode in modes for end in ("start", "end")]
+    marks = lines.select("path", "position", *flags).where(" or ".join(names))
+    of_file = Window.partitionBy("path")
+    marks = marks.withColumns({f"_first_{m}": F.min(F.when(F.col(f"_start_{m}"), F.col("position"))).over(of_file)
+                               for m in modes})
+    at = F.col("position")
+    bounds = marks.groupBy("path").agg(
+        *[F.min(f"_first_{m}").alias(f"_first_{m}") for m in modes],
+        *[F.min(F.when(F.col(f"_end_{m}") & (at > F.col(f"_first_{m}")), at)).alias(f"_last_{m}") for m in modes])
+    # a file without a START line has null bounds, and no line is in a body of that mode
+    inside = {m: F.coalesce((at > F.col(f"_first_{m}")) & (F.col(f"_last_{m}").isNull() | (at < F.col(f"_last_{m}"))),
+                            F.lit(False)) for m in modes}
+    tagged = lines.join(bounds, "path").select(*lines.columns, *[flag.alias(m) for m, flag in inside.items()])
+    return tagged.where(" or ".join(modes))
+
+
+def body_of_lines(lines: DataFrame, mode: str) -> DataFrame:
+    """The body rows of ``scan_book_lines`` output for one mode, see ``bodies_of_lines``."""
+    return lines if mode == "none" else bodies_of_lines(lines, (mode,)).drop(mode)

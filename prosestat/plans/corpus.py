@@ -4,27 +4,29 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prosestat.constants import (
-    METADATA_FIELDS, SENTIMENT_METRICS, SYNTACTIC_METRICS, TIE_EPSILON,
+    METADATA_FIELDS, SENTIMENT_METRICS, SYNTACTIC_COUNTERS, SYNTACTIC_METRICS, TIE_EPSILON, TOP_WORDS,
 )
 from prosestat.functions.body import body_text
 from prosestat.functions.paths import path_below
 from prosestat.functions.text import let, strip
 from prosestat.operators import cohorts
-from prosestat.operators.body import body_of_lines, cut_body
+from prosestat.operators.body import bodies_of_lines, cut_body
 from prosestat.operators.report import comparison_report
-from prosestat.operators.sentiment import sentiment_by_book, sentiment_long
-from prosestat.operators.syntactic import (
-    merge_partials, readability, rounded, syntactic_counts, syntactic_long, syntactic_partials,
+from prosestat.operators.sentiment import (
+    score_sums, score_values, sentiment_long, sentiment_metrics, term_scores,
 )
-from prosestat.operators.wordfreq import (
-    content_runs, profile_of, top_words_by_book, word_counts_by_book,
+from prosestat.operators.syntactic import (
+    readability, rounded, syntactic_counts, syntactic_long, syntactic_partials,
 )
+from prosestat.operators.wordfreq import content_runs, profile_of, word_counts_by_book
 from prosestat.sources import sinks
-from prosestat.sources.books import scan_book_lines, scan_books, scan_inventory
+from prosestat.sources.books import (
+    NAMED_FILES, Selection, scan_book_lines, scan_books, scan_inventory, selection,
+)
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata
 
@@ -42,55 +44,109 @@ class CorpusRun(NamedTuple):
 def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None) -> DataFrame:
     """``(book_id, total_word_count, unique_word_count, top_words, sentiment, syntactic)``.
 
-    For ``(book_id, text)`` with one row per book. Words and syntactic metrics
-    are one pass over the texts without a shuffle; sentiment is a second, as its
-    words are joined with the lexicon; only short results meet. Bodies are cut
-    strictly for words and leniently for the syntactic metrics unless one
-    ``mode`` is given for both.
+    For ``(book_id, text)`` with one row per book, which is read once: a row gives
+    one row of its own measures and one for each different word. These meet the
+    lexicon; of the words only hits go on, and a book's few rows are summed up.
+    Bodies are cut strictly for words and leniently for the syntactic metrics
+    unless one ``mode`` is given for both. Rows without an id are left out.
     """
     strict, lenient = body_text("text", mode or "strict"), body_text("text", mode or "lenient")
-    words = let(content_runs(strict), lambda runs: F.struct(profile_of(runs).alias("profile")))
-    cut = books.select("book_id", words.alias("_w"), lenient.alias("text"))
-    metrics = rounded(readability(syntactic_counts(cut, "_w"), "_w")).select(
-        "book_id", "_w.*", F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
-    scores = sentiment_by_book(cut_body(books.select("book_id", "text"), mode or "strict"), lexicon)
-    return metrics.join(_sentiment_struct(scores), "book_id").select(
-        "book_id", "profile.*", "sentiment", "syntactic")
+    words = let(content_runs(strict), lambda runs: F.struct(profile_of(runs).alias("profile"), runs.alias("runs")))
+    cut = books.where("book_id is not null").select("book_id", words.alias("_w"), lenient.alias("text"))
+    measured = rounded(readability(syntactic_counts(cut, "_w"), "_w"))
+    own = F.struct(F.col("_w.profile").alias("profile"), F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
+    # No term holds a zero byte; with the id behind it, rows of measures spread over the tasks of the join.
+    none = F.concat(F.lit("\0"), F.col("book_id").cast("string"))
+    tagged = measured.select("book_id", own.alias("own"), none.alias("none"), F.col("_w.runs").alias("runs")).select("book_id", F.explode(F.concat(
+        F.array(F.struct(F.col("none").alias("term"), F.lit(None).cast("bigint").alias("n"), "own")),
+        F.transform("runs", lambda r: F.struct(r["word"].alias("term"), r["n"], F.lit(None).alias("own"))))).alias("t"))
+    rows = tagged.select("book_id", "t.*").join(term_scores(lexicon), "term", "left").where("own is not null or score is not null")
+    books_of = rows.groupBy("book_id").agg(F.max("own").alias("own"), *score_sums(F.col("n")))
+    return books_of.select("book_id", "own.profile.*", _sentiment_struct(), "own.syntactic")
+
+
+def _sentiment_struct() -> Column:
+    polarity, *rest = sentiment_metrics()
+    return F.struct(F.round(polarity, 4).alias("polarity_score"), *rest).alias("sentiment")
+
+
+def tagged_counts(rows: DataFrame) -> DataFrame:
+    """``(book_id, kind, word, n, <counters>)`` of books of many rows, from one pass over them.
+
+    Rows are ``(book_id, text, strict, lenient)``: a line or another piece of a
+    book, with flags of the bodies it is in. A row gives its tagged parts: content
+    words with their number (kind ``word``, of the strict body), distinct content
+    words (``vocabulary``) and one row of counters (``counters``), both of the
+    lenient one. What equal parts sum up to in a task is all that is shuffled.
+    """
+    strict, lenient = F.col("strict"), F.col("lenient")
+    spoken = rows.select("book_id", F.when(strict, F.col("text")).alias("said"), F.when(lenient, F.col("text")).alias("text"))
+    parts = syntactic_partials(spoken, "said")
+    nothing = [F.lit(None).cast("bigint").alias(c) for c in SYNTACTIC_COUNTERS]
+
+    def part(kind: str, word: Column, n: Column, *counters: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), word.cast("string").alias("word"), n.cast("bigint").alias("n"), *(counters or nothing))
+
+    null = F.lit(None)
+    tagged = F.concat(
+        F.coalesce(F.transform(content_runs("said"), lambda r: part("word", r["word"], r["n"])), F.array()),
+        F.coalesce(F.transform("vocabulary", lambda w: part("vocabulary", w, null)), F.array()),
+        F.array(part("counters", null, null, *[F.col(c).alias(c) for c in SYNTACTIC_COUNTERS])))
+    exploded = parts.select("book_id", F.explode(tagged).alias("t")).select("book_id", "t.*")
+    return exploded.groupBy("book_id", "kind", "word").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SYNTACTIC_COUNTERS])
+
+
+def word_counts_of(tagged: DataFrame) -> DataFrame:
+    """``(book_id, word, n)`` of ``tagged_counts``."""
+    return tagged.where("kind = 'word'").select("book_id", "word", "n")
 
 
-def _sentiment_struct(scores: DataFrame) -> DataFrame:
-    return scores.select("book_id", F.struct(
-        F.round("polarity_score", 4).alias("polarity_score"), *SENTIMENT_METRICS[1:]).alias("sentiment"))
+#: Parts that the words of a book are dealt to where they are ranked and summed up.
+SALTS = 8
 
 
-def measure_lines(strict: DataFrame, lenient: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """The columns of ``measure_books`` for books of many rows, cut in both modes.
+def measure_counts(tagged: DataFrame, lexicon: DataFrame, salts: int = SALTS) -> DataFrame:
+    """The columns of ``measure_books`` from ``tagged_counts``; every book with counters gets a row.
 
-    Rows are ``(book_id, text)``; a book without a body needs one empty row. No
-    book is held in one row: words are counted by (book, word), a task sends at
-    most its top words of a book, counters of rows add up.
+    No book is held in one row or task: its words are dealt to ``salts`` parts by
+    their hash, each part gives its sums and its top words, and only these meet.
     """
-    counts = word_counts_by_book(strict)
-    totals = counts.groupBy("book_id").agg(F.sum("n").alias("total_word_count"),
-                                           F.count("*").alias("unique_word_count"))
-    top = top_words_by_book(counts).groupBy("book_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "word", F.col("n").alias("count")))).alias("ranked"))
-    top = top.select("book_id", F.transform("ranked", lambda r: F.struct(r["word"], r["count"])).alias("top_words"))
-    metrics = rounded(readability(merge_partials(syntactic_partials(lenient)))).select(
-        "book_id", F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
-    scores = _sentiment_struct(sentiment_by_book(strict, lexicon))
-    return (metrics.join(scores, "book_id").join(totals, "book_id", "left").join(top, "book_id", "left")
-            .select("book_id", "total_word_count", "unique_word_count", "top_words", "sentiment", "syntactic"))
-
-
-def body_rows(spark: SparkSession, books_dir: str, mode: str) -> DataFrame:
-    """``(book_id, text)`` of all body lines below a folder, and an empty row per file.
+    is_word = F.col("kind") == "word"
+    # only words meet a term; other rows, which hold none, are spread by what they hold
+    term = F.when(is_word, F.col("word")).otherwise(F.concat(F.lit("\0"), F.coalesce("word", F.col("book_id").cast("string"))))
+    salt = F.pmod(F.xxhash64("word"), F.lit(salts)).alias("salt")
+    scored = tagged.where("book_id is not null").select("*", term.alias("term"), salt).join(term_scores(lexicon), "term", "left")
+    part = Window.partitionBy("book_id", "salt")
+    sums = {"total": F.sum(F.when(is_word, F.col("n"))), "unique": F.count(F.when(is_word, 1)),
+            "vocabulary": F.count(F.when(F.col("kind") == "vocabulary", 1)), **{c: F.sum(c) for c in SYNTACTIC_COUNTERS}}
+    sums |= {name: F.sum(F.coalesce(value, F.lit(0))) for name, value in score_values(F.col("n")).items()}
+    order = part.orderBy(F.when(is_word, F.col("n")).desc_nulls_last(), "word", "kind")
+    rank = F.row_number().over(order)
+    few = scored.select("book_id", "kind", "word", "n", rank.alias("rank"), *[value.over(part).alias(name) for name, value in sums.items()]).where(F.col("rank") <= TOP_WORDS)
+    # a part's sums stand beside its first row
+    first = [F.sum(F.when(F.col("rank") == 1, F.col(name))).alias(name) for name in sums]
+    top = F.sort_array(F.collect_list(F.when(is_word, F.struct((-F.col("n")).alias("minus"), "word"))))
+    by = few.groupBy("book_id").agg(*first, F.slice(top, 1, TOP_WORDS).alias("top"))
+    some = F.col("unique") > 0
+    counted = by.where(F.col("sentence_count").isNotNull()).withColumn("unique_word_count", F.col("vocabulary")).withColumn("words_", F.struct(
+        F.when(some, F.col("total")).alias("total_word_count"), F.when(some, F.col("unique")).alias("unique_word_count"),
+        F.when(some, F.transform("top", lambda w: F.struct(w["word"].alias("word"), (-w["minus"]).alias("count")))).alias("top_words"),
+        _sentiment_struct()))
+    metrics = rounded(readability(counted, "words_"))
+    return metrics.select("book_id", "words_.total_word_count", "words_.unique_word_count", "words_.top_words", "words_.sentiment",
+                          F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
+
+
+def body_rows(spark: SparkSession, books_dir: str, files: Selection = Selection()) -> DataFrame:
+    """``(book_id, text, strict, lenient)`` of the body lines below a folder, and an empty row per file.
 
     The id is the path below the folder.
     """
     key = path_below("path", books_dir).alias("book_id")
-    empty = scan_inventory(spark, books_dir).select(key, F.lit("").alias("text"))
-    return body_of_lines(scan_book_lines(spark, books_dir), mode).select(key, "text").unionByName(empty)
+    empty = scan_inventory(spark, books_dir, files=files).select(
+        key, F.lit("").alias("text"), F.lit(True).alias("strict"), F.lit(True).alias("lenient"))
+    lines = bodies_of_lines(scan_book_lines(spark, books_dir, files=files))
+    return lines.select(key, "text", "strict", "lenient").unionByName(empty)
 
 
 def _map_of(struct: str, names: tuple[str, ...]) -> Column:
@@ -142,12 +198,16 @@ def under_listed_ids(results: DataFrame, metadata: DataFrame) -> DataFrame:
 
 def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_path: str,
                output: str | None = None, limit: int = 0, top: int = 6,
-               eps: float = TIE_EPSILON, by_line: bool = False) -> CorpusRun:
+               eps: float = TIE_EPSILON, by_line: bool = False, partitions: tuple[str, ...] = (),
+               named: int = NAMED_FILES) -> CorpusRun:
     """All stages over a directory of books; ``limit`` > 0 takes the first listed books.
 
     A listed file name is the path below ``books_dir``, folders included; files
-    that are not listed are not measured. ``by_line`` reads the books in splits,
-    so that one may be larger than a row can be, with the same results.
+    that are not listed are not measured. Up to ``named`` listed files are named in
+    the plan, and no other is opened. A longer listing is joined; then files
+    in folders that list none are not opened if the folders are ``key=value`` ones
+    whose keys ``partitions`` tells, outermost first. ``by_line`` reads the books in
+    splits, so that one may be larger than a row can be, with the same results.
 
     With ``output`` every result is written below it, and later stages read the
     written records, so the texts are not processed again and a lost executor
@@ -155,17 +215,17 @@ def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_
     """
     metadata = scan_metadata(spark, metadata_path, limit)
     lexicon = scan_lexicon(spark, lexicon_path)
-    listed = metadata.select(F.col("filename").alias("book_id"))
+    files = selection(metadata, named, partitions)
     if by_line:
-        strict, lenient = (body_rows(spark, books_dir, mode).join(listed, "book_id", "left_semi")
-                           for mode in ("strict", "lenient"))
-        measured = measure_lines(strict, lenient, lexicon)
+        tagged = tagged_counts(body_rows(spark, books_dir, files))
+        if output:
+            tagged.write.mode("overwrite").parquet(f"{output}/counted")
+            tagged = spark.read.parquet(f"{output}/counted")
+        counts, measured = word_counts_of(tagged), measure_counts(tagged, lexicon)
     else:
-        books = scan_books(spark, books_dir).select(path_below("path", books_dir).alias("book_id"), "text")
-        books = books.join(listed, "book_id", "left_semi")
-        strict = cut_body(books, "strict")
-        measured = measure_books(books, lexicon)
-    counts = under_listed_ids(word_counts_by_book(strict), metadata)
+        books = scan_books(spark, books_dir, files=files).select(path_below("path", books_dir).alias("book_id"), "text")
+        counts, measured = word_counts_by_book(cut_body(books, "strict")), measure_books(books, lexicon)
+    counts = under_listed_ids(counts, metadata)
     measured = under_listed_ids(measured, metadata)
     sentiment = measured.select("book_id", "sentiment.*")
     syntactic = measured.select("book_id", "syntactic.*")

@@ -1,48 +1,99 @@
-"""Book texts and the inventory of book files."""
+"""Book texts and the inventory of book files.
+
+A scan opens all files below a folder, or only those of a ``Selection``: ``named``
+ones (a bounded list, part of the plan), or those ``listed`` in a table of any size.
+The table is joined; where the files lie in ``key=value`` folders whose keys are in
+``partitions``, folders without a listed file are not opened either.
+"""
 
 from __future__ import annotations
 
+import re
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosestat.functions.paths import file_name, path_book_id, plain_path, stem_book_id
+from prosestat.functions.paths import file_name, path_below, path_book_id, plain_path, stem_book_id
+
+#: Files that a plan names, at most.
+NAMED_FILES = 10_000
 
 
 def _book_id(id_from: str) -> Column:
     return {"path": path_book_id, "stem": stem_book_id}[id_from]("path")
 
 
-def scan_books(spark: SparkSession, path: str, id_from: str = "stem",
-               pattern: str = "*.txt") -> DataFrame:
+class Selection(NamedTuple):
+    """Which files of a folder to open, told by their paths below it."""
+    named: list[str] | None = None
+    listed: DataFrame | None = None  # its column filename
+    partitions: tuple[str, ...] = ()  # outermost first
+
+
+def selection(listing: DataFrame, most: int = NAMED_FILES, partitions: tuple[str, ...] = ()) -> Selection:
+    """The files in ``listing.filename``: by name if there are ``most`` or fewer, else by a join."""
+    names = listing.select("filename").where(F.length("filename") > 0).distinct()
+    rows = names.limit(most + 1).collect()
+    return Selection([r.filename for r in rows]) if len(rows) <= most else Selection(None, names, partitions)
+
+
+def _folder(partition: str) -> Column:
+    """The value of a partition folder in a file name."""
+    value = F.regexp_extract("filename", f"(?:^|/){re.escape(partition)}=([^/]*)/", 1)
+    return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+
+
+def _scan(spark: SparkSession, path: str, kind: str, schema: str, pattern: str, files: Selection, **options) -> DataFrame:
+    """The columns of ``schema`` with ``_path`` and ``_block`` (the split's offset) of the files of a selection."""
+    reader = spark.read.format(kind).options(pathGlobFilter=pattern, **options)
+    if files.partitions:
+        # given as text, so that a folder's name stays what it is
+        columns = ", ".join([schema, *[f"`{p}` string" for p in files.partitions]])
+        raw = reader.schema(columns).option("basePath", path).load(path)
+    else:
+        raw = reader.option("recursiveFileLookup", "true").load(path)
+    below = path_below(plain_path("_metadata.file_path"), path)
+    if files.named is not None:
+        # a predicate on the file's name alone: files that fail it are not opened
+        raw = raw.where(below.isin(files.named) if files.named else F.lit(False))
+    block = F.col("_metadata.file_block_start") if kind == "text" else F.lit(0)
+    rows = raw.select("*", plain_path("_metadata.file_path").alias("_path"), block.alias("_block"), below.alias("filename"))
+    if files.listed is not None:
+        wanted = files.listed.select("filename", *[_folder(p).alias(p) for p in files.partitions])
+        rows = rows.join(wanted, ["filename", *files.partitions], "left_semi")
+    return rows.drop("filename", *files.partitions)
+
+
+def scan_books(spark: SparkSession, path: str, id_from: str = "stem", pattern: str = "*.txt",
+               files: Selection = Selection()) -> DataFrame:
     """``(book_id, path, text)``, one row per file; a book must fit in one row, see ``scan_book_lines``.
 
-    Bytes that are not UTF-8 decode to replacement characters, the book is kept.
+    Names that aren't there give no row. Bytes that are not UTF-8 decode to
+    replacement characters, the book is kept.
     """
-    raw = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
-    return (raw.select(plain_path("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    raw = _scan(spark, path, "text", "value string", pattern, files, wholetext="true")
+    return (raw.select(F.col("_path").alias("path"), F.col("value").alias("text"))
             .select(_book_id(id_from).alias("book_id"), "path", "text"))
 
 
-def scan_book_lines(spark: SparkSession, path: str, id_from: str = "stem",
-                    pattern: str = "*.txt") -> DataFrame:
+def scan_book_lines(spark: SparkSession, path: str, id_from: str = "stem", pattern: str = "*.txt",
+                    files: Selection = Selection()) -> DataFrame:
     """``(book_id, path, position, text)``, one row per line, for books of any size.
 
     Files are read in splits, so one huge book is shared by many tasks.
     ``position`` orders the lines of a file: split offset, then row within the
     task that read it. Cut the body with ``operators.body.body_of_lines``.
     """
-    raw = spark.read.text(path, lineSep="\n", pathGlobFilter=pattern, recursiveFileLookup=True)
+    raw = _scan(spark, path, "text", "value string", pattern, files, lineSep="\n")
     return (raw.select(
-                plain_path("_metadata.file_path").alias("path"),
-                F.struct(F.col("_metadata.file_block_start").alias("block"),
-                         F.monotonically_increasing_id().alias("row")).alias("position"),
+                F.col("_path").alias("path"),
+                F.struct(F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")).alias("position"),
                 F.col("value").alias("text"))
             .select(_book_id(id_from).alias("book_id"), "path", "position", "text"))
 
 
-def scan_inventory(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
+def scan_inventory(spark: SparkSession, path: str, pattern: str = "*.txt", files: Selection = Selection()) -> DataFrame:
     """``(filename, path, size_kb)`` of the files present; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option(
-        "recursiveFileLookup", "true").load(path)
-    return files.select(file_name("path").alias("filename"), "path",
-                        F.floor(F.col("length") / 1024).cast("bigint").alias("size_kb"))
+    found = _scan(spark, path, "binaryFile", "path string, modificationTime timestamp, length bigint, content binary", pattern, files)
+    return found.select(file_name("path").alias("filename"), "path", F.floor(F.col("length") / 1024).cast("bigint").alias("size_kb"))

@@ -3,11 +3,11 @@ import json
 import pytest
 
 from prosestat.operators import normalize
-from prosestat.operators.body import body_of_lines, cut_body
+from prosestat.operators.body import bodies_of_lines, body_of_lines, cut_body
 from prosestat.operators.sentiment import sentiment_by_book, sentiment_long
 from prosestat.operators.syntactic import readability, rounded, syntactic_counts, syntactic_long
 from prosestat.operators.wordfreq import word_counts_by_book
-from prosestat.plans.corpus import run_corpus
+from prosestat.plans.corpus import measure_counts, run_corpus, tagged_counts
 from prosestat.sources import components, sinks
 from prosestat.sources.books import scan_book_lines
 from prosestat.sources.lexicon import scan_lexicon
@@ -101,5 +101,87 @@ def test_equal_file_names_in_two_folders(spark, tmp_path, by_line):
 
 
 def test_lines_are_read_twice(spark, tmp_path):
-    body = body_of_lines(scan_book_lines(spark, shelf(tmp_path)[0]), "strict")
-    assert body._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    lines = scan_book_lines(spark, shelf(tmp_path)[0])
+    for body in (body_of_lines(lines, "strict"), bodies_of_lines(lines)):
+        assert body._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def text_scans(df):
+    """(files, bytes) of each scan of text files that ran for ``df``."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name.startswith("Scan text"):
+            found.append(tuple(node.metrics().apply(m).value() for m in ("numFiles", "filesSize")))
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def volumes(tmp_path, n):
+    """``n`` books in partition folders, of which the first two are listed first."""
+    for i in range(n):
+        folder = tmp_path / "books" / f"century={17 + i % 4}" / f"shelf=0{i % 2}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i} a+b%.txt").write_text(f"{START}\n{SAMPLE}\ncheer {i}\n{END}")
+    rows = [f"{i},T{i},A,{i % 2},century={17 + i % 4}/shelf=0{i % 2}/{i} a+b%.txt" for i in range(0, n, 4)]
+    (tmp_path / "meta.csv").write_text("\n".join(["book_id,title,author,is_bestseller,filename", *rows, "x,Gone,A,1,gone.txt"]))
+    (tmp_path / "lex.tsv").write_text("cheer\t3\nrain\t-2\n")
+    return str(tmp_path / "books"), str(tmp_path / "meta.csv"), str(tmp_path / "lex.tsv")
+
+
+@pytest.mark.parametrize("by_line", [False, True])
+def test_only_listed_files_are_opened(spark, tmp_path, by_line):
+    sizes = []
+    for n in (8, 40):
+        (tmp_path / str(n)).mkdir()
+        paths = volumes(tmp_path / str(n), n)
+        run = run_corpus(spark, *paths, limit=2, by_line=by_line)
+        assert {r.book_id: r.total_word_count for r in run.records.collect()} == {"0": 22, "4": 22}
+        scans = [s for s in text_scans(run.records) if s[1] > 100]  # not the lexicon
+        assert scans and all(files == 2 for files, _ in scans)
+        sizes.append(sum(size for _, size in scans))
+    assert sizes[0] == sizes[1]
+
+
+@pytest.mark.parametrize("by_line", [False, True])
+def test_a_long_listing_opens_the_partition_folders_it_names(spark, tmp_path, by_line):
+    paths = volumes(tmp_path, 16)
+    want = plain(run_corpus(spark, *paths, by_line=by_line).records.collect())
+    assert len(want) == 5 and sum(r["total_word_count"] is not None for r in want.values()) == 4
+    for partitions, files in ((("century", "shelf"), 4), ((), 16)):
+        run = run_corpus(spark, *paths, by_line=by_line, partitions=partitions, named=0)
+        assert plain(run.records.collect()) == want
+        scans = [f for f, size in text_scans(run.records) if size > 100]
+        assert scans and set(scans) == {files}
+
+
+def test_one_scan_of_the_texts(spark, tmp_path):
+    """Whole books are read once for their records, lines twice (markers, lines) for all results of a written run."""
+    paths = volumes(tmp_path, 8)
+    assert len([1 for _, size in text_scans(run_corpus(spark, *paths).records) if size > 100]) == 1
+    run = run_corpus(spark, *paths, by_line=True, output=str(tmp_path / "out"))
+    assert [size for _, size in text_scans(run.word_counts) if size > 100] == []
+    assert run.records.count() == 3
+
+
+def test_words_of_a_book_are_ranked_in_parts(spark):
+    words = [(1, f"q{chr(97 + i // 26)}{chr(97 + i % 26)}", 1 + i % 7) for i in range(300)] + [(2, "aa", 3)]
+    rows = [(b, " ".join([w] * n), True, b == 1) for b, w, n in words] + [(3, "", True, True), (2, "x", False, True), (None, "lost", True, True)]
+    tagged = tagged_counts(spark.createDataFrame(rows, "book_id long, text string, strict boolean, lenient boolean"))
+    lexicon = spark.createDataFrame([("qab", 2), ("qac", -1), ("zz", 1)], "term string, score int")
+    got = {s: {r.book_id: r for r in measure_counts(tagged, lexicon, s).collect()} for s in (1, 8)}
+    assert got[1] == got[8] and set(got[8]) == {1, 2, 3}
+    one = got[8][1]
+    best = sorted(((-n, w) for _, w, n in words[:300]))[:20]
+    assert [(w.word, w["count"]) for w in one.top_words] == [(w, -n) for n, w in best]
+    assert (one.total_word_count, one.unique_word_count) == (sum(n for _, _, n in words[:300]), 300)
+    assert one.sentiment.total_scored_words == 5 and one.sentiment.positive_count == 2 and one.syntactic.unique_word_count == 300
+    assert (got[8][2].total_word_count, got[8][2].syntactic.word_count) == (3, 1) and got[8][3].total_word_count is None
