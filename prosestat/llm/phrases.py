@@ -39,7 +39,9 @@ from prosestat.llm.bitmaps import bitmap_of, has
 from prosestat.llm.shared import settled, ship, whole, written
 
 #: Bytes of text in the shards a task holds at a time, about.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
+#: Phrases handed on at a time.
+_BATCH = 1 << 15
 _SEPARATED = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _SCHEMA = "lang string, size int, phrase binary, n long"
@@ -115,15 +117,15 @@ def pair_hashes(lang: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(33)
 
 
-def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[str, list[bytes]]]:
-    """(language, words and separators) of one shard after another."""
+def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
+    """(language, word ids, words by id) of one shard after another."""
     held: dict[str, list[bytes]] = {}
     room = 0
 
     def flush():
-        for lang, parts in held.items():
-            yield lang, b" . ".join(parts).split()
-        held.clear()
+        while held:
+            lang, parts = held.popitem()
+            yield lang, *_numbered(b" . ".join(parts).split())
 
     for batch in batches:
         for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -168,13 +170,12 @@ def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, keys[order]
 
 
-def shard_counts(lang: str, tokens: list[bytes], longest: int, bitmap: np.ndarray | None) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(size, phrases, counts) of a shard: words and pairs without a bitmap, else phrases of three words or more."""
-    ids, names = _numbered(tokens)
+def shard_counts(lang: str, ids: np.ndarray, names: list[bytes], longest: int, bitmap: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(phrases as rows of word ids, counts) of a shard: words and pairs without a bitmap, else phrases of three words or more."""
     index = BiIndex(ids, longest - 1 if bitmap is not None else 1, len(names))
     word, begin, n = index.words()
     if bitmap is None:
-        yield 1, [names[w] for w in word.tolist()], n
+        yield word[:, None], n
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
 
     def frequent(left, right):
@@ -185,7 +186,7 @@ def shard_counts(lang: str, tokens: list[bytes], longest: int, bitmap: np.ndarra
     phrase = np.stack([word[number], last], axis=1)
     for size in range(2, longest + 1):
         if bitmap is None or size > 2:
-            yield size, [b" ".join([names[w] for w in p]) for p in phrase.tolist()], n
+            yield phrase, n
         if size == longest or bitmap is None:
             return
         number, first, begin, other, n = index.extend("left", begin, other, n, lambda number, left: frequent(left, phrase[number, 0]))
@@ -195,12 +196,12 @@ def shard_counts(lang: str, tokens: list[bytes], longest: int, bitmap: np.ndarra
 def counts(rows: DataFrame, longest: int, bitmap=None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(lang, size, phrase, n) of ``rows`` (lang, text): words and pairs, or with a broadcast ``bitmap`` what is longer."""
     def run(batches):
-        for lang, tokens in _shards(batches, shard_bytes):
-            for size, found, n in shard_counts(lang, tokens, longest, bitmap.value if bitmap else None):
-                for a in range(0, len(found), 1 << 16):
-                    some = found[a: a + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), size, np.int32)), pa.array(some, pa.binary()),
-                                                      pa.array(n[a: a + (1 << 16)], pa.int64())], names=["lang", "size", "phrase", "n"])
+        for lang, ids, names in _shards(batches, shard_bytes):
+            for found, n in shard_counts(lang, ids, names, longest, bitmap.value if bitmap else None):
+                for a in range(0, len(found), _BATCH):
+                    some = [b" ".join([names[w] for w in p]) for p in found[a: a + _BATCH].tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), found.shape[1], np.int32)),
+                                                      pa.array(some, pa.binary()), pa.array(n[a: a + _BATCH], pa.int64())], names=["lang", "size", "phrase", "n"])
 
     return ship(rows).mapInArrow(settled(run), _SCHEMA).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
