@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prosestat.constants import TOP_WORDS
 from prosestat.functions.numbers import as_float, as_int
-from prosestat.operators.wordfreq import top_words_by_book
 
 
 def _usable(component: Column, value: Column) -> Column:
@@ -20,48 +20,56 @@ def deduplicate(facts: DataFrame) -> DataFrame:
     """One fact per (book, component, metric): the greatest usable value text.
 
     A value the component cannot use never wins; a metric with no usable value
-    keeps one row with a null, as its book still gets a record.
+    keeps one row with a null, as its book still gets a record. A 64-bit hash of
+    the fact leads its key, so that sorting compares numbers; the key itself
+    decides which facts are the same.
     """
-    usable = facts.withColumn("value", _usable(F.col("component"), F.col("value")))
-    return usable.groupBy("book_id", "component", "metric").agg(F.max("value").alias("value"))
+    keys = ("book_id", "component", "metric")
+    usable = facts.select(F.xxhash64(*keys).alias("hash"), *keys, _usable(F.col("component"), F.col("value")).alias("value"))
+    return usable.groupBy("hash", *keys).agg(F.max("value").alias("value")).drop("hash")
 
 
-def _metric_map(component: str, value: Column) -> Column:
-    entry = F.when((F.col("component") == component) & F.col("value").isNotNull(),
-                   F.struct("metric", value.alias("value")))
-    return F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(component)
+#: Parts that the facts of a book are dealt to.
+SALTS = 8
 
 
-def build_records(facts: DataFrame) -> DataFrame:
+def build_records(facts: DataFrame, salts: int = SALTS) -> DataFrame:
     """Records of all books that have a fact; whatever a book lacks is empty or null.
 
-    Words are counted and ranked before anything is gathered, so a book is only
-    ever held as its top words and its few metrics.
+    The facts of a book are dealt to ``salts`` parts by the hash of their metric,
+    so no task holds a large book, and equal facts meet. In its part a fact is
+    deduplicated and words are summed and ranked; of a part go on its sums, its
+    top words and its few metrics, which meet in one row per book. Two shuffles
+    in all: the facts, and these.
     """
-    # Stated here, as the left join below would add it to one side only.
-    unique = deduplicate(facts.where(F.col("book_id").isNotNull()))
+    keys = ("book_id", "salt", "component", "metric")
+    dealt = (facts.where(F.col("book_id").isNotNull())
+             .select("book_id", F.pmod(F.xxhash64("metric"), F.lit(salts)).alias("salt"), "component", "metric",
+                     _usable(F.col("component"), F.col("value")).alias("value"))
+             .repartition("book_id", "salt"))
+    unique = dealt.groupBy(*keys).agg(F.max("value").alias("value"))
     is_word = F.col("component") == "wordfreq"
-    words = unique.where(is_word).select("book_id", F.col("metric").alias("word"),
-                                         as_int("value").alias("n"))
-    totals = words.groupBy("book_id").agg(
-        F.sum("n").alias("total_word_count"), F.count("n").alias("unique_word_count")).select(
-        "book_id", "total_word_count",
-        F.nullif("unique_word_count", F.lit(0)).alias("unique_word_count"))
-    # Words without a usable count rank last and are left out afterwards, so that
-    # totals and ranking read the same shuffled facts.
-    ranked = top_words_by_book(words).where(F.col("n").isNotNull())
-    top = ranked.groupBy("book_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "word", F.col("n").alias("count"))))
-        .alias("ranked")).select("book_id", F.transform("ranked", lambda r: F.struct(
-            r["word"].alias("word"), r["count"].alias("count"))).alias("top_words"))
-    maps = unique.where(~is_word).groupBy("book_id").agg(
+    typed = unique.withColumn("n", F.when(is_word, as_int("value")))
+    part = Window.partitionBy("book_id", "salt", "component")
+    order = part.orderBy(F.desc_nulls_last("n"), "metric")
+    ranked = typed.select("*", F.row_number().over(order).alias("rank"), F.sum("n").over(part).alias("total"), F.count("n").over(part).alias("unique"))
+    # words beyond the top go; the first of a part stays for its sums, also where no word has a usable count
+    few = ranked.where(~is_word | (F.col("rank") <= TOP_WORDS))
+    first = is_word & (F.col("rank") == 1)
+    word = F.when(is_word & F.col("n").isNotNull(), F.struct((-F.col("n")).alias("minus"), F.col("metric").alias("word")))
+    by = few.groupBy("book_id").agg(
+        F.sum(F.when(first, F.col("total"))).alias("total_word_count"),
+        F.nullif(F.sum(F.when(first, F.col("unique"))), F.lit(0)).alias("unique_word_count"),
+        F.slice(F.sort_array(F.collect_list(word)), 1, TOP_WORDS).alias("top"),
         _metric_map("metadata", F.col("value")),
         _metric_map("sentiment", as_float("value")),
         _metric_map("syntactic", as_float("value")))
-    joined = totals.join(top, "book_id", "left").join(maps, "book_id", "full")
-    return joined.select(
-        "book_id",
-        *[F.coalesce(F.col(name), F.create_map().cast(f"map<string,{kind}>")).alias(name)
-          for name, kind in (("metadata", "string"), ("sentiment", "double"),
-                             ("syntactic", "double"))],
-        "total_word_count", "unique_word_count", "top_words")
+    top = F.transform("top", lambda w: F.struct(w["word"].alias("word"), (-w["minus"]).alias("count")))
+    return by.select(
+        "book_id", "metadata", "sentiment", "syntactic", "total_word_count", "unique_word_count",
+        F.when(F.size("top") > 0, top).alias("top_words"))
+
+
+def _metric_map(component: str, value: Column) -> Column:
+    entry = F.when((F.col("component") == component) & value.isNotNull(), F.struct("metric", value.alias("value")))
+    return F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(component)

@@ -11,6 +11,7 @@ from prosestat.constants import (
     METADATA_FIELDS, SENTIMENT_METRICS, SYNTACTIC_COUNTERS, SYNTACTIC_METRICS, TIE_EPSILON, TOP_WORDS,
 )
 from prosestat.functions.body import body_text
+from prosestat.functions.numbers import fixed4
 from prosestat.functions.paths import path_below
 from prosestat.functions.text import let, strip
 from prosestat.operators import cohorts
@@ -65,6 +66,36 @@ def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None)
     return books_of.select("book_id", "own.profile.*", _sentiment_struct(), "own.syntactic")
 
 
+def component_facts(books: DataFrame, lexicon: DataFrame, mode: str | None = None) -> DataFrame:
+    """Facts of the three components of ``(book_id, text)`` with one row per book, from one pass over the texts.
+
+    A row gives one row of its own metrics and one for each different word. These
+    meet the lexicon; a scored word also adds to its book's sums. One shuffle then
+    brings together what belongs to a fact.
+    """
+    strict, lenient = body_text("text", mode or "strict"), body_text("text", mode or "lenient")
+    cut = books.where("book_id is not null").select("book_id", content_runs(strict).alias("runs"), lenient.alias("text"))
+    measured = readability(syntactic_counts(cut, "runs"), "runs")
+    doubles = [F.col(m).cast("double").alias(m) for m in SYNTACTIC_METRICS]
+    none = F.concat(F.lit("\0"), F.col("book_id").cast("string"))
+    tagged = measured.select("book_id", "runs", none.alias("none"), F.struct(*doubles).alias("own")).select("book_id", F.explode(F.concat(
+        F.array(F.struct(F.col("none").alias("term"), F.lit(None).cast("bigint").alias("n"), "own")),
+        F.transform("runs", lambda r: F.struct(r["word"].alias("term"), r["n"], F.lit(None).alias("own"))))).alias("t")).select("book_id", "t.*")
+    scored = tagged.join(term_scores(lexicon), "term", "left")
+    # the metric of a fact; null for what adds to the sums of the book
+    is_word = F.col("own").isNull()
+    goes_to = F.when(~is_word, F.array(F.lit(None).cast("string"))).when(F.col("score").isNull(), F.array("term")).otherwise(F.array(F.col("term"), F.lit(None).cast("string")))
+    parts = scored.select("book_id", "n", F.when(is_word, F.col("score")).alias("score"), "own.*", F.explode(goes_to).alias("metric"))
+    sums = parts.groupBy("book_id", "metric").agg(F.sum("n").alias("n"), *score_sums(F.col("n")), *[F.sum(m).alias(m) for m in SYNTACTIC_METRICS])
+    fact = lambda component, metric, value: F.struct(F.lit(component).alias("component"), metric.alias("metric"), value.alias("value"))
+    whole = lambda m: F.col(m).cast("bigint").cast("string") if m in SYNTACTIC_METRICS[:3] else fixed4(m)
+    measures = [fact("syntactic", F.lit(m), whole(m)) for m in SYNTACTIC_METRICS]
+    named = sums.select("book_id", "metric", "n", *SYNTACTIC_METRICS, *sentiment_metrics())
+    found = F.when(F.col("metric").isNull(), F.array(*measures, *[fact("sentiment", F.lit(m), fixed4(m)) for m in SENTIMENT_METRICS])).otherwise(
+        F.array(fact("wordfreq", F.col("metric"), F.col("n").cast("string"))))
+    return named.select(F.col("book_id").cast("string").alias("book_id"), F.explode(found).alias("f")).select("book_id", "f.*")
+
+
 def _sentiment_struct() -> Column:
     polarity, *rest = sentiment_metrics()
     return F.struct(F.round(polarity, 4).alias("polarity_score"), *rest).alias("sentiment")

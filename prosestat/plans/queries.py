@@ -21,11 +21,12 @@ from prosestat.functions.text import is_blank, letter_tokens
 from prosestat.operators import cohorts, normalize, sentiment, syntactic, validate, wordfreq
 from prosestat.operators.body import body_of_lines, cut_body
 from prosestat.operators.report import comparison_report, preview
-from prosestat.plans.corpus import assemble_records, measure_books, run_corpus
+from prosestat.plans.corpus import assemble_records, component_facts, measure_books, run_corpus
 from prosestat.sources import components, sinks
 from prosestat.sources.books import scan_book_lines, scan_books, scan_inventory
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata, scan_metadata_lines
+from prosestat.session import read_table
 from prosestat.sources.records import scan_record_lines, scan_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,7 @@ OTHER_END = "*** End of this Project Gutenberg EBook X ***"
 # ---------------------------------------------------------------- tables as books
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def books_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,16 +242,8 @@ def stem_book_ids(spark, sf_dir):
 # ---------------------------------------------------------------- facts and records
 
 def _facts(spark, sf_dir) -> DataFrame:
-    books = books_of(spark, sf_dir)
-    counts = wordfreq.word_counts_by_book(books)
-    scores = sinks.fixed_values(sentiment.sentiment_long(
-        sentiment.sentiment_by_book(books, lexicon_of(spark, sf_dir))))
-    measures = sinks.fixed_values(syntactic.syntactic_long(
-        syntactic.readability(syntactic.syntactic_counts(books))), SYNTACTIC_METRICS[:3])
-    return (components.wordfreq_facts(counts)
-            .unionByName(components.metric_facts(scores, "sentiment"))
-            .unionByName(components.metric_facts(measures, "syntactic"))
-            .unionByName(components.metadata_facts(metadata_of(spark, sf_dir))))
+    measured = component_facts(books_of(spark, sf_dir), lexicon_of(spark, sf_dir), "none")
+    return measured.unionByName(components.metadata_facts(metadata_of(spark, sf_dir)))
 
 
 def facts_union(spark, sf_dir):

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+#: Session setting: into how many partitions a table is dealt after it is read.
+INPUT_PARTITIONS = "spark.prosestat.inputPartitions"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "prosestat", **conf: str) -> SparkSession:
+                  app: str = "prosestat", input_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution (runtime join choice, skew splitting).
 
     On a cluster leave ``shuffle_partitions`` unset and start high: adaptive
     execution merges small partitions, it cannot split a plain aggregate's.
+    ``input_partitions`` is for tables of a single row group, which one task would
+    read and measure: ``read_table`` deals their rows out anew. Tables of many row
+    groups are split as they are and need none.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -22,6 +29,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if input_partitions:
+        builder = builder.config(INPUT_PARTITIONS, str(input_partitions))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, dealt to the session's ``input_partitions`` if it has that setting."""
+    df = spark.read.parquet(path)
+    parts = spark.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df

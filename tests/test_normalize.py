@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 
 from prosestat.operators import cohorts, normalize
 from prosestat.sources import sinks
@@ -73,10 +75,26 @@ def test_record_lines_round_trip(spark, tmp_path):
         assert a.asDict() == b.asDict()
 
 
-def test_totals_and_ranking_share_one_shuffle(spark, tmp_path):
+def test_records_take_two_shuffles(spark, tmp_path):
     facts = spark.createDataFrame([("1", "wordfreq", "a", "3"), ("1", "sentiment", "p", "0.3")],
                                   "book_id string, component string, metric string, value string")
     facts.write.parquet(str(tmp_path / "facts"))
     records = normalize.build_records(spark.read.parquet(str(tmp_path / "facts")))
     records.collect()
-    assert "ReusedExchange" in records._jdf.queryExecution().executedPlan().toString()
+    plan = records._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[1]
+    assert plan.count("Exchange") == 2 and plan.count("Scan parquet") == 1
+
+
+@pytest.mark.parametrize("salts", [1, 3, 8])
+def test_records_do_not_depend_on_the_parts_of_a_book(spark, salts):
+    rows = [("1", "wordfreq", f"w{i}", str(i % 40)) for i in range(200)] + [("1", "wordfreq", "w3", "n/a"), ("1", "wordfreq", "w5", "7")]
+    rows += [("2", "wordfreq", "a", "x"), ("3", "metadata", "title", "T"), ("4", "wordfreq", "b", None), (None, "wordfreq", "c", "1"), ("5", "wordfreq", "d", "0")]
+    rows += [("1", "sentiment", "p", v) for v in ("2.0", "10.0", "bad")]
+    got = {r.book_id: r for r in normalize.build_records(spark.createDataFrame(rows, "book_id string, component string, metric string, value string"), salts).collect()}
+    assert set(got) == {"1", "2", "3", "4", "5"} and got["1"].sentiment == {"p": 2.0} and got["3"].metadata == {"title": "T"}
+    counts = {f"w{i}": i % 40 for i in range(200)} | {"w5": 7}  # the greater text of two counts
+    best = sorted((-n, w) for w, n in counts.items())[:20]
+    assert [(w.word, w["count"]) for w in got["1"].top_words] == [(w, -n) for n, w in best]
+    assert (got["1"].total_word_count, got["1"].unique_word_count) == (sum(counts.values()), 200)
+    assert [(got[b].total_word_count, got[b].unique_word_count, got[b].top_words) for b in ("2", "4")] == [(None, None, None)] * 2
+    assert (got["5"].total_word_count, got["5"].unique_word_count) == (0, 1)
