@@ -26,7 +26,7 @@ from prosestat.sources import components, sinks
 from prosestat.sources.books import scan_book_lines, scan_books, scan_inventory
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata, scan_metadata_lines
-from prosestat.session import read_table
+from prosestat.session import read_table, shared_folder
 from prosestat.sources.records import scan_record_lines, scan_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -521,11 +521,8 @@ def listing_totals(spark, sf_dir):
 # ---------------------------------------------------------------- written and read back
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the session names, else in its warehouse; never a local one."""
-    root = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/written")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder the session names, else in its warehouse; never a local one of a cluster."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written_word_counts(spark, sf_dir):

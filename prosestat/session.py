@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urlsplit
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,3 +44,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     parts = spark.conf.get(INPUT_PARTITIONS, None)
     return df.repartition(int(parts)) if parts else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else a folder of the warehouse.
+
+    A warehouse on a local disk, as the default one, is refused on a cluster.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    if not local and urlsplit(warehouse).scheme in ("", "file"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return warehouse.rstrip("/") + "/written"

@@ -3,7 +3,8 @@
 A scan opens all files below a folder, or only those of a ``Selection``: ``named``
 ones (a bounded list, part of the plan), or those ``listed`` in a table of any size.
 The table is joined; where the files lie in ``key=value`` folders whose keys are in
-``partitions``, folders without a listed file are not opened either.
+``partitions``, and the folders with a listed file are few enough to be named,
+files in others are not opened.
 """
 
 from __future__ import annotations
@@ -29,13 +30,26 @@ class Selection(NamedTuple):
     named: list[str] | None = None
     listed: DataFrame | None = None  # its column filename
     partitions: tuple[str, ...] = ()  # outermost first
+    folders: list[str] | None = None  # their values, joined by _BETWEEN
 
 
-def selection(listing: DataFrame, most: int = NAMED_FILES, partitions: tuple[str, ...] = ()) -> Selection:
-    """The files in ``listing.filename``: by name if there are ``most`` or fewer, else by a join."""
+_BETWEEN = "\0"
+
+
+def selection(listing: DataFrame, most: int = NAMED_FILES, partitions: tuple[str, ...] = (), most_folders: int = NAMED_FILES) -> Selection:
+    """The files in ``listing.filename``: by name if there are ``most`` or fewer, else by a join.
+
+    With a join, up to ``most_folders`` partition folders that list a file are named in the plan.
+    """
     names = listing.select("filename").where(F.length("filename") > 0).distinct()
     rows = names.limit(most + 1).collect()
-    return Selection([r.filename for r in rows]) if len(rows) <= most else Selection(None, names, partitions)
+    if len(rows) <= most:
+        return Selection([r.filename for r in rows])
+    folders = None
+    if partitions:
+        found = names.select(F.concat_ws(_BETWEEN, *map(_folder, partitions)).alias("f")).distinct().limit(most_folders + 1).collect()
+        folders = [r.f for r in found] if len(found) <= most_folders else None
+    return Selection(None, names, partitions, folders)
 
 
 def _folder(partition: str) -> Column:
@@ -57,11 +71,12 @@ def _scan(spark: SparkSession, path: str, kind: str, schema: str, pattern: str,
     if files.named is not None:
         # a predicate on the file's name alone: files that fail it are not opened
         raw = raw.where(below.isin(files.named) if files.named else F.lit(False))
+    if files.folders is not None:
+        raw = raw.where(F.concat_ws(_BETWEEN, *[F.col(p) for p in files.partitions]).isin(files.folders) if files.folders else F.lit(False))
     block = F.col("_metadata.file_block_start") if kind == "text" else F.lit(0)
     rows = raw.select("*", plain_path("_metadata.file_path").alias("_path"), block.alias("_block"), below.alias("filename"))
     if files.listed is not None:
-        wanted = files.listed.select("filename", *[_folder(p).alias(p) for p in files.partitions])
-        rows = rows.join(wanted, ["filename", *files.partitions], "left_semi")
+        rows = rows.join(files.listed, "filename", "left_semi")
     return rows.drop("filename", *files.partitions)
 
 

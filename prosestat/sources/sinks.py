@@ -7,12 +7,35 @@ small results only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosestat.functions.numbers import fixed4
 
 
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` written to a folder of its own beside ``path`` and read back; the folder goes at the end."""
+    place = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    try:
+        df.write.parquet(place)
+        yield spark.read.schema(df.schema).parquet(place)
+    finally:
+        remove(spark, place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system that Spark knows."""
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(settings).delete(place, True)
+
+
 def _parts(df: DataFrame, parts: int | None) -> DataFrame:
     return df.coalesce(parts) if parts else df
 
@@ -28,14 +51,17 @@ def write_word_counts(counts: DataFrame, path: str, fmt: str = "parquet",
     """Word counts of the corpus ``(word, n)`` or of books ``(book_id, word, n)``.
 
     Parquet is ranged by the key columns, so readers skip row groups by book or
-    word. ``per_book`` lays out one directory per book, for small corpora.
+    word; the counts are written beside the output first, as the bounds of the
+    ranges are sampled in a run of their own, which would count everything again.
+    ``per_book`` lays out one directory per book, for small corpora.
     """
     if fmt == "tsv":
         _tsv(_parts(counts, parts), path, *(["book_id"] if per_book else []))
         return
     keys = [c for c in ("book_id", "word") if c in counts.columns]
-    ranged = counts.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    _parts(ranged, parts).write.mode("overwrite").parquet(path)
+    with staged(counts, path) as held:
+        ranged = held.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        _parts(ranged, parts).write.mode("overwrite").parquet(path)
 
 
 def write_metrics(long_metrics: DataFrame, path: str, fmt: str = "tsv",

@@ -1,3 +1,6 @@
+import pytest
+
+from prosestat.session import shared_folder
 from prosestat.sources import components, sinks
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import parse_metadata, scan_metadata, scan_metadata_lines
@@ -22,7 +25,7 @@ def test_metadata_by_position(spark, tmp_path):
 
 def test_metadata_by_name_and_limit(spark, tmp_path):
     (tmp_path / "m.csv").write_bytes(CSV.encode())
-    rows = scan_metadata(spark, str(tmp_path / "m.csv")).collect()
+    rows = scan_metadata(spark, str(tmp_path / "m.csv")).orderBy("book_id").collect()
     assert [r.filename for r in rows][:3] == ["1.txt", "2.txt", "3.txt"]
     assert [r.book_id for r in scan_metadata(spark, str(tmp_path / "m.csv"), 2).collect()] == ["1", "2"]
     (tmp_path / "n.csv").write_text("title,book_id\nT,7\n")
@@ -89,3 +92,67 @@ def test_metadata_field_over_two_lines_and_ids_like_the_header(spark, tmp_path):
     assert scan_metadata(spark, str(path), 1).first().book_id == "7"
     lines = spark.createDataFrame([("BOOK_ID,t,a,f",), ("my_book_id_7,A,X,1",)], "value string")
     assert [r.book_id for r in parse_metadata(lines).collect()] == ["my_book_id_7"]
+
+
+def test_ranged_counts_are_counted_once(spark, tmp_path):
+    ran = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            ran.add(len(frame))
+            yield frame
+    counts = spark.range(500).selectExpr("id % 50 as book_id", "concat('w', id) as word", "id as n").mapInPandas(counted, "book_id long, word string, n long")
+    path = str(tmp_path / "out")
+    sinks.write_word_counts(counts, path)
+    assert ran.value == 500 and spark.read.parquet(path).count() == 500
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]  # what was staged is gone
+
+
+def test_the_shared_folder_of_a_cluster_must_be_named():
+    class Session:
+        def __init__(self, master, **settings):
+            self.conf = {"spark.sql.warehouse.dir": "file:/driver/only", **settings}
+            self.sparkContext = type("Context", (), {"master": master, "getConf": lambda _: settings})()
+    given = {"spark.checkpoint.dir": "hdfs://x/shared"}
+    assert shared_folder(Session("yarn", **given)) == "hdfs://x/shared"
+    assert shared_folder(Session("local[4]")) == "file:/driver/only/written"
+    assert shared_folder(Session("yarn", **{"spark.sql.warehouse.dir": "hdfs://x/w"})) == "hdfs://x/w/written"
+    with pytest.raises(ValueError):
+        shared_folder(Session("yarn"))
+
+
+def test_csv_records_over_splits_equal_a_plain_reader(spark, tmp_path):
+    import csv
+    import random
+    rng = random.Random(3)
+    pieces = ["plain", 'say ""hi""', "a, b", "line\nbreak", "\n\n", "x" * 90, "", " é "]
+    for name, n in (("a.csv", 300), ("b.csv", 1), ("c.csv", 40)):
+        rows = [f'{i},"{"".join(rng.choice(pieces) for _ in range(rng.randrange(6)))}",A{i},{i % 2},"{i}.txt"' for i in range(n)]
+        (tmp_path / name).write_bytes("\r\n".join(["", "book_id,title,author,is_bestseller,filename", *rows, "", ""]).encode())
+    want = []
+    for name in ("a.csv", "b.csv", "c.csv"):
+        with open(tmp_path / name, newline="") as f:
+            want += [[x.replace("\r\n", "\n") for x in r] for r in csv.reader(f) if r][1:]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "700b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b" if size != before else "4m")
+            df = scan_metadata(spark, str(tmp_path))
+            got = [[r.book_id, r.title or "", r.author, r.is_bestseller, r.filename] for r in df.collect()]
+            assert sorted(got) == sorted(want)
+            assert [r.book_id for r in scan_metadata(spark, str(tmp_path), 305).collect()][:305] == [r[0] for r in want[:305]]
+        tasks = spark.read.text(str(tmp_path), lineSep="\n").rdd.getNumPartitions()
+        assert tasks > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert scan_metadata(spark, str(tmp_path / "b.csv")).count() == 1
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "e.csv").write_text("\n")
+    assert scan_metadata(spark, str(tmp_path / "empty")).collect() == []
+
+
+def test_metadata_lines_end_at_line_feeds_only(spark, tmp_path):
+    (tmp_path / "m.csv").write_bytes(b"1,A\rB,X,1\n2,C,Y,0\r\n")
+    assert sorted(r.title for r in scan_metadata_lines(spark, str(tmp_path)).collect()) == ["A\rB", "C"]
