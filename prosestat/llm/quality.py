@@ -143,7 +143,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", label_k
     known = labels.where("quality is not null").select(F.col(label_key).alias("label_key"), (F.col("quality") == 1).alias("good"))
     used = (measured.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).join(known, F.col(key) == F.col("label_key"))
             .select("stratum", "good", *FEATURES, (F.substring(F.md5(F.col(key).cast("string")), 1, 1) >= "8").alias("held")))
-    proposed = _candidates(used, risk)
+    proposed = written(_candidates(used, risk), "proposed")  # some rows a stratum: met by the labelled documents where they are
     on_holdout = [F.count(F.when(F.col("good") & F.col("held") & also, 1)).alias(name) for name, also in (("n", F.lit(True)), ("k", F.col("out")))]
     tested = used.join(proposed, "stratum").withColumn("out", _rejected()).groupBy("stratum", "level", *RULES).agg(*on_holdout, *_counts("out"))
     # all tests at once: the rows of this small table, some levels for each stratum
