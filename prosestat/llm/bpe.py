@@ -25,15 +25,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from prosestat.llm.shared import ship
+from prosestat.llm.shared import settled, ship
 
 # Fixed value: the public word pattern of the byte-level vocabulary.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of text tokenized at once, and pieces whose ids are remembered; both bound memory, not results.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 KNOWN_PIECES = 300_000
 #: Ids decoded at once, in bytes.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 1_000_000
 #: Symbols indexed at once.
 SLICE = 1 << 19
 #: White space before a space or a line end.
@@ -235,19 +235,24 @@ def blocks(batch: pa.RecordBatch, column: int, most: int):
             start, block, size = i, [], 0
 
 
-def encode(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, n_tokens and ids of every whole text; ids are packed little-endian unsigned 32-bit integers."""
+def encode(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", decoded: bool = False) -> DataFrame:
+    """``key``, n_tokens and ids of every whole text; ids are packed little-endian unsigned 32-bit integers.
+
+    With ``decoded`` also the text that they decode to, as ``decode`` gives it, from the same Python worker.
+    """
     rows = df.select(df[key].alias(key), df[text].cast("string").alias("text_"))
+    names = [key, "n_tokens", "ids", *(["decoded"] if decoded else [])]
 
     def run(batches):
-        bpe = load(tokenizer)
+        bpe, table = load(tokenizer), token_bytes(tokenizer) if decoded else []
         for batch in batches:
             for part, texts in blocks(batch, 1, BLOCK_CHARS):
                 ids = bpe.encode_block([t or "" for t in texts])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                                                 names=[key, "n_tokens", "ids"])
+                back = [pa.array([text_of(x, table) for x in ids], pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), *back], names=names)
 
-    return ship(rows).mapInArrow(run, T.StructType([df.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]))
+    fields = [df.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
+    return ship(rows).mapInArrow(settled(run), T.StructType(fields[:len(names)]))
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
@@ -261,4 +266,4 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", keep: tuple[str, ...
                 texts = [text_of(x or b"", table) for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
-    return ship(rows).mapInArrow(run, T.StructType([*(df.schema[c] for c in keep), T.StructField("decoded", T.StringType())]))
+    return ship(rows).mapInArrow(settled(run), T.StructType([*(df.schema[c] for c in keep), T.StructField("decoded", T.StringType())]))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from prosestat.llm.shared import ship
+from prosestat.llm.shared import settled, ship
 
 # The kinds and patterns of the base, in the order of their kinds.
 KINDS = ("assign", "access", "hex", "random")
@@ -140,7 +140,7 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             found = [[{"kind": k, "start": s, "end": e} for s, e, k in spans(v.as_py() or "")] for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=[key, "spans"])
 
-    return ship(rows).mapInArrow(run, schema)
+    return ship(rows).mapInArrow(settled(run), schema)
 
 
 def mask(text: str, found: list[tuple[int, int, str]], mark: str) -> str:
@@ -172,4 +172,4 @@ def redact(df: DataFrame, text: str = "text", chars: str | None = "n_chars", mar
                 columns[c] = pa.array(counts, batch.schema.field(c).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return ship(df).mapInArrow(run, df.schema)
+    return ship(df).mapInArrow(settled(run), df.schema)

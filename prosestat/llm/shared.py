@@ -12,17 +12,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prosestat.session import shared_folder
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else a folder of the warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: the lineage ends there.
 
@@ -35,12 +31,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of the batches that go to Python workers, unless the session says otherwise: long texts in batches by number fill an executor.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def ship(df: DataFrame) -> DataFrame:
-    """``df``; in local mode its Spark context is given this package for the Python workers.
+    """``df``, ready for Python workers: its session sends batches of ``BATCH_BYTES``, its local workers know this package.
 
     A cluster's workers have the package installed or by ``--py-files``, like any
     other library; local workers know only the standard path.
     """
+    if df.sparkSession.conf.get(_BATCH_SETTING, None) == _BATCH_DEFAULT:
+        df.sparkSession.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     context = df.sparkSession.sparkContext
     if re.fullmatch(r"local(\[.*\])?", context.master) and context.applicationId not in _SHIPPED:

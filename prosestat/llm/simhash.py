@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prosestat.llm.components import smallest_reachable
-from prosestat.llm.shared import ship, written
+from prosestat.llm.shared import settled, ship, written
 
 BYTES = 8
 #: Most bits by which linked fingerprints differ, and so the most positional bytes.
@@ -71,7 +71,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words_i
             bits = np.fromiter((shingle_majority(v.as_py(), words_in_shingle) for v in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64)), *batch.columns[2:]], names=[key, "bits", "digest_"][:batch.num_columns])
 
-    return ship(rows).mapInArrow(run, T.StructType([df.schema[key], T.StructField("bits", T.LongType()), *rows.schema.fields[2:]]))
+    return ship(rows).mapInArrow(settled(run), T.StructType([df.schema[key], T.StructField("bits", T.LongType()), *rows.schema.fields[2:]]))
 
 
 def text_digest(text: Column) -> Column:

@@ -41,6 +41,8 @@ def test_bpe_equals_the_library_and_decodes_back(spark):
         assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want)
         assert r.decoded == reference.decode(want, skip_special_tokens=False) == (texts[r.doc_id] or "")
     assert len(got) == len(texts)
+    once = bpe.encode(docs_of(spark, texts, extra=True), TOKENIZER, decoded=True).collect()
+    assert sorted(map(tuple, once)) == sorted(map(tuple, got))
 
 
 def plain_groups(prints):
