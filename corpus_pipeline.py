@@ -38,7 +38,7 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each drawn text (packed 32-bit integers), with their digest and that of the text decoded from them."""
-    told = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    told = bpe.encode(docs, TOKENIZER, decoded=True)
     return told.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), sha_of(F.col("decoded")).alias("decoded_sha256"))
 
 
