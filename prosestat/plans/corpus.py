@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,6 +33,10 @@ from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata
 
 
+#: Bytes of a book up to which it is read as one row.
+WHOLE_BYTES = 32 << 20
+
+
 class CorpusRun(NamedTuple):
     """Lazy results of a run."""
     word_counts: DataFrame
@@ -229,16 +234,19 @@ def under_listed_ids(results: DataFrame, metadata: DataFrame) -> DataFrame:
 
 def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_path: str,
                output: str | None = None, limit: int = 0, top: int = 6,
-               eps: float = TIE_EPSILON, by_line: bool = False, partitions: tuple[str, ...] = (),
-               named: int = NAMED_FILES) -> CorpusRun:
+               eps: float = TIE_EPSILON, by_line: bool | None = None, partitions: tuple[str, ...] = (),
+               named: int = NAMED_FILES, whole_bytes: int = WHOLE_BYTES) -> CorpusRun:
     """All stages over a directory of books; ``limit`` > 0 takes the first listed books.
 
     A listed file name is the path below ``books_dir``, folders included; files
     that are not listed are not measured. Up to ``named`` listed files are named in
     the plan, and no other is opened. A longer listing is joined; then files
     in folders that list none are not opened if the folders are ``key=value`` ones
-    whose keys ``partitions`` tells, outermost first. ``by_line`` reads the books in
-    splits, so that one may be larger than a row can be, with the same results.
+    whose keys ``partitions`` tells, outermost first.
+
+    Books of up to ``whole_bytes`` are read whole, a row each; larger ones in splits
+    by line, so that no book needs to fit in a row or in the memory of a task, with
+    the same results. ``by_line`` reads all books one way or the other.
 
     With ``output`` every result is written below it, and later stages read the
     written records, so the texts are not processed again and a lost executor
@@ -247,15 +255,23 @@ def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_
     metadata = scan_metadata(spark, metadata_path, limit)
     lexicon = scan_lexicon(spark, lexicon_path)
     files = selection(metadata, named, partitions)
-    if by_line:
-        tagged = tagged_counts(body_rows(spark, books_dir, files))
+    large, small = files, files
+    if by_line is None:
+        large, small = files._replace(over=whole_bytes), files._replace(up_to=whole_bytes)
+        by_line_too = not scan_inventory(spark, books_dir, files=large).isEmpty()
+    else:
+        by_line_too = by_line
+    results = []
+    if by_line_too:
+        tagged = tagged_counts(body_rows(spark, books_dir, large))
         if output:
             tagged.write.mode("overwrite").parquet(f"{output}/counted")
             tagged = spark.read.parquet(f"{output}/counted")
-        counts, measured = word_counts_of(tagged), measure_counts(tagged, lexicon)
-    else:
-        books = scan_books(spark, books_dir, files=files).select(path_below("path", books_dir).alias("book_id"), "text")
-        counts, measured = word_counts_by_book(cut_body(books, "strict")), measure_books(books, lexicon)
+        results.append((word_counts_of(tagged), measure_counts(tagged, lexicon)))
+    if not by_line:
+        books = scan_books(spark, books_dir, files=small).select(path_below("path", books_dir).alias("book_id"), "text")
+        results.append((word_counts_by_book(cut_body(books, "strict")), measure_books(books, lexicon)))
+    counts, measured = (reduce(DataFrame.unionByName, parts) for parts in zip(*results))
     counts = under_listed_ids(counts, metadata)
     measured = under_listed_ids(measured, metadata)
     sentiment = measured.select("book_id", "sentiment.*")

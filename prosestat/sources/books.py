@@ -4,7 +4,7 @@ A scan opens all files below a folder, or only those of a ``Selection``: ``named
 ones (a bounded list, part of the plan), or those ``listed`` in a table of any size.
 The table is joined; where the files lie in ``key=value`` folders whose keys are in
 ``partitions``, and the folders with a listed file are few enough to be named,
-files in others are not opened.
+files in others are not opened. Nor are those outside the bounds of size.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ class Selection(NamedTuple):
     listed: DataFrame | None = None  # its column filename
     partitions: tuple[str, ...] = ()  # outermost first
     folders: list[str] | None = None  # their values, joined by _BETWEEN
+    over: int | None = None  # only files of more bytes
+    up_to: int | None = None  # only files of as many bytes at most
 
 
 _BETWEEN = "\0"
@@ -73,6 +75,10 @@ def _scan(spark: SparkSession, path: str, kind: str, schema: str, pattern: str,
         raw = raw.where(below.isin(files.named) if files.named else F.lit(False))
     if files.folders is not None:
         raw = raw.where(F.concat_ws(_BETWEEN, *[F.col(p) for p in files.partitions]).isin(files.folders) if files.folders else F.lit(False))
+    if files.over is not None:
+        raw = raw.where(F.col("_metadata.file_size") > files.over)
+    if files.up_to is not None:
+        raw = raw.where(F.col("_metadata.file_size") <= files.up_to)
     block = F.col("_metadata.file_block_start") if kind == "text" else F.lit(0)
     rows = raw.select("*", plain_path("_metadata.file_path").alias("_path"), block.alias("_block"), below.alias("filename"))
     if files.listed is not None:
