@@ -6,7 +6,9 @@ left out with all inside. Each remaining block of text passes points to its
 ancestors: one, one per comma and up to three for length, less the share of its
 text that is links; the parent gets all, the grandparent half, further ancestors
 less. Of the containers, each less the share of links in it, the best is taken,
-or the article around it, together with those siblings that look like text too.
+or the article around it, together with those siblings that look like text too:
+headings, lists, what scores, sentences before it, and the page's title also from further up. Inside a
+``main`` without an article all goes that isn't mostly links, in the best container as beside it.
 
 Names are a guess, so an element left out by its class or id alone comes back if
 the page's articles are all in such elements and one of them holds more than what
@@ -50,6 +52,7 @@ BOILERPLATE = frozenset((
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer "
     "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
     "recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget").split())
+LISTS = frozenset("ul ol dl table".split())
 ARTICLES = frozenset(("article", "main"))
 STATES = frozenset("has no not with without".split())
 HEADERS = frozenset("header masthead".split())
@@ -235,26 +238,46 @@ def _best(found: list[tuple[Element, str, int]]) -> str:
     rated = {k: e.score * (1 - e.linked / e.chars) for k, e in heard.items() if e.tag not in PARAGRAPHS or e.tag in ("td", "blockquote")} or {
         k: e.score for k, e in heard.items()}
     best = heard[max(rated, key=rated.get)]
+    within = None  # the page's <main>, if the best container is in it
     e = best
     while e:
-        if e.tag in ARTICLES:
+        if e.tag == "article":
             best = e
+        if e.tag == "main":
+            within = e
         e = e.parent
+    whole = best.tag == "article"
     least = max(10, 0.2 * best.score)
+    headed = {id(e) for own, _, _ in found if own.tag == "h1" for e in own.line()}
 
-    def beside(e: Element, words: str, linked: int) -> bool:
-        """Whether a sibling of the best container belongs to the text."""
-        density = e.linked / e.chars
-        if density > 0.25 or best.parent is None:
+    def beside(e: Element, words: str, level: int, before: bool) -> bool:
+        """Whether what stands beside the best container, or beside one around it, belongs to the text."""
+        if e.linked > 0.25 * e.chars:
             return False
-        return e.tag in HEADINGS or e.score >= least or e.tag == "p" and (e.chars > 80 or words.endswith("."))
-
-    kept = []
-    for own, words, linked in found:
-        e, below = own, None
-        while e and e is not best and e is not best.parent:
-            e, below = e.parent, e
-        if e is best or e is not None and below is not None and beside(below, words, linked):
+        if e.tag == "h1" or id(e) in headed and e.chars <= 300:
+            return True
+        if level and within is None:
+            return False
+        if before and not whole and words.endswith((".", "!", "?")):  # an introduction
+            return True
+        if whole:  # other articles, and headings of this one
+            return level == 0 and (e.tag in HEADINGS or e.score >= least or e.tag == "p" and (e.chars > 80 or words.endswith(".")))
+        return within is not None or e.tag in HEADINGS or e.tag in LISTS or e.score >= least or e.tag == "p" and (e.chars > 80 or words.endswith("."))
+
+    around = {id(e): i for i, e in enumerate(best.line()[1:] if within is None else best.line()[1:best.line().index(within) + 1] if within is not best else [])}
+    kept, before = [], True
+    for own, words, _ in found:
+        line = own.line()
+        at = next((i for i, e in enumerate(line) if e is best), None)
+        if at is not None:
+            before = False
+            # in no article, a part of the best container that is mostly links is a menu
+            menus = () if whole or within is None else (e for e in line[:at] if e.tag not in PARAGRAPHS and e.tag not in INLINE and 2 * e.linked > e.chars)
+            if not any(True for _ in menus):
+                kept.append(words)
+            continue
+        i, up = next(((i, e) for i, e in enumerate(line) if id(e) in around), (0, None))
+        if up is not None and i and beside(line[i - 1], words, around[id(up)], before):
             kept.append(words)
     return "\n".join(kept)
 

@@ -119,3 +119,23 @@ def test_op10_simhash(spark, docs):
     prints = {i: plain_print(d["text"]) for i, d in docs.items()}
     assert {r.doc_id: r.fingerprint for r in got} == {i: f"{p:016x}" for i, p in prints.items()}
     assert {r.doc_id: r.component_id for r in got} == plain_groups(prints)
+
+
+STORY = "".join(f"<p>Paragraph {i} of the story, with some words, and a few more of them.</p>" for i in range(6))
+TOLD = "\n".join(f"Paragraph {i} of the story, with some words, and a few more of them." for i in range(6))
+MENU = "<ul>" + "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(9)) + "</ul>"
+TEASER = "<div class=card><h3><a href=/a>Another story here</a></h3><p><a href=/a>Read on about it</a></p></div>"
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<main>{MENU}<div>{STORY}</div></main>", TOLD),
+    (f"<main>{MENU}{STORY}</main>", TOLD),
+    (f"<main><article>{STORY}</article>{TEASER * 3}</main>", TOLD),
+    (f"<article>{STORY}<ul><li><a href=/s>Source one</a><li><a href=/t>Source two</a></ul></article>", TOLD + "\nSource one\nSource two"),
+    (f"<div><div><p>A short introduction.</p></div><div>{STORY}</div></div>", "A short introduction.\n" + TOLD),
+    (f"<div class=hero><h1>Headline</h1></div><div class=body><div>{STORY}</div></div>", "Headline\n" + TOLD),
+    (f"<div><div>{STORY}</div><ul><li>First thing</li><li>Second thing</li></ul></div>", TOLD + "\nFirst thing\nSecond thing"),
+    (f"<main><div>{STORY}</div><section><h2>Sources</h2><p>Notes of the time</p></section></main>", TOLD + "\nSources\nNotes of the time"),
+])
+def test_op6_what_stands_beside_the_story(page, want):
+    assert pages.main_text(f"<body>{page}<div class=x><p><a href=/z>More of this site</a></p></div></body>") == want
