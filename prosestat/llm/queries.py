@@ -19,8 +19,8 @@ def sha_of(text: Column) -> Column:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded from its ids."""
-    ids = bpe.encode(read(spark, sf_dir, "documents"), TOKENIZER)
-    return bpe.decode(ids, TOKENIZER).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), sha_of(F.col("decoded")).alias("decoded_sha256"))
+    ids = bpe.encode(read(spark, sf_dir, "documents"), TOKENIZER, decoded=True)
+    return ids.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), sha_of(F.col("decoded")).alias("decoded_sha256"))
 
 
 # The tree of the mixture: a domain groups sources by their digest, then language, then source.
@@ -56,7 +56,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in 24 shards of near equal bytes."""
+    """All documents in 24 shards of near equal bytes; a null text has no checksum."""
     docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text"), F.crc32("text").alias("text_crc32"))
     sharded = sharding.histogram_shards(docs, F.col("text"), F.col("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)) + 8, SHARDS, keep=("doc_id", "text_crc32"))
     return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
