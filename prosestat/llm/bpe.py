@@ -113,8 +113,9 @@ class PairIndexBpe:
                 return
             some = some[np.argsort(ranks[some], kind="stable")]
             ranks, at = ranks[some], at[some]
-            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
-            for rank, part in zip(ranks[np.r_[0, cuts]].tolist(), np.split(at, cuts)):
+            cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(at)]
+            for a, b in zip(cuts, cuts[1:]):
+                rank, part = int(ranks[a]), at[a:b]
                 if rank not in places:
                     places[rank] = []
                     heapq.heappush(active, rank)
@@ -142,7 +143,8 @@ class PairIndexBpe:
             symbols[at], symbols[gone] = made, -2
             after[at], before[rest] = rest, at
             ahead = before[at]
-            index(self.ranks_of(np.r_[symbols[ahead], symbols[at]], np.r_[symbols[at], symbols[rest]]), np.r_[ahead, at])
+            own = symbols[at]
+            index(self.ranks_of(np.concatenate((symbols[ahead], own)), np.concatenate((own, symbols[rest]))), np.concatenate((ahead, at)))
         alive = symbols >= 0
         ends = np.cumsum(alive)[np.cumsum(lengths + 1) - 1].tolist()
         packed = symbols[alive].astype("<u4").tobytes()
@@ -175,24 +177,25 @@ class PairIndexBpe:
         first, later = self.first, self.later
         new_first: set[str] = set()
         new_later: set[str] = set()
-        for text in texts:
-            for spaced, pieces in self.pieces(text):
+        cut = [self.pieces(text) for text in texts]
+        for parts in cut:
+            for spaced, pieces in parts:
                 if spaced:
                     new_first.add(pieces[0])
                     new_later.update(pieces[1:])
                 else:
                     new_first.update(pieces)
-        for known, new, lead in ((first, new_first, ""), (later, new_later, " ")):
-            new = [p for p in new if p not in known and p not in self.special]
-            words = [self.words.findall(lead + p) for p in new]
-            distinct = list({w for ws in words for w in ws})
-            ids = dict(zip(distinct, self.merge([w.encode() for w in distinct])))
-            known.update((p, b"".join(map(ids.__getitem__, ws))) for p, ws in zip(new, words))
+        unknown = [(known, {p: self.words.findall(lead + p) for p in new if p not in known and p not in self.special})
+                   for known, new, lead in ((first, new_first, ""), (later, new_later, " "))]
+        distinct = list({w for _, words in unknown for ws in words.values() for w in ws})
+        ids_of = dict(zip(distinct, self.merge([w.encode() for w in distinct])))
+        for known, words in unknown:
+            known.update((p, b"".join(map(ids_of.__getitem__, ws))) for p, ws in words.items())
         first.update((s, i.to_bytes(4, "little")) for s, i in self.special.items())
         out = []
-        for text in texts:
+        for parts in cut:
             ids = []
-            for spaced, pieces in self.pieces(text):
+            for spaced, pieces in parts:
                 if spaced:
                     ids.append(first[pieces[0]])
                     ids.extend(map(later.__getitem__, pieces[1:]))
