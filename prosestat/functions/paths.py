@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from functools import reduce
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column
@@ -14,7 +15,9 @@ from prosestat.functions.text import strip
 
 def plain_path(uri: Column | str) -> Column:
     """A file-source path column without its percent escapes."""
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    uri = F.col(uri) if isinstance(uri, str) else uri
+    # taken for every row of a file: only an escape is worth decoding
+    return F.when(F.contains(uri, F.lit("%")), F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))).otherwise(uri)
 
 
 def file_name(path: Column | str) -> Column:
@@ -32,7 +35,7 @@ def path_below(path: Column | str, folder: str) -> Column:
 def path_component(path: Column | str) -> Column:
     """Component named by the path, ``unknown`` if none; the first family wins."""
     lowered = F.lower(path)
-    found = [F.when(F.rlike(lowered, F.lit("|".join(keys))), name)
+    found = [F.when(reduce(Column.__or__, [F.contains(lowered, F.lit(key)) for key in keys]), name)
              for name, keys in COMPONENT_KEYWORDS.items()]
     return F.coalesce(*found, F.lit("unknown"))
 

@@ -19,6 +19,9 @@ from prosestat.constants import (
 WS = r"[\s\x1C-\x1F]"
 NON_BLANK = r"(?U)[^\s\x1C-\x1F]"
 
+# The characters of WS, one by one.
+WS_CHARS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 # A run of letters and inner apostrophes with no letter, digit or "_" on either
 # side. Letters outside a-z count as neighbours, which drops "naïve" and "x1".
 WORD = r"(?<![\p{L}\p{N}_])[a-z](?:[a-z']*[a-z])?(?![\p{L}\p{N}_])"
@@ -37,8 +40,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column | str) -> Column:
-    """``text`` without white space at either end."""
-    return F.regexp_replace(text, rf"(?U)^{WS}+|{WS}+\z", "")
+    """``text`` without white space at either end; bytes that are not UTF-8 are replaced.
+
+    Only the ends are looked at: a pattern would be tried at every character.
+    """
+    return F.btrim(F.make_valid_utf8(text), F.lit(WS_CHARS))
 
 
 def is_blank(text: Column | str) -> Column:

@@ -5,14 +5,14 @@ Values stay text: what a metric is worth is decided when records are built.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosestat.constants import METADATA_FIELDS
 from prosestat.functions.numbers import as_float, as_int
 from prosestat.functions.paths import path_book_id, path_component, plain_path
 from prosestat.functions.text import strip
-from prosestat.sources.metadata import parse_metadata
+from prosestat.sources.metadata import is_listing, parse_metadata_line
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], book_id: str | None = None,
@@ -29,12 +29,6 @@ def scan_lines(spark: SparkSession, path: str | list[str], book_id: str | None =
         F.col("value").alias("line"))
 
 
-def _key_value(line: Column) -> tuple[Column, Column, Column]:
-    """Whether the line has a tab, and what stands before and after the first."""
-    parts = F.split(line, "\t", 2)
-    return F.size(parts) == 2, strip(F.get(parts, F.lit(0))), strip(F.get(parts, F.lit(1)))
-
-
 def facts_from_lines(lines: DataFrame) -> DataFrame:
     """Facts of ``(book_id, component, line)`` rows; unusable lines give none.
 
@@ -42,23 +36,32 @@ def facts_from_lines(lines: DataFrame) -> DataFrame:
     sentiment  ``metric TAB number``
     syntactic  ``metric TAB number``, an id in front is ignored
     metadata   CSV; its own id counts and each row gives three facts
+
+    The lines are read once: a line gives the array of its facts. What several
+    rules use is a column of its own and nothing is filtered before the arrays
+    are taken apart, as a filter moved below these columns would work them out
+    again at every use.
     """
-    clean = lines.select("book_id", "component", strip("line").alias("line"))
-    paired, key, value = _key_value(F.col("line"))
-    cells = F.split("line", "\t", -1)
-    width = F.size(cells)
     component = F.col("component")
-
-    wordfreq = clean.where((component == "wordfreq") & paired & as_int(value).isNotNull()).select(
-        "book_id", "component", key.alias("metric"), value.alias("value"))
-    sentiment = clean.where((component == "sentiment") & paired & as_float(value).isNotNull()).select(
-        "book_id", "component", key.alias("metric"), value.alias("value"))
-    last = F.get(cells, width - 1)
-    syntactic = clean.where(
-        (component == "syntactic") & width.isin(2, 3) & as_float(last).isNotNull()
-    ).select("book_id", "component", F.get(cells, width - 2).alias("metric"), last.alias("value"))
-    metadata = metadata_facts(parse_metadata(clean.where(component == "metadata"), "line"))
-    return complete(wordfreq.unionByName(sentiment).unionByName(syntactic).unionByName(metadata))
+    clean = lines.select("book_id", "component", strip("line").alias("line"))
+    # what stands before and after the first tab; the second is null in a line without one
+    parts = clean.select("*", F.split("line", "\t", 2).alias("parts"))
+    cells = F.when(component == "syntactic", F.split("line", "\t", -1))
+    told = parts.select("book_id", "component", strip(F.get("parts", F.lit(0))).alias("key"), strip(F.get("parts", F.lit(1))).alias("value"),
+                        cells.alias("cells"), F.when(component == "metadata", parse_metadata_line("line")).alias("about"))
+    width = F.size("cells")
+    told = told.select("*", F.get("cells", width - 2).alias("name"), F.get("cells", width - 1).alias("last"))
+
+    fact = lambda book, kind, metric, value: F.struct(
+        book.alias("book_id"), kind.alias("component"), metric.alias("metric"), value.alias("value"))
+    plain = F.array(fact(F.col("book_id"), component, F.col("key"), F.col("value")))
+    three = F.array(*[fact(F.col("about.book_id"), F.lit("metadata"), F.lit(name), F.col(f"about.{name}")) for name in METADATA_FIELDS])
+    facts = (F.when((component == "wordfreq") & as_int("value").isNotNull(), plain)
+             .when((component == "sentiment") & as_float("value").isNotNull(), plain)
+             .when((component == "syntactic") & width.isin(2, 3) & as_float("last").isNotNull(),
+                   F.array(fact(F.col("book_id"), component, F.col("name"), F.col("last"))))
+             .when(is_listing(F.col("about")), three))
+    return complete(told.select(F.explode(facts).alias("f")).select("f.*"))
 
 
 def complete(facts: DataFrame) -> DataFrame:

@@ -30,13 +30,18 @@ def parse_metadata_line(line: Column | str) -> Column:
     return F.when(~is_blank(line) & whole, fields)
 
 
+def is_listing(fields: Column) -> Column:
+    """Whether the fields of a metadata line are there and no header."""
+    return fields.isNotNull() & (F.lower(fields["book_id"]) != "book_id")
+
+
 def parse_metadata(lines: DataFrame, column: str = "value") -> DataFrame:
     """``(book_id, title, author, is_bestseller)`` from CSV lines, by position.
 
     A line whose id field is "book_id", in either case, is a header.
     """
-    rows = lines.select(parse_metadata_line(column).alias("m")).where("m is not null")
-    return rows.select("m.*").where(F.lower("book_id") != "book_id")
+    rows = lines.select(parse_metadata_line(column).alias("m"))
+    return rows.where(is_listing(F.col("m"))).select("m.*")
 
 
 def scan_metadata_lines(spark: SparkSession, path: str) -> DataFrame:
