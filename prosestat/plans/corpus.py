@@ -270,7 +270,7 @@ def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_
         results.append((word_counts_of(tagged), measure_counts(tagged, lexicon)))
     if not by_line:
         books = scan_books(spark, books_dir, files=small).select(path_below("path", books_dir).alias("book_id"), "text")
-        results.append((word_counts_by_book(cut_body(books, "strict")), measure_books(books, lexicon)))
+        results.append((word_counts_by_book(cut_body(books, "strict"), partial=bool(output)), measure_books(books, lexicon)))
     counts, measured = (reduce(DataFrame.unionByName, parts) for parts in zip(*results))
     counts = under_listed_ids(counts, metadata)
     measured = under_listed_ids(measured, metadata)
@@ -287,7 +287,9 @@ def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_
     report = comparison_report(cohorts.compare(cohorts.cohort_means(
         cohorts.cohort_totals(payloads)), eps), top)
     if output:
+        # counts of one row per book are summed up in the shuffle that ranges them
         sinks.write_word_counts(counts, f"{output}/wordfreq")
+        counts = spark.read.parquet(f"{output}/wordfreq")
         sinks.write_metrics(sinks.fixed_values(sentiment_long(sentiment)), f"{output}/sentiment")
         sinks.write_metrics(sinks.fixed_values(syntactic_long(syntactic), SYNTACTIC_METRICS[:3]),
                             f"{output}/syntactic")

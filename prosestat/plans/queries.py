@@ -538,9 +538,10 @@ def written_word_counts(spark, sf_dir):
 def written_word_tables(spark, sf_dir):
     """Counts per document as Parquet, ranged by key, over an output that was there before."""
     path = shared_path(spark, "wordfreq")
-    counts = wordfreq.word_counts_by_book(books_of(spark, sf_dir))
-    sinks.write_word_counts(counts.withColumn("n", F.col("n") * 2), path)
-    sinks.write_word_counts(counts, path)
+    counts = wordfreq.word_counts_by_book(books_of(spark, sf_dir), partial=True)
+    with sinks.staged(counts, path) as held:
+        sinks.write_word_counts(held.withColumn("n", F.col("n") * 2), path, held=True)
+        sinks.write_word_counts(held, path, held=True)
     return doc(spark.read.parquet(path))
 
 

@@ -22,10 +22,10 @@ def scan_lines(spark: SparkSession, path: str | list[str], book_id: str | None =
     Both tags come from the file path unless given. Several paths are one scan.
     """
     raw = spark.read.text(path, lineSep="\n", recursiveFileLookup=True)
-    where = plain_path("_metadata.file_path")
-    return raw.select(
-        (F.lit(book_id) if book_id else path_book_id(where)).alias("book_id"),
-        (F.lit(component) if component else path_component(where)).alias("component"),
+    rows = raw.select("value", plain_path("_metadata.file_path").alias("where"))
+    return rows.select(
+        (F.lit(book_id) if book_id else path_book_id("where")).alias("book_id"),
+        (F.lit(component) if component else path_component("where")).alias("component"),
         F.col("value").alias("line"))
 
 
