@@ -47,10 +47,11 @@ def build_records(facts: DataFrame, salts: int = SALTS) -> DataFrame:
              .select("book_id", F.pmod(F.xxhash64("metric"), F.lit(salts)).alias("salt"), "component", "metric",
                      _usable(F.col("component"), F.col("value")).alias("value"))
              .repartition("book_id", "salt"))
-    unique = dealt.groupBy(*keys).agg(F.max("value").alias("value"))
+    # hashes lead the keys of both sorts, which then compare numbers, as in deduplicate
+    unique = dealt.withColumn("hash", F.xxhash64(*keys)).groupBy("hash", *keys).agg(F.max("value").alias("value"))
     is_word = F.col("component") == "wordfreq"
-    typed = unique.withColumn("n", F.when(is_word, as_int("value")))
-    part = Window.partitionBy("book_id", "salt", "component")
+    typed = unique.select(*keys, "value", F.when(is_word, as_int("value")).alias("n"), F.xxhash64(*keys[:3]).alias("hash"))
+    part = Window.partitionBy("hash", "book_id", "salt", "component")
     order = part.orderBy(F.desc_nulls_last("n"), "metric")
     ranked = typed.select("*", F.row_number().over(order).alias("rank"), F.sum("n").over(part).alias("total"), F.count("n").over(part).alias("unique"))
     # words beyond the top go; the first of a part stays for its sums, also where no word has a usable count
