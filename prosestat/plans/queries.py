@@ -695,7 +695,10 @@ def _corpus_run(spark, sf_dir, by_line: bool):
                                            F.lit(text).alias("text"))
     leaves = docs.unionByName(edge(-1, "front\n" + START)).unionByName(edge(2**62, END + "\ntail"))
     (leaves.repartition("volume").sortWithinPartitions("volume", "half", "place")
-     .select("volume", "half", F.col("text").alias("value")).write.partitionBy("volume", "half").text(f"{root}/books"))
+     .select("volume", "half", F.col("text").alias("value"))
+     # a file per half volume: tasks move their own files, or the driver would move them all one by one
+     .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy("volume", "half").text(f"{root}/books"))
     filename = path_below("path", f"{root}/books")
     book = _volume(filename) * 2 + F.regexp_extract(filename, "half=([0-9]+)/", 1).cast("bigint")
     files = scan_inventory(spark, f"{root}/books").select(book.alias("n"), filename.alias("filename"))
