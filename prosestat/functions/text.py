@@ -6,7 +6,9 @@ Tokens never cross a line end, so measuring a body equals the sum over its lines
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from string import ascii_lowercase
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +31,20 @@ WORD = r"(?<![\p{L}\p{N}_])[a-z](?:[a-z']*[a-z])?(?![\p{L}\p{N}_])"
 # A sentence ends at a line end, or at . ! ? before white space or the text's end.
 SENTENCE_END = rf"(?U)\n|[.!?]+(?:{WS}+|\z)"
 
+# A sentence end in a text that ends in a line end, with the blank sentences after it.
+SENTENCE_GAP = (rf"(?U)[\n.!?](?:(?<=\n)|(?<!{'|'.join(map(re.escape, ABBREVIATIONS))})[.!?]*+{WS})"
+                rf"{WS}*+(?:[.!?]++{WS}++)*+")
+
+# What a line of words (``line_of``) holds, a match for each: vowel groups, final
+# silent e's that are one, words without another, words of COMPLEX_SYLLABLES or more.
+# Classes name each sign, which is faster than ranges and negations.
+_SIGN, _CONSONANT = f"[{ascii_lowercase}']", "[bcdfghjklmnpqrstvwxz']"
+VOWELS = "[aeiouy]++"
+SILENT = f"e (?<={_SIGN}{_CONSONANT}e )"
+NO_VOWEL = f" {_CONSONANT}++(?:(?<={_SIGN}{{2}})e)?+(?= )"
+COMPLEX = f" {_CONSONANT}*+(?:[aeiouy]++{_CONSONANT}++){{{COMPLEX_SYLLABLES - 1}}}+(?:[aiouy]|e(?! ))"
+RUN = r" ([^ ]++)(?: \1(?= ))*+"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often ``body`` uses it.
@@ -69,25 +85,34 @@ def words(text: Column | str) -> Column:
 
 def vocabulary(runs: Column | str) -> Column:
     """The content words among word runs."""
-    kept = F.filter(runs, lambda r: (F.length(r["word"]) > 1) & ~r["word"].isin(VOCABULARY_STOPWORDS))
-    return F.transform(kept, lambda r: r["word"])
+    return content_words(F.transform(runs, lambda r: r["word"]))
+
+
+def content_words(words: Column) -> Column:
+    """The distinct words of two letters or more that are no stopwords."""
+    return F.array_except(words, F.array(*map(F.lit, (*VOCABULARY_STOPWORDS, *ascii_lowercase))))
 
 
 def word_runs(tokens: Column) -> Column:
     """``array<struct<word, n>>``: each distinct token in word order with its count.
 
-    Counts within one row, so nothing is shuffled: equal tokens are neighbours in
-    the sorted array, and a run starts where a token differs from the one before.
+    Counts within one row, so nothing is shuffled: in the sorted tokens, put in a
+    line, equal ones are neighbours, and one pattern finds each run of them. Tokens
+    hold no space.
     """
-    def runs_of(ordered: Column) -> Column:
-        size = F.size(ordered)
-        starts = F.filter(F.slice(F.sequence(F.lit(0), size), F.lit(1), size),
-                          lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-        return let(starts, lambda first: F.transform(first, lambda start, i: F.struct(
-            F.get(ordered, start).alias("word"),
-            (F.coalesce(F.get(first, i + 1), size) - start).cast("bigint").alias("n"))))
+    runs = F.regexp_extract_all(line_of(F.sort_array(tokens)), F.lit(RUN), F.lit(0))
+
+    def run_of(run: Column) -> Column:
+        word = F.substring_index(run, " ", -1)
+        # each of the n equal words of a run has its space
+        return F.struct(word.alias("word"), (F.octet_length(run) / (F.octet_length(word) + 1)).cast("bigint").alias("n"))
+
+    return F.transform(runs, run_of)
+
 
-    return let(F.sort_array(tokens), runs_of)
+def line_of(tokens: Column) -> Column:
+    """The tokens as a line with a space before, between and after them."""
+    return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
 
 
 def total(runs: Column | str, value: Callable[[Column], Column]) -> Column:
@@ -119,12 +144,20 @@ def sentences(text: Column | str) -> Column:
 
 
 def sentence_count(text: Column | str) -> Column:
-    guarded = F.col(text) if isinstance(text, str) else text
-    for short in ABBREVIATIONS:
-        guarded = F.replace(guarded, F.lit(short), F.lit(short.replace(".", "\u0001")))
-    pieces = F.split(guarded, SENTENCE_END, -1)
-    return F.size(F.filter(pieces, lambda s: F.rlike(s, F.lit(NON_BLANK)))).cast("bigint")
+    """The size of ``sentences``, from one scan that keeps no sentence.
+
+    Between line ends, each sentence that is not blank stands between two matches.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    return (F.regexp_count(F.concat(F.lit("\n"), text, F.lit("\n")), F.lit(SENTENCE_GAP)) - 1).cast("bigint")
+
+
+def syllables_of_line(line: Column) -> Column:
+    """Sum of ``syllables`` over the words of a line as ``line_of`` gives it."""
+    vowels, silent, none = (F.regexp_count(line, F.lit(p)) for p in (VOWELS, SILENT, NO_VOWEL))
+    return vowels.cast("bigint") - silent + none
 
 
-def is_complex(syllable_count: Column) -> Column:
-    return syllable_count >= COMPLEX_SYLLABLES
+def complex_words_of_line(line: Column) -> Column:
+    """Number of words of ``COMPLEX_SYLLABLES`` or more in a line as ``line_of`` gives it."""
+    return F.regexp_count(line, F.lit(COMPLEX)).cast("bigint")

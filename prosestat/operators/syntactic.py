@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from prosestat.constants import SYNTACTIC_COUNTERS, SYNTACTIC_METRICS
 from prosestat.functions.numbers import ratio
 from prosestat.functions.text import (
-    is_complex, let, sentence_count, syllables, total, vocabulary, word_runs, words,
+    complex_words_of_line, content_words, let, line_of, sentence_count, syllables_of_line, words,
 )
 
 _ROUNDED = SYNTACTIC_METRICS[3:]
@@ -19,15 +19,17 @@ _ROUNDED = SYNTACTIC_METRICS[3:]
 
 def syntactic_partials(bodies: DataFrame, *keep: str) -> DataFrame:
     """Counters and ``vocabulary`` (distinct content words) of each input row, without a shuffle."""
-    spoken = let(word_runs(words("text")), lambda runs: F.transform(
-        runs, lambda r: F.struct(r["word"], r["n"], syllables(r["word"]).alias("syllables"))))
-    measured = let(spoken, lambda runs: F.struct(
-        total(runs, lambda r: r["n"]).alias("word_count"),
-        total(runs, lambda r: r["n"] * F.length(r["word"])).alias("char_count"),
-        total(runs, lambda r: r["n"] * r["syllables"]).alias("syllable_count"),
-        total(runs, lambda r: F.when(is_complex(r["syllables"]), r["n"]).otherwise(0))
-        .alias("complex_word_count"),
-        vocabulary(runs).alias("vocabulary")))
+    def measures(said: Column) -> Column:
+        size = F.array_size(said)
+        return let(line_of(said), lambda line: F.struct(
+            size.cast("bigint").alias("word_count"),
+            # words are ASCII; a line has a space more than it has words, but two if it has none
+            (F.octet_length(line) - F.greatest(size, F.lit(1)) - 1).cast("bigint").alias("char_count"),
+            syllables_of_line(line).alias("syllable_count"),
+            complex_words_of_line(line).alias("complex_word_count"),
+            content_words(said).alias("vocabulary")))
+
+    measured = let(words("text"), measures)
     return bodies.select("book_id", *keep, sentence_count("text").alias("sentence_count"),
                          measured.alias("_m")).select("book_id", *keep, "sentence_count", "_m.*")
 

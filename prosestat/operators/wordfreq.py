@@ -76,8 +76,11 @@ def word_profiles(bodies: DataFrame, *keep: str, k: int = TOP_WORDS) -> DataFram
 
 def profile_of(runs: Column, k: int = TOP_WORDS) -> Column:
     """Struct of totals and top words of one row's word runs."""
+    # Words found once are ranked only where those found more often don't fill the list.
+    repeated = F.filter(runs, lambda r: r["n"] > 1)
+    ranked = let(repeated, lambda some: F.when(F.size(some) >= k, some).otherwise(runs))
     # Falling count then rising word is the rising order of (-count, word).
-    order = F.sort_array(F.transform(runs, lambda r: F.struct((-r["n"]).alias("minus"), r["word"])))
+    order = F.sort_array(F.transform(ranked, lambda r: F.struct((-r["n"]).alias("minus"), r["word"])))
     top = F.transform(F.slice(order, 1, k), lambda r: F.struct(
         r["word"].alias("word"), (-r["minus"]).alias("count")))
     some = F.size(runs) > 0

@@ -63,10 +63,12 @@ def measure_books(books: DataFrame, lexicon: DataFrame, mode: str | None = None)
     own = F.struct(F.col("_w.profile").alias("profile"), F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
     # No term holds a zero byte; with the id behind it, rows of measures spread over the tasks of the join.
     none = F.concat(F.lit("\0"), F.col("book_id").cast("string"))
-    tagged = measured.select("book_id", own.alias("own"), none.alias("none"), F.col("_w.runs").alias("runs")).select("book_id", F.explode(F.concat(
-        F.array(F.struct(F.col("none").alias("term"), F.lit(None).cast("bigint").alias("n"), "own")),
-        F.transform("runs", lambda r: F.struct(r["word"].alias("term"), r["n"], F.lit(None).alias("own"))))).alias("t"))
-    rows = tagged.select("book_id", "t.*").join(term_scores(lexicon), "term", "left").where("own is not null or score is not null")
+    # The array is a column of its own, of one type in all parts, so that exploding it and the join are compiled together.
+    # It is never empty: a plain explode would have the optimizer compute it once more, in a filter on its size.
+    terms = F.concat(F.array(F.struct(none.alias("word"), F.lit(None).cast("bigint").alias("n"))), F.col("_w.runs")).alias("terms")
+    tagged = measured.select("book_id", own.alias("own"), terms).select("book_id", "own", F.explode_outer("terms").alias("t")).select(
+        "book_id", F.when(F.col("t.n").isNull(), F.col("own")).alias("own"), F.col("t.word").alias("term"), "t.n")
+    rows = tagged.join(term_scores(lexicon), "term", "left").where("n is null or score is not null")
     books_of = rows.groupBy("book_id").agg(F.max("own").alias("own"), *score_sums(F.col("n")))
     return books_of.select("book_id", "own.profile.*", _sentiment_struct(), "own.syntactic")
 
