@@ -35,6 +35,8 @@ STRICT_START = r"\*\*\* START OF THE PROJECT GUTENBERG EBOOK"
 STRICT_END = r"\*\*\* END OF THE PROJECT GUTENBERG EBOOK"
 LENIENT_START = r"(?iu)\*\*\* start of (?:the|this) project gutenberg"
 LENIENT_END = r"(?iu)\*\*\* end of (?:the|this) project gutenberg"
+# What all of them begin with.
+MARKER_SIGN = "***"
 
 # --- Fixed values: metric names.
 SENTIMENT_METRICS = ("polarity_score", "positive_count", "negative_count", "total_scored_words")

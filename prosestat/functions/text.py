@@ -46,6 +46,10 @@ COMPLEX = f" {_CONSONANT}*+(?:[aeiouy]++{_CONSONANT}++){{{COMPLEX_SYLLABLES - 1}
 RUN = r" ([^ ]++)(?: \1(?= ))*+"
 
 
+# Words that are never in the vocabulary.
+_NO_VOCABULARY = (*VOCABULARY_STOPWORDS, *ascii_lowercase)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often ``body`` uses it.
 
@@ -90,7 +94,13 @@ def vocabulary(runs: Column | str) -> Column:
 
 def content_words(words: Column) -> Column:
     """The distinct words of two letters or more that are no stopwords."""
-    return F.array_except(words, F.array(*map(F.lit, (*VOCABULARY_STOPWORDS, *ascii_lowercase))))
+    return F.array_except(words, F.array(*map(F.lit, _NO_VOCABULARY)))
+
+
+def is_vocabulary(word: Column | str) -> Column:
+    """True for a word that ``content_words`` keeps."""
+    word = F.col(word) if isinstance(word, str) else word
+    return ~word.isin(*_NO_VOCABULARY)
 
 
 def word_runs(tokens: Column) -> Column:

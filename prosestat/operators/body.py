@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prosestat.constants import MARKER_SIGN
 from prosestat.functions.body import MARKERS, body_lines, body_text
 
 
@@ -27,7 +28,7 @@ def bodies_of_lines(lines: DataFrame, modes: tuple[str, ...] = ("strict", "lenie
     few files are broadcast by their measured size, otherwise adaptive execution
     splits a hot file.
     """
-    flags = [F.rlike("text", F.lit(pattern)).alias(f"_{end}_{mode}")
+    flags = [(F.contains("text", F.lit(MARKER_SIGN)) & F.rlike("text", F.lit(pattern))).alias(f"_{end}_{mode}")
              for mode in modes for end, pattern in zip(("start", "end"), MARKERS[mode])]
     names = [f"_{end}_{mode}" for mode in modes for end in ("start", "end")]
     marks = lines.select("path", "position", *flags).where(" or ".join(names))

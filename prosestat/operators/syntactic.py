@@ -17,8 +17,11 @@ from prosestat.functions.text import (
 _ROUNDED = SYNTACTIC_METRICS[3:]
 
 
-def syntactic_partials(bodies: DataFrame, *keep: str) -> DataFrame:
-    """Counters and ``vocabulary`` (distinct content words) of each input row, without a shuffle."""
+def syntactic_partials(bodies: DataFrame, *keep: str, distinct: bool = True) -> DataFrame:
+    """Counters and ``vocabulary`` (distinct content words) of each input row, without a shuffle.
+
+    All its words as they come instead, in ``words``, if they need not be ``distinct`` in a row.
+    """
     def measures(said: Column) -> Column:
         size = F.array_size(said)
         return let(line_of(said), lambda line: F.struct(
@@ -27,7 +30,7 @@ def syntactic_partials(bodies: DataFrame, *keep: str) -> DataFrame:
             (F.octet_length(line) - F.greatest(size, F.lit(1)) - 1).cast("bigint").alias("char_count"),
             syllables_of_line(line).alias("syllable_count"),
             complex_words_of_line(line).alias("complex_word_count"),
-            content_words(said).alias("vocabulary")))
+            content_words(said).alias("vocabulary") if distinct else said.alias("words")))
 
     measured = let(words("text"), measures)
     return bodies.select("book_id", *keep, sentence_count("text").alias("sentence_count"),

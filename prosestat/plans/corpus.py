@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -14,7 +15,7 @@ from prosestat.constants import (
 from prosestat.functions.body import body_text
 from prosestat.functions.numbers import fixed4
 from prosestat.functions.paths import path_below
-from prosestat.functions.text import let, strip
+from prosestat.functions.text import is_content, is_vocabulary, let, letter_tokens, strip
 from prosestat.operators import cohorts
 from prosestat.operators.body import bodies_of_lines, cut_body
 from prosestat.operators.report import comparison_report
@@ -25,6 +26,7 @@ from prosestat.operators.syntactic import (
     readability, rounded, syntactic_counts, syntactic_long, syntactic_partials,
 )
 from prosestat.operators.wordfreq import content_runs, profile_of, word_counts_by_book
+from prosestat.session import shuffle_partitions
 from prosestat.sources import sinks
 from prosestat.sources.books import (
     NAMED_FILES, Selection, scan_book_lines, scan_books, scan_inventory, selection,
@@ -108,83 +110,108 @@ def _sentiment_struct() -> Column:
     return F.struct(F.round(polarity, 4).alias("polarity_score"), *rest).alias("sentiment")
 
 
+#: What leads the names of counters among words, which hold no zero byte.
+COUNTER = "\0"
+
+
 def tagged_counts(rows: DataFrame) -> DataFrame:
-    """``(book_id, kind, word, n, <counters>)`` of books of many rows, from one pass over them.
+    """``(book_id, word, n, m)`` of books of many rows, from one pass over them.
 
     Rows are ``(book_id, text, strict, lenient)``: a line or another piece of a
-    book, with flags of the bodies it is in. A row gives its tagged parts: content
-    words with their number (kind ``word``, of the strict body), distinct content
-    words (``vocabulary``) and one row of counters (``counters``), both of the
-    lenient one. What equal parts sum up to in a task is all that is shuffled.
+    book, with flags of the bodies it is in. For a word, ``n`` is its number among
+    the content words of the strict body and ``m`` is not null if it is in the
+    vocabulary of the lenient one; each is null where the word is in the other only.
+    A counter is a row of its own, its sum in ``m``, its name behind a zero byte.
+    What equal words sum up to in a task is all that is shuffled.
     """
     strict, lenient = F.col("strict"), F.col("lenient")
-    spoken = rows.select("book_id", F.when(strict, F.col("text")).alias("said"), F.when(lenient, F.col("text")).alias("text"))
-    parts = syntactic_partials(spoken, "said")
-    nothing = [F.lit(None).cast("bigint").alias(c) for c in SYNTACTIC_COUNTERS]
-
-    def part(kind: str, word: Column, n: Column, *counters: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), word.cast("string").alias("word"), n.cast("bigint").alias("n"), *(counters or nothing))
-
-    null = F.lit(None)
-    tagged = F.concat(
-        F.coalesce(F.transform(content_runs("said"), lambda r: part("word", r["word"], r["n"])), F.array()),
-        F.coalesce(F.transform("vocabulary", lambda w: part("vocabulary", w, null)), F.array()),
-        F.array(part("counters", null, null, *[F.col(c).alias(c) for c in SYNTACTIC_COUNTERS])))
-    exploded = parts.select("book_id", F.explode(tagged).alias("t")).select("book_id", "t.*")
-    return exploded.groupBy("book_id", "kind", "word").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SYNTACTIC_COUNTERS])
+    spoken = rows.select("book_id", letter_tokens(F.when(strict, F.col("text"))).alias("said"), F.when(lenient, F.col("text")).alias("text"))
+    parts = syntactic_partials(spoken, "said", distinct=False)
+    none = F.array().cast("array<string>")
+    said, words, counters = F.coalesce("said", none), F.coalesce("words", none), [F.lit(COUNTER + c) for c in SYNTACTIC_COUNTERS]
+    # words are told apart by their place, and looked at and counted in the aggregate: structs of them, or counts in a line, take longer
+    places = parts.select("book_id", *SYNTACTIC_COUNTERS, F.size(said).alias("of_said"), F.size(words).alias("of_words"), F.concat(said, words, F.array(*counters)).alias("terms"))
+    # never empty, and said so: else the optimizer computes the array once more, in a filter on its size
+    each = places.select("*", F.posexplode_outer("terms").alias("at", "word")).drop("terms")
+    at, word = F.col("at"), F.col("word")
+    is_said = at < F.col("of_said")
+    is_word = ~is_said & (at < F.col("of_said") + F.col("of_words"))
+    kept = each.where(F.when(is_said, is_content(word)).when(is_word, is_vocabulary(word)).otherwise(True))
+    value = F.coalesce(*[F.when(word == COUNTER + c, F.col(c)) for c in SYNTACTIC_COUNTERS])
+    tagged = kept.select("book_id", "word", F.when(is_said, F.lit(1).cast("bigint")).alias("n"),
+                         F.when(is_word, F.lit(1).cast("bigint")).when(~is_said, value).alias("m"))
+    return tagged.groupBy("book_id", "word").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
 def word_counts_of(tagged: DataFrame) -> DataFrame:
     """``(book_id, word, n)`` of ``tagged_counts``."""
-    return tagged.where("kind = 'word'").select("book_id", "word", "n")
+    return tagged.where("n is not null").select("book_id", "word", "n")
 
 
-#: Parts that the words of a book are dealt to where they are ranked and summed up.
+#: Parts that the words of a book are dealt to where they are ranked.
 SALTS = 8
 
+#: Counts of which the greatest that enough words of a book reach bounds the words that are ranked.
+STEPS = (2, 3, 4, 6, 8, 12, 16, 32, 64, 256, 1024, 8192)
+
 
 def measure_counts(tagged: DataFrame, lexicon: DataFrame, salts: int = SALTS) -> DataFrame:
     """The columns of ``measure_books`` from ``tagged_counts``; every book with counters gets a row.
 
-    No book is held in one row or task: its words are dealt to ``salts`` parts by
-    their hash, each part gives its sums and its top words, and only these meet.
+    No book is held in one row or task, and no word is moved but those that may be
+    among the first: sums are made where the words are read, and of them comes the
+    count that enough words of the book reach. Words below it are not ranked; the
+    others are dealt to ``salts`` parts by their hash, and each part gives its first.
     """
-    is_word = F.col("kind") == "word"
-    # only words meet a term; other rows, which hold none, are spread by what they hold
-    term = F.when(is_word, F.col("word")).otherwise(F.concat(F.lit("\0"), F.coalesce("word", F.col("book_id").cast("string"))))
+    is_counter = F.startswith("word", F.lit(COUNTER))
+    # only words meet a term; counters are spread by their book
+    term = F.when(is_counter, F.concat(F.lit(COUNTER), F.col("book_id").cast("string"))).otherwise(F.col("word"))
+    known = tagged.where("book_id is not null")
+    scored = known.select("*", term.alias("term")).join(term_scores(lexicon), "term", "left")
+    reached = F.coalesce(*[F.when(F.col(f"_{step}") >= TOP_WORDS, step) for step in reversed(STEPS)], F.lit(1))
+    sums = scored.groupBy("book_id").agg(
+        F.sum("n").alias("total"), F.count("n").alias("unique"), F.count(F.when(~is_counter, F.col("m"))).alias("unique_word_count"),
+        *[F.sum(F.when(F.col("word") == COUNTER + c, F.col("m"))).alias(c) for c in SYNTACTIC_COUNTERS], *score_sums(F.col("n")),
+        *[F.count(F.when(F.col("n") >= step, 1)).alias(f"_{step}") for step in STEPS])
+    counted = sums.where("sentence_count is not null").withColumn("reached", reached.cast("bigint"))
+    # m is looked at so that this is the same aggregate as above, made once where nothing is written between
+    frequent = known.where("n is not null and (m is null or m >= 0)").join(counted.select("book_id", "reached"), "book_id").where("n >= reached")
     salt = F.pmod(F.xxhash64("word"), F.lit(salts)).alias("salt")
-    scored = tagged.where("book_id is not null").select("*", term.alias("term"), salt).join(term_scores(lexicon), "term", "left")
-    part = Window.partitionBy("book_id", "salt")
-    sums = {"total": F.sum(F.when(is_word, F.col("n"))), "unique": F.count(F.when(is_word, 1)),
-            "vocabulary": F.count(F.when(F.col("kind") == "vocabulary", 1)), **{c: F.sum(c) for c in SYNTACTIC_COUNTERS}}
-    sums |= {name: F.sum(F.coalesce(value, F.lit(0))) for name, value in score_values(F.col("n")).items()}
-    order = part.orderBy(F.when(is_word, F.col("n")).desc_nulls_last(), "word", "kind")
-    rank = F.row_number().over(order)
-    few = scored.select("book_id", "kind", "word", "n", rank.alias("rank"), *[value.over(part).alias(name) for name, value in sums.items()]).where(F.col("rank") <= TOP_WORDS)
-    # a part's sums stand beside its first row
-    first = [F.sum(F.when(F.col("rank") == 1, F.col(name))).alias(name) for name in sums]
-    top = F.sort_array(F.collect_list(F.when(is_word, F.struct((-F.col("n")).alias("minus"), "word"))))
-    by = few.groupBy("book_id").agg(*first, F.slice(top, 1, TOP_WORDS).alias("top"))
+    rank = F.row_number().over(Window.partitionBy("book_id", "salt").orderBy(F.desc("n"), "word"))
+    few = frequent.select("book_id", "word", "n", salt).withColumn("rank", rank).where(F.col("rank") <= TOP_WORDS)
+    first = few.groupBy("book_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("minus"), "word"))), 1, TOP_WORDS).alias("top"))
     some = F.col("unique") > 0
-    counted = by.where(F.col("sentence_count").isNotNull()).withColumn("unique_word_count", F.col("vocabulary")).withColumn("words_", F.struct(
+    words = counted.join(first, "book_id", "left").withColumn("words_", F.struct(
         F.when(some, F.col("total")).alias("total_word_count"), F.when(some, F.col("unique")).alias("unique_word_count"),
         F.when(some, F.transform("top", lambda w: F.struct(w["word"].alias("word"), (-w["minus"]).alias("count")))).alias("top_words"),
         _sentiment_struct()))
-    metrics = rounded(readability(counted, "words_"))
+    metrics = rounded(readability(words, "words_"))
     return metrics.select("book_id", "words_.total_word_count", "words_.unique_word_count", "words_.top_words", "words_.sentiment",
                           F.struct(*SYNTACTIC_METRICS).alias("syntactic"))
 
 
+def file_key(name: Column) -> Column:
+    """A file's name as 16 bytes, for results of many rows: names are long, and begin alike."""
+    return F.unhex(F.md5(name))
+
+
+#: Lines of a file that may go together to a task.
+PIECE_LINES = 1024
+
+
 def body_rows(spark: SparkSession, books_dir: str, files: Selection = Selection()) -> DataFrame:
     """``(book_id, text, strict, lenient)`` of the body lines below a folder, and an empty row per file.
 
-    The id is the path below the folder.
+    The id is the ``file_key`` of the path below the folder. Lines are dealt out anew, neighbours
+    together: measuring them is most of the work, and files may be of any size.
     """
-    key = path_below("path", books_dir).alias("book_id")
     empty = scan_inventory(spark, books_dir, files=files).select(
-        key, F.lit("").alias("text"), F.lit(True).alias("strict"), F.lit(True).alias("lenient"))
+        "path", F.lit("").alias("text"), F.lit(True).alias("strict"), F.lit(True).alias("lenient"))
     lines = bodies_of_lines(scan_book_lines(spark, books_dir, files=files))
-    return lines.select(key, "text", "strict", "lenient").unionByName(empty)
+    piece = F.floor(F.col("position.row") / PIECE_LINES)
+    dealt = lines.repartition(shuffle_partitions(spark), "path", "position.block", piece)
+    rows = dealt.select("path", "text", "strict", "lenient").unionByName(empty)
+    return rows.withColumn("book_id", file_key(path_below("path", books_dir))).drop("path")
 
 
 def _map_of(struct: str, names: tuple[str, ...]) -> Column:
@@ -222,13 +249,13 @@ def metadata_by_book(metadata: DataFrame) -> DataFrame:
     return fields.select("book_id", present.alias("metadata"))
 
 
-def under_listed_ids(results: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Results keyed by file name, under the book ids the metadata lists for the files.
+def under_listed_ids(results: DataFrame, metadata: DataFrame, key: Callable[[Column], Column] = lambda name: name) -> DataFrame:
+    """Results keyed by file name, or ``key`` of it, under the book ids the metadata lists for the files.
 
     Applied to results, not to texts: those are large and would be shuffled when
     the listing is too large to broadcast.
     """
-    ids = metadata.groupBy("book_id").agg(F.max("filename").alias("_file"))
+    ids = metadata.groupBy("book_id").agg(key(F.max("filename")).alias("_file"))
     columns = [c for c in results.columns if c != "book_id"]
     return results.withColumnRenamed("book_id", "_file").join(ids, "_file").select(
         "book_id", *columns)
@@ -269,13 +296,12 @@ def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_
         if output:
             tagged.write.mode("overwrite").parquet(f"{output}/counted")
             tagged = spark.read.parquet(f"{output}/counted")
-        results.append((word_counts_of(tagged), measure_counts(tagged, lexicon)))
+        results.append(tuple(under_listed_ids(found, metadata, file_key) for found in (word_counts_of(tagged), measure_counts(tagged, lexicon))))
     if not by_line:
         books = scan_books(spark, books_dir, files=small).select(path_below("path", books_dir).alias("book_id"), "text")
-        results.append((word_counts_by_book(cut_body(books, "strict"), partial=bool(output)), measure_books(books, lexicon)))
+        results.append(tuple(under_listed_ids(found, metadata) for found in (
+            word_counts_by_book(cut_body(books, "strict"), partial=bool(output)), measure_books(books, lexicon))))
     counts, measured = (reduce(DataFrame.unionByName, parts) for parts in zip(*results))
-    counts = under_listed_ids(counts, metadata)
-    measured = under_listed_ids(measured, metadata)
     sentiment = measured.select("book_id", "sentiment.*")
     syntactic = measured.select("book_id", "syntactic.*")
     records = assemble_records(measured, metadata)
@@ -289,8 +315,8 @@ def run_corpus(spark: SparkSession, books_dir: str, metadata_path: str, lexicon_
     report = comparison_report(cohorts.compare(cohorts.cohort_means(
         cohorts.cohort_totals(payloads)), eps), top)
     if output:
-        # counts of one row per book are summed up in the shuffle that ranges them
-        sinks.write_word_counts(counts, f"{output}/wordfreq")
+        # a book is one file, and a file's counts are one row per word; those of lines are in files already
+        sinks.write_word_counts(counts, f"{output}/wordfreq", held=bool(by_line), summed=True)
         counts = spark.read.parquet(f"{output}/wordfreq")
         sinks.write_metrics(sinks.fixed_values(sentiment_long(sentiment)), f"{output}/sentiment")
         sinks.write_metrics(sinks.fixed_values(syntactic_long(syntactic), SYNTACTIC_METRICS[:3]),

@@ -26,7 +26,7 @@ from prosestat.sources import components, sinks
 from prosestat.sources.books import scan_book_lines, scan_books, scan_inventory
 from prosestat.sources.lexicon import scan_lexicon
 from prosestat.sources.metadata import scan_metadata, scan_metadata_lines
-from prosestat.session import read_table, shared_folder
+from prosestat.session import read_table, shared_folder, shuffle_partitions
 from prosestat.sources.records import scan_record_lines, scan_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -694,7 +694,7 @@ def _corpus_run(spark, sf_dir, by_line: bool):
     edge = lambda place, text: ends.select("volume", "half", F.lit(place).cast("bigint").alias("place"),
                                            F.lit(text).alias("text"))
     leaves = docs.unionByName(edge(-1, "front\n" + START)).unionByName(edge(2**62, END + "\ntail"))
-    (leaves.repartition("volume").sortWithinPartitions("volume", "half", "place")
+    (leaves.repartition(shuffle_partitions(spark), "volume").sortWithinPartitions("volume", "half", "place")
      .select("volume", "half", F.col("text").alias("value"))
      # a file per half volume: tasks move their own files, or the driver would move them all one by one
      .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")

@@ -47,7 +47,7 @@ def _tsv(df: DataFrame, path: str, *partition_by: str) -> None:
 
 
 def write_word_counts(counts: DataFrame, path: str, fmt: str = "parquet",
-                      per_book: bool = False, parts: int | None = None, held: bool = False) -> None:
+                      per_book: bool = False, parts: int | None = None, held: bool = False, summed: bool = False) -> None:
     """Word counts of the corpus ``(word, n)`` or of books ``(book_id, word, n)``.
 
     Parquet is ranged by the key columns, so readers skip row groups by book or
@@ -55,14 +55,16 @@ def write_word_counts(counts: DataFrame, path: str, fmt: str = "parquet",
     ranges are sampled in a run of their own, which would count everything again;
     ``held`` counts are read from files already and are not. Parquet takes partial
     counts too: those of equal keys meet in a range and add up there, so that
-    counting and ranging are one shuffle. ``per_book`` lays out one directory per book, for small corpora.
+    counting and ranging are one shuffle; ``summed`` counts have a key once and are only
+    ranged. ``per_book`` lays out one directory per book, for small corpora.
     """
     if fmt == "tsv":
         _tsv(_parts(counts, parts), path, *(["book_id"] if per_book else []))
         return
     keys = [c for c in ("book_id", "word") if c in counts.columns]
     with nullcontext(counts) if held else staged(counts, path) as kept:
-        merged = kept.select(*keys, "n").repartitionByRange(*keys).groupBy(*keys).agg(F.sum("n").alias("n"))
+        ranged = kept.select(*keys, "n").repartitionByRange(*keys)
+        merged = ranged if summed else ranged.groupBy(*keys).agg(F.sum("n").alias("n"))
         _parts(merged.sortWithinPartitions(*keys), parts).write.mode("overwrite").parquet(path)
 
 
