@@ -696,8 +696,8 @@ def _corpus_run(spark, sf_dir, by_line: bool):
     leaves = docs.unionByName(edge(-1, "front\n" + START)).unionByName(edge(2**62, END + "\ntail"))
     (leaves.repartition(shuffle_partitions(spark), "volume").sortWithinPartitions("volume", "half", "place")
      .select("volume", "half", F.col("text").alias("value"))
-     # a file per half volume: tasks move their own files, or the driver would move them all one by one
-     .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     # a volume is one task's, and its folder is moved whole: by tasks each file would be, and each folder made once more
+     .write.option("mapreduce.fileoutputcommitter.algorithm.version", "1")
      .partitionBy("volume", "half").text(f"{root}/books"))
     filename = path_below("path", f"{root}/books")
     book = _volume(filename) * 2 + F.regexp_extract(filename, "half=([0-9]+)/", 1).cast("bigint")
